@@ -27,8 +27,14 @@ def share(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """Half to even on the scaled double, as numpy rounds."""
+    scale = float(10**digits)
+    return F.rint(x * scale) / scale
+
+
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(F.try_divide(part * 100.0, whole.cast("double")), digits)
+    return rounded(share(part, whole) * 100, digits)
 
 
 def expand_year(y: Column) -> Column:

@@ -16,12 +16,13 @@ from plumbline.operators.cells import (
     columns_of,
     measure,
     number_of,
-    small_domains,
     small_frame,
     top_values,
     value_counts,
 )
+from plumbline.operators.domains import domain_counts
 from plumbline.operators.quantiles import exact_quantiles
+from plumbline.operators.scan import Scan, scan
 
 OUTLIER_SCHEMA = (
     "`column` string, n_values bigint, mean double, std double, min double, max double, lower_fence double, "
@@ -37,35 +38,28 @@ def outlier_severity_strict(rate: float) -> str:
     return "HIGH" if rate > 10 else "MODERATE" if rate >= 1 else "LOW"
 
 
-def numeric_figures(df: DataFrame, t: Thresholds = DEFAULTS, native_only: bool = False) -> dict[str, dict]:
+_MOMENTS = ("filled", "numbers", "min", "max", "mean", "std", "std_population")
+
+
+def numeric_figures(
+    df: DataFrame, t: Thresholds = DEFAULTS, native_only: bool = False, seen: Scan | None = None
+) -> dict[str, dict]:
     """Counts and moments of the columns that are numeric in enough cells, from one pass."""
     columns = columns_of(df, None)
     if native_only:
         columns = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-    metrics: dict[str, Column] = {"rows": F.count(F.lit(1))}
-    for c in columns:
-        x = number_of(df, c)
-        metrics |= {
-            f"filled {c}": F.count(ref(c)),
-            f"n {c}": F.count(x),
-            f"mean {c}": F.avg(x),
-            f"std {c}": F.stddev_samp(x),
-            f"std_population {c}": F.stddev_pop(x),
-            f"min {c}": F.min(x),
-            f"max {c}": F.max(x),
-        }
-    m = measure(df, metrics)
+    seen = seen or scan(df, _MOMENTS, columns)
     return {
-        c: {"rows": m["rows"]} | {k: m[f"{k} {c}"] for k in ("n", "mean", "std", "std_population", "min", "max")}
+        c: {"rows": seen.rows} | seen.values[c]
         for c in columns
-        if m[f"filled {c}"] >= t.outlier_min_values and m[f"n {c}"] / m[f"filled {c}"] >= t.numeric_ratio
+        if seen.of(c, "filled") >= t.outlier_min_values and seen.numeric_ratio(c) >= t.numeric_ratio
     }
 
 
 def fences(df: DataFrame, figures: dict[str, dict], t: Thresholds = DEFAULTS) -> dict[str, tuple[float, float]]:
     """Lower and upper fence of each column: quartiles widened by ``iqr_factor`` times their distance."""
     quartiles = exact_quantiles(
-        df, {c: number_of(df, c) for c in figures}, {c: f["n"] for c, f in figures.items()}, (0.25, 0.75), t
+        df, {c: number_of(df, c) for c in figures}, {c: f["numbers"] for c, f in figures.items()}, (0.25, 0.75), t
     )
     return {
         c: (q1 - t.iqr_factor * (q3 - q1), q3 + t.iqr_factor * (q3 - q1)) for c, (q1, q3) in quartiles.items()
@@ -73,14 +67,19 @@ def fences(df: DataFrame, figures: dict[str, dict], t: Thresholds = DEFAULTS) ->
 
 
 def numeric_outliers(
-    df: DataFrame, t: Thresholds = DEFAULTS, native_only: bool = False, population_std: bool = False, by_iqr_only: bool = False
+    df: DataFrame,
+    t: Thresholds = DEFAULTS,
+    native_only: bool = False,
+    population_std: bool = False,
+    by_iqr_only: bool = False,
+    seen: Scan | None = None,
 ) -> DataFrame:
     """Columns with values outside the quartile fences or more than ``z_limit`` deviations from the mean.
 
     The alternate check looks at numeric-typed columns only (``native_only``), divides by the population deviation
     and reports only columns with fence outliers (``by_iqr_only``).
     """
-    figures = numeric_figures(df, t, native_only)
+    figures = numeric_figures(df, t, native_only, seen)
     limits = fences(df, figures, t)
     metrics: dict[str, Column] = {}
     for c, (low, high) in limits.items():
@@ -97,7 +96,7 @@ def numeric_outliers(
             rate = round(iqr / f["rows"] * 100, 2)
             rows.append(
                 (
-                    c, f["n"], round(f["mean"], 2), round(f["std"], 2), round(f["min"], 2), round(f["max"], 2),
+                    c, f["numbers"], round(f["mean"], 2), round(f["std"], 2), round(f["min"], 2), round(f["max"], 2),
                     round(low, 2), round(high, 2), iqr, z, rate, outlier_severity(rate), outlier_severity_strict(rate),
                 )
             )
@@ -141,12 +140,9 @@ def outlier_flags(df: DataFrame, columns: Sequence[str] | None = None, t: Thresh
 # --- categories --------------------------------------------------------------
 
 
-def _categories(df: DataFrame, t: Thresholds) -> DataFrame | None:
+def _categories(df: DataFrame, t: Thresholds, counts: DataFrame | None) -> DataFrame:
     """Value counts, nulls included, of columns with few distinct values that are not numbers; with row totals."""
-    columns = small_domains(df, t.rare_max_distinct, t=t)
-    if not columns:
-        return None
-    counts = value_counts(df, columns)
+    counts = domain_counts(df, t.rare_max_distinct, t) if counts is None else counts
     value, cnt = F.col("value"), F.col("cnt")
     fitting = (
         counts.groupBy("column")
@@ -162,14 +158,9 @@ def _categories(df: DataFrame, t: Thresholds) -> DataFrame | None:
     return counts.join(F.broadcast(fitting), "column")  # one row per column
 
 
-_VALUE_SCHEMA = "`column` string, value string, cnt bigint, pct double"
-
-
-def rare_categories(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def rare_categories(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame | None = None) -> DataFrame:
     """Values, null among them, in fewer than 0.5 % of the rows of a categorical column."""
-    counts = _categories(df, t)
-    if counts is None:
-        return small_frame(df, [], _VALUE_SCHEMA)
+    counts = _categories(df, t, counts)
     return counts.filter(share(F.col("cnt"), F.col("row_count")) < t.rare_share).select(
         "column", "value", "cnt", pct(F.col("cnt"), F.col("row_count"), 3).alias("pct")
     )
@@ -188,11 +179,9 @@ def rare_values(df: DataFrame, t: Thresholds = DEFAULTS, columns: Sequence[str]
     )
 
 
-def invalid_markers(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def invalid_markers(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame | None = None) -> DataFrame:
     """Markers such as ``n.d.`` that are still in a categorical column."""
-    counts = _categories(df, t)
-    if counts is None:
-        return small_frame(df, [], _VALUE_SCHEMA)
+    counts = _categories(df, t, counts)
     return counts.filter(F.col("value").isin(*INVALID_MARKERS)).select(
         "column", "value", "cnt", pct(F.col("cnt"), F.col("row_count"), 3).alias("pct")
     )
@@ -217,11 +206,9 @@ def clear_placeholder_words(df: DataFrame) -> DataFrame:
     return df.select(*[null_placeholder_words(ref(c)).alias(c) if c in text else ref(c) for c in df.columns])
 
 
-def dominant_category(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def dominant_category(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame | None = None) -> DataFrame:
     """Distinct values, commonest value and its share per categorical column."""
-    counts = _categories(df, t)
-    if counts is None:
-        return small_frame(df, [], "`column` string, distinct_values bigint, dominant string, dominant_count bigint, dominant_pct double")
+    counts = _categories(df, t, counts)
     return (
         counts.filter(F.col("value").isNotNull())
         .groupBy("column")

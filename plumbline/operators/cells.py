@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.config import DEFAULTS, Thresholds
 from plumbline.functions.numbers import to_number
 from plumbline.functions.text import ref
 from plumbline.sources.tables import scalar_columns, text_layer
@@ -81,17 +80,6 @@ def ordinal(columns: Iterable[str], c: Column | None = None) -> Column:
     return F.element_at(F.create_map(*pairs), F.col("column") if c is None else c)
 
 
-def small_domains(df: DataFrame, cap: int, columns: Sequence[str] | None = None, t: Thresholds = DEFAULTS) -> list[str]:
-    """Columns that may have at most ``cap`` distinct values.
-
-    A sketch only rules out columns estimated far above the cap, which would flood the value counts; whoever
-    asks still compares the exact count with the cap.
-    """
-    columns = columns_of(df, columns)
-    found = measure(df, {c: F.approx_count_distinct(ref(c)) for c in columns})
-    return [c for c in columns if found[c] <= cap * t.domain_slack]
-
-
 def top_values(counts: DataFrame, k: int, by: Sequence[Column], group: str = "column", value: str = "value") -> DataFrame:
     """(group, examples): the first ``k`` non-null values of each group. Each task cuts its part to ``k`` rows per
     group before the shuffle."""

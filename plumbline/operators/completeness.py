@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.config import DEFAULTS, Thresholds
-from plumbline.functions.numbers import pct, share
+from plumbline.functions.numbers import pct, rounded, share
 from plumbline.functions.text import any_of, is_missing, is_placeholder, ref
 from plumbline.operators.cells import columns_of, per_column
 from plumbline.sources.tables import text_layer
@@ -57,7 +57,7 @@ def rows_with_missing(df: DataFrame) -> DataFrame:
 def completeness_by_column(df: DataFrame) -> DataFrame:
     """Percentage of present cells per column; null for an empty table."""
     complete = (F.lit(1.0) - share(F.col("null_count"), F.col("row_count"))) * 100
-    return missing_counts(df).withColumn("completeness_pct", F.round(complete, 2))
+    return missing_counts(df).withColumn("completeness_pct", rounded(complete, 2))
 
 
 def completeness_overall(df: DataFrame) -> DataFrame:
@@ -65,8 +65,8 @@ def completeness_overall(df: DataFrame) -> DataFrame:
     return (
         completeness_by_column(df)
         .agg(
-            F.round(F.avg("completeness_pct"), 2).alias("overall_completeness_pct"),
-            F.round((F.lit(1.0) - share(F.sum("null_count"), F.sum("row_count"))) * 100, 2).alias("cell_completeness_pct"),
+            rounded(F.avg("completeness_pct"), 2).alias("overall_completeness_pct"),
+            rounded((F.lit(1.0) - share(F.sum("null_count"), F.sum("row_count"))) * 100, 2).alias("cell_completeness_pct"),
         )
         .withColumn("completeness_class", completeness_class(F.col("overall_completeness_pct")))
     )
@@ -99,7 +99,7 @@ def missing_severity(df: DataFrame, placeholders: bool = True) -> DataFrame:
     return (
         missing_counts(df, placeholders=placeholders)
         .withColumn("null_pct", pct(F.col("null_count"), F.col("row_count")))
-        .withColumn("completeness_pct", F.round(F.lit(100.0) - rate, 2))
+        .withColumn("completeness_pct", rounded(F.lit(100.0) - rate, 2))
         .withColumn("severity", severity_from(rate))
         .withColumn("severity_strict", severity_above(rate))
         .withColumn("band", missing_band(rate))
@@ -113,7 +113,7 @@ def sparse_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     return (
         missing_counts(df)
         .filter(missing > t.sparse)
-        .withColumn("missing_pct", F.round(missing * 100, 2))
+        .withColumn("missing_pct", rounded(missing * 100, 2))
         .withColumn("bucket", F.when(missing > t.ultra_sparse, "removal candidate").otherwise("high sparsity"))
     )
 

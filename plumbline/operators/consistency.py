@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.config import AMOUNT_KEYWORDS, DATE_SHAPES, DATE_SHAPES_ALTERNATE, DEFAULTS, Thresholds
-from plumbline.functions.dates import is_period, picture, shape
+from plumbline.functions.dates import picture, shape
 from plumbline.functions.numbers import pct, share, to_number
 from plumbline.functions.text import fold, ref, strip
 from plumbline.operators.cells import (
     cells,
-    columns_of,
     empty,
     measure,
     number_of,
-    small_domains,
     small_frame,
     value_counts,
 )
+from plumbline.operators.domains import domain_counts
+from plumbline.operators.scan import Scan, scan
 
 
 # --- formats -----------------------------------------------------------------
@@ -99,23 +99,16 @@ def mixed_case_style(df: DataFrame, max_share: float = 0.7) -> DataFrame:
 # --- spellings ---------------------------------------------------------------
 
 
-def _small_counts(df: DataFrame, cap: int, t: Thresholds) -> DataFrame | None:
-    """Value counts of columns with at most ``cap`` distinct values, nulls left out. None if no column qualifies."""
-    columns = small_domains(df, cap, t=t)
-    if not columns:
-        return None
-    counts = value_counts(df, columns).filter(F.col("value").isNotNull())
+def _small_counts(df: DataFrame, cap: int, t: Thresholds, counts: DataFrame | None) -> DataFrame:
+    """Value counts of columns with at most ``cap`` distinct values, nulls left out."""
+    counts = (domain_counts(df, cap, t) if counts is None else counts).filter(F.col("value").isNotNull())
     fitting = counts.groupBy("column").agg(F.count(F.lit(1)).alias("cardinality")).filter(F.col("cardinality") <= cap)
-    # one row per column
-    return counts.join(F.broadcast(fitting), "column")
+    return counts.join(F.broadcast(fitting), "column")  # one row per column
 
 
-def whitespace_variants(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def whitespace_variants(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame | None = None) -> DataFrame:
     """Small-domain columns where values coincide once trimmed; with the cells that carry outer blanks."""
-    schema = "`column` string, raw_values bigint, trimmed_values bigint, padded_cells bigint"
-    counts = _small_counts(df, t.variant_max_distinct, t)
-    if counts is None:
-        return empty(df, schema)
+    counts = _small_counts(df, t.variant_max_distinct, t, counts)
     trimmed = strip(F.col("value"))
     return (
         counts.groupBy("column", trimmed.alias("trimmed"))
@@ -133,17 +126,16 @@ def whitespace_variants(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
-def case_variants(df: DataFrame, t: Thresholds = DEFAULTS, capped: bool = True) -> DataFrame:
+def case_variants(
+    df: DataFrame, t: Thresholds = DEFAULTS, capped: bool = True, counts: DataFrame | None = None
+) -> DataFrame:
     """Groups of values that differ by case only: (column, folded, variants, cells, forms).
 
     ``capped`` looks at columns of at most ``variant_max_distinct`` values after trimming; otherwise at every
     column, outer blanks making a variant too, and without listing the forms, whose number is then unbounded.
     """
-    schema = "`column` string, folded string, variants bigint, cells bigint, forms array<string>"
     if capped:
-        counts = _small_counts(df, t.variant_max_distinct, t)
-        if counts is None:
-            return empty(df, schema)
+        counts = _small_counts(df, t.variant_max_distinct, t, counts)
         form = strip(F.col("value"))
         forms = F.sort_array(F.collect_list("form"))
     else:
@@ -162,36 +154,28 @@ def case_variants(df: DataFrame, t: Thresholds = DEFAULTS, capped: bool = True)
 # --- codes and labels --------------------------------------------------------
 
 
-def code_label_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> tuple[list[str], list[str]]:
+def code_label_columns(
+    df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None = None
+) -> tuple[list[str], list[str]]:
     """Columns that look like codes (few distinct numbers) and like their labels (few distinct words)."""
-    columns = columns_of(df, None)
-    metrics: dict[str, Column] = {}
-    for c in columns:
-        x = number_of(df, c)
-        metrics[f"filled {c}"] = F.count(ref(c))
-        metrics[f"numbers {c}"] = F.count(x)
-        metrics[f"about {c}"] = F.approx_count_distinct(ref(c))
-        metrics[f"about numbers {c}"] = F.approx_count_distinct(x)
-    m = measure(df, metrics)
+    seen = seen or scan(df, ("filled", "numbers", "about_distinct", "about_numbers"))
     maybe_codes, maybe_labels = [], []
-    for c in columns:
-        filled = m[f"filled {c}"]
-        if not filled:
+    for c in seen.columns:
+        ratio = seen.numeric_ratio(c)
+        if ratio is None:
             continue
-        ratio = m[f"numbers {c}"] / filled
-        if ratio >= t.numeric_ratio and m[f"about numbers {c}"] <= t.code_max_distinct * t.domain_slack:
+        if ratio >= t.numeric_ratio and seen.of(c, "about_numbers") <= t.code_max_distinct * t.domain_slack:
             maybe_codes.append(c)
-        elif ratio < t.label_numeric_ratio and m[f"about {c}"] <= t.label_max_distinct * t.domain_slack:
+        elif ratio < t.label_numeric_ratio and seen.of(c, "about_distinct") <= t.label_max_distinct * t.domain_slack:
             maybe_labels.append(c)
     # The sketch only narrowed the candidates; the caps are compared with exact counts.
     exact: dict[tuple[str, str], int] = {}
     if maybe_codes or maybe_labels:
-        value = F.col("value")
         rows = (
             value_counts(df, maybe_codes + maybe_labels)
-            .filter(value.isNotNull())
+            .select("column", "value", to_number(F.col("value")).alias("x"))
             .groupBy("column")
-            .agg(F.count(F.lit(1)).alias("distinct"), F.count_distinct(to_number(value)).alias("numbers"))
+            .agg(F.count("value").alias("distinct"), F.count_distinct("x").alias("numbers"))
             .collect()
         )
         exact = {(r["column"], k): r[k] for r in rows for k in ("distinct", "numbers")}
@@ -213,7 +197,11 @@ def paired_by_name(columns: Sequence[str]) -> list[tuple[str, str]]:
 
 
 def code_label_consistency(
-    df: DataFrame, t: Thresholds = DEFAULTS, pairs: Sequence[tuple[str, str]] | None = None, only_broken: bool = True
+    df: DataFrame,
+    t: Thresholds = DEFAULTS,
+    pairs: Sequence[tuple[str, str]] | None = None,
+    only_broken: bool = True,
+    seen: Scan | None = None,
 ) -> DataFrame:
     """(code_column, label_column, codes, inconsistent, pct_inconsistent) per pair.
 
@@ -222,7 +210,7 @@ def code_label_consistency(
     """
     schema = "code_column string, label_column string, codes bigint, inconsistent bigint, pct_inconsistent double"
     if pairs is None:
-        codes, labels = code_label_columns(df, t)
+        codes, labels = code_label_columns(df, t, seen)
         pairs = [(c, label) for c in codes for label in labels if c != label]
     if not pairs:
         return empty(df, schema)
@@ -261,28 +249,23 @@ def code_label_consistency(
 # --- periods -----------------------------------------------------------------
 
 
-def period_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> tuple[list[str], list[str]]:
+def period_columns(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None = None) -> tuple[list[str], list[str]]:
     """(period code columns, columns numeric in nearly all rows), found in one pass."""
-    columns = columns_of(df, None)
-    metrics: dict[str, Column] = {"rows": F.count(F.lit(1))}
-    for c in columns:
-        x = number_of(df, c)
-        metrics[f"filled {c}"] = F.count(ref(c))
-        metrics[f"numbers {c}"] = F.count(x)
-        metrics[f"periods {c}"] = F.count_if(is_period(x))
-    m = measure(df, metrics)
+    seen = seen or scan(df, ("filled", "numbers", "periods"))
     periods, numeric = [], []
-    for c in columns:
-        filled, numbers = m[f"filled {c}"], m[f"numbers {c}"]
-        if m["rows"] and numbers / m["rows"] >= t.numeric_ratio:
+    for c in seen.columns:
+        numbers = seen.of(c, "numbers")
+        if not numbers:
+            continue
+        if numbers / seen.rows >= t.numeric_ratio:
             numeric.append(c)
-        if filled >= t.pair_min_rows and numbers and numbers / filled >= t.numeric_ratio:
-            if m[f"periods {c}"] / numbers >= t.numeric_ratio:
+        if seen.of(c, "filled") >= t.pair_min_rows and seen.numeric_ratio(c) >= t.numeric_ratio:
+            if seen.of(c, "periods") / numbers >= t.numeric_ratio:
                 periods.append(c)
     return periods, numeric
 
 
-def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None = None) -> DataFrame:
     """(period_column, other_column, part, aligned_rows, mismatch_count, pct_mismatch).
 
     Compares each period code with every column that holds years or months. Values of one row meet in the row
@@ -292,18 +275,21 @@ def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
         "period_column string, other_column string, part string, aligned_rows bigint, "
         "mismatch_count bigint, pct_mismatch double"
     )
-    periods, numeric = period_columns(df, t)
+    periods, numeric = period_columns(df, t, seen)
     pairs = [(p, o) for p in periods for o in numeric if o != p]
+    involved = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = {c: F.col(f"x{i}") for i, c in enumerate(involved)}
+    read = df.select(*[number_of(df, c).cast("long").alias(f"x{i}") for i, c in enumerate(involved)])
     metrics: dict[str, Column] = {}
     for k, (p, o) in enumerate(pairs):
-        period, other = number_of(df, p).cast("long"), number_of(df, o).cast("long")
-        both = period.isNotNull() & other.isNotNull()
-        metrics[f"rows{k}"] = F.count_if(both)
-        metrics[f"years{k}"] = F.count_if(both & other.between(1900, 2100))
-        metrics[f"months{k}"] = F.count_if(both & other.between(1, 12))
-        metrics[f"off_year{k}"] = F.count_if(both & (F.floor(period / 100) != other))
-        metrics[f"off_month{k}"] = F.count_if(both & (F.pmod(period, F.lit(100)) != other))
-    m = measure(df, metrics) if metrics else {}
+        period, other = at[p], at[o]
+        aligned = period.isNotNull()
+        metrics[f"rows{k}"] = F.count(period + other)
+        metrics[f"years{k}"] = F.count_if(aligned & other.between(1900, 2100))
+        metrics[f"months{k}"] = F.count_if(aligned & other.between(1, 12))
+        metrics[f"off_year{k}"] = F.count_if(F.floor(period / 100) != other)
+        metrics[f"off_month{k}"] = F.count_if(F.pmod(period, F.lit(100)) != other)
+    m = measure(read, metrics) if metrics else {}
     found = []
     for k, (p, o) in enumerate(pairs):
         rows = m[f"rows{k}"]
@@ -323,32 +309,14 @@ def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 # --- signs -------------------------------------------------------------------
 
 
-def negative_values(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def negative_values(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None = None) -> DataFrame:
     """Numeric columns with negative values; columns named like amounts are HIGH priority."""
-    x = to_number(F.col("value"))
-    low = F.lower(F.col("column"))
-    keyword = F.lit(False)
-    for word in AMOUNT_KEYWORDS:
-        keyword = keyword | low.contains(word)
-    return (
-        cells(df)
-        .select("column", "value", x.alias("x"))
-        .groupBy("column")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count("value").alias("filled"),
-            F.count("x").alias("numbers"),
-            F.count_if(F.col("x") < 0).alias("negatives"),
-            F.min("x").alias("min_value"),
-        )
-        .filter(F.col("numbers") >= t.negative_min_values)
-        .filter(share(F.col("numbers"), F.col("filled")) >= t.numeric_ratio)
-        .filter("negatives > 0")
-        .select(
-            "column",
-            F.when(keyword, "HIGH").otherwise("MODERATE").alias("priority"),
-            "negatives",
-            pct(F.col("negatives"), F.col("row_count")).alias("pct_of_rows"),
-            "min_value",
-        )
-    )
+    seen = seen or scan(df, ("filled", "numbers", "negatives", "min"))
+    rows = []
+    for c in seen.columns:
+        negatives = seen.of(c, "negatives")
+        if seen.of(c, "numbers") < t.negative_min_values or seen.numeric_ratio(c) < t.numeric_ratio or not negatives:
+            continue
+        priority = "HIGH" if any(word in c.lower() for word in AMOUNT_KEYWORDS) else "MODERATE"
+        rows.append((c, priority, negatives, round(negatives / seen.rows * 100, 2), seen.of(c, "min")))
+    return small_frame(df, rows, "`column` string, priority string, negatives bigint, pct_of_rows double, min_value double")

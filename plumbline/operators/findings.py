@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from plumbline.config import DEFAULTS, Thresholds
 from plumbline.operators import anomaly, completeness, consistency, duplicates, schema
+from plumbline.operators.domains import domain_counts
+from plumbline.operators.scan import scan
+from plumbline.session import cut
 
 
 def _long(
@@ -32,49 +35,69 @@ def _long(
     )
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """One job for all checks of a stage, kept in reliable storage: a few rows per column."""
+    return cut(reduce(DataFrame.unionByName, parts))
+
+
 def schema_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """Types, names and repeated columns."""
     parts = [
         _long("type_contamination", schema.type_contamination(df, t), "bad_count", severity=F.col("severity"), examples=F.col("examples")),
         _long("date_contamination", schema.date_contamination(df, t), "bad_count", severity=F.col("severity")),
         _long("naming", schema.naming_violations(df), "cells", examples=F.array("issue")),
         _long("duplicate_columns", schema.duplicate_columns(df, t), "jaccard", column_b=F.col("column_b")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
 def completeness_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """Missing cells per column and row, and the overall rate."""
     missing = completeness.missing_by_column(df)
     parts = [
         _long("missing", missing, "null_pct", severity=completeness.severity_from(F.col("null_pct"))),
         _long("rows_with_missing", completeness.rows_with_missing(df), "rows_with_any_null", column=F.lit("ALL")),
         _long("sparse", completeness.sparse_columns(df, t), "missing_pct", severity=F.col("bucket")),
+        _long("completeness", completeness.completeness_overall(df), "overall_completeness_pct", column=F.lit("ALL"), severity=F.col("completeness_class")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
 def consistency_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    mixed = consistency.mixed_formats(df)
-    cased = consistency.case_variants(df, t).groupBy("column").agg(F.sum("variants").alias("variants"))
+    """Formats, spellings, mappings, periods, signs and duplicates. One scan feeds all checks that pick columns."""
+    seen = scan(df, ("filled", "numbers", "periods", "negatives", "min", "about_distinct", "about_numbers"))
+    counts = cut(domain_counts(df, t.variant_max_distinct, t, seen))
+    cased = consistency.case_variants(df, t, counts=counts).groupBy("column").agg(F.sum("variants").alias("variants"))
+    mapped = consistency.code_label_consistency(df, t, seen=seen)
+    periods = consistency.period_mismatches(df, t, seen)
     parts = [
-        _long("mixed_formats", mixed, "formats", examples=F.map_keys("distribution")),
-        _long("whitespace", consistency.whitespace_variants(df, t), "padded_cells"),
+        _long("mixed_formats", consistency.mixed_formats(df), "formats", examples=F.map_keys("distribution")),
+        _long("whitespace", consistency.whitespace_variants(df, t, counts), "padded_cells"),
         _long("case", cased, "variants"),
-        _long("code_label", consistency.code_label_consistency(df, t), "inconsistent", F.col("code_column"), F.col("label_column")),
-        _long("period", consistency.period_mismatches(df, t), "mismatch_count", F.col("period_column"), F.col("other_column"), examples=F.array("part")),
-        _long("negative", consistency.negative_values(df, t), "negatives", severity=F.col("priority")),
+        _long("code_label", mapped, "inconsistent", F.col("code_column"), F.col("label_column")),
+        _long("period", periods, "mismatch_count", F.col("period_column"), F.col("other_column"), examples=F.array("part")),
+        _long("negative", consistency.negative_values(df, t, seen), "negatives", severity=F.col("priority")),
         _long("exact_duplicates", duplicates.exact_duplicates(df, t).filter("duplicate_rows > 0"), "duplicate_rows", F.lit("ALL")),
         _long("near_duplicates", duplicates.near_duplicates(df, t=t).filter("affected_rows > 0"), "affected_rows", F.lit("ALL"), F.col("key_columns")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
 def anomaly_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    outliers = anomaly.numeric_outliers(df, t)
-    rare = anomaly.rare_categories(df, t)
+    """Outliers and odd categories."""
+    seen = scan(df, ("filled", "numbers", "min", "max", "mean", "std", "std_population", "about_distinct"))
+    counts = cut(domain_counts(df, t.rare_max_distinct, t, seen))
+    outliers = anomaly.numeric_outliers(df, t, seen=seen)
     parts = [
-        _long("iqr_outliers", outliers, "iqr_outliers", severity=F.col("severity_strict")),
-        _long("zscore_outliers", outliers, "z_outliers"),
-        _long("rare_value", rare, "cnt", examples=F.array("value")),
-        _long("invalid_marker", anomaly.invalid_markers(df, t), "cnt", examples=F.array("value")),
+        _long("iqr_outliers", outliers.filter("iqr_outliers > 0"), "iqr_outliers", severity=F.col("severity_strict")),
+        _long("zscore_outliers", outliers.filter("z_outliers > 0"), "z_outliers"),
+        _long("rare_value", anomaly.rare_categories(df, t, counts), "cnt", examples=F.array("value")),
+        _long("invalid_marker", anomaly.invalid_markers(df, t, counts), "cnt", examples=F.array("value")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
+
+
+def all_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """Every check on one table."""
+    checks = (schema_findings, completeness_findings, consistency_findings, anomaly_findings)
+    return reduce(DataFrame.unionByName, [check(df, t) for check in checks])

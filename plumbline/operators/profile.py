@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.config import BOOLEAN_WORDS, DEFAULTS, Thresholds
 from plumbline.functions import names
 from plumbline.functions.dates import with_dates
-from plumbline.functions.numbers import pct, share, to_number
+from plumbline.functions.numbers import pct, rounded, share, to_number
 from plumbline.operators.cells import columns_of, common_first, ordinal, value_counts
 
 
@@ -84,7 +84,7 @@ def profile_columns(
         .withColumn("null_pct", F.coalesce(pct(F.col("null_count"), F.col("row_count")), F.lit(0.0)))
         .withColumn(
             "cardinality_ratio",
-            F.coalesce(F.round(share(F.col("cardinality"), F.col("row_count")), 4), F.lit(0.0)),
+            F.coalesce(rounded(share(F.col("cardinality"), F.col("row_count")), 4), F.lit(0.0)),
         )
         .withColumn("semantic_type", semantic_type(t))
     )
@@ -164,8 +164,8 @@ def profile_summary(profile: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     return profile.agg(
         F.count(F.lit(1)).alias("total_columns"),
         F.coalesce(F.max("row_count"), F.lit(0)).alias("total_rows"),
-        F.round(complete / 100.0, 4).alias("overall_completeness"),
-        F.round(complete, 2).alias("overall_completeness_pct"),
+        rounded(complete / 100.0, 4).alias("overall_completeness"),
+        rounded(complete, 2).alias("overall_completeness_pct"),
         listed(kind == "numeric").alias("numeric_columns"),
         listed(kind.isin("categorical", "text", "identifier", "boolean")).alias("categorical_columns"),
         listed(kind == "date").alias("date_columns"),

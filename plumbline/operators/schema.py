@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.config import DEFAULTS, Thresholds
 from plumbline.functions import names
 from plumbline.functions.dates import with_dates
-from plumbline.functions.numbers import pct, share, to_number
+from plumbline.functions.numbers import pct, rounded, share, to_number
 from plumbline.functions.text import drop_separators, fold, is_placeholder, ref, strip
 from plumbline.operators.cells import cells, columns_of, common_first, empty, measure, small_frame
 from plumbline.operators.profile import date_cells
@@ -192,7 +192,7 @@ def duplicate_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
         return hits
     position = F.element_at(F.create_map(*[F.lit(x) for c, i in order.items() for x in (c, i)]), F.col("column_b"))
     return hits.groupBy("column").agg(
-        F.max_by("column_b", position).alias("column_b"), F.round(F.max_by("jaccard", position), 4).alias("jaccard")
+        F.max_by("column_b", position).alias("column_b"), rounded(F.max_by("jaccard", position), 4).alias("jaccard")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from plumbline.config import DEFAULTS, ENRICHMENT_ACTIONS, YEAR_WORDS, Thresholds
 from plumbline.functions import names
-from plumbline.functions.numbers import expand_year, is_whole, to_number
+from plumbline.functions.numbers import expand_year, is_whole, rounded, to_number
 from plumbline.functions.text import drop_currency, drop_separators, is_placeholder, null_placeholders, ref, strip
 from plumbline.operators.cells import columns_of, measure, number_of
 from plumbline.operators.changes import Fixed
@@ -145,7 +145,7 @@ def coerce_years(df: DataFrame, columns: Sequence[str], min_values: int = 5) ->
 
 def round_decimals(df: DataFrame, decimals: Mapping[str, int]) -> DataFrame:
     """Round half to even."""
-    return df.withColumns({c: F.bround(number_of(df, c), d) for c, d in decimals.items()})
+    return df.withColumns({c: rounded(number_of(df, c), d) for c, d in decimals.items()})
 
 
 def coerce_integers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -308,7 +308,7 @@ def fix_schema(
             doubles[c] = expand_year(F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x)).cast("double"))
             fixed.note("expand_year", c, m[f"short {c}"])
         elif action == "round_Ndp" and m[f"numbers {c}"]:
-            doubles[c] = F.bround(x, int(e["params"].get("decimals", 2)))
+            doubles[c] = rounded(x, int(e["params"].get("decimals", 2)))
             fixed.note("round_decimals", c, m[f"numbers {c}"])
         elif action == "coerce_int" and m[f"numbers {c}"]:
             doubles.setdefault(c, x)

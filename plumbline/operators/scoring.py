@@ -2,66 +2,40 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.config import DEFAULTS, Thresholds
-from plumbline.functions.numbers import share
-from plumbline.operators.anomaly import numeric_outliers, rare_categories
+from plumbline.functions.numbers import rounded, share
 from plumbline.operators.cells import measure, small_frame
-from plumbline.operators.completeness import completeness_overall, missing_by_column
-from plumbline.operators.consistency import code_label_consistency, mixed_formats, period_mismatches
-from plumbline.operators.duplicates import exact_duplicates
-from plumbline.operators.schema import date_contamination, naming_violations, type_contamination
-
-
-@dataclass(frozen=True)
-class Metrics:
-    """What the scores are computed from: one number per kind of issue."""
-
-    column_count: int
-    avg_missing_pct: float  # mean over the columns with missing cells
-    naming_issues: int
-    type_issues: int
-    completeness_pct: float
-    format_issues: int
-    duplicate_rows: int
-    iqr_outliers: int
-    outlier_penalty: float  # sum over columns of min(outliers / 50, 10)
-    rare_values: int
-    cross_column: bool
-
-
-METRICS_SCHEMA = (
-    "column_count bigint, avg_missing_pct double, naming_issues bigint, type_issues bigint, completeness_pct double, "
-    "format_issues bigint, duplicate_rows bigint, iqr_outliers bigint, outlier_penalty double, rare_values bigint, "
-    "cross_column boolean"
-)
-
-
-def quality_metrics(df: DataFrame, t: Thresholds = DEFAULTS) -> Metrics:
-    """Run the checks and keep one figure of each."""
-    missing = missing_by_column(df).agg(F.coalesce(F.avg("null_pct"), F.lit(0.0))).first()[0]
-    outliers = [r["iqr_outliers"] for r in numeric_outliers(df, t).collect()]
-    return Metrics(
-        column_count=len(df.columns),
-        avg_missing_pct=missing,
-        naming_issues=naming_violations(df).count(),
-        type_issues=type_contamination(df, t, examples=False).count() + date_contamination(df, t).count(),
-        completeness_pct=completeness_overall(df).first()["overall_completeness_pct"] or 0.0,
-        format_issues=mixed_formats(df).count(),
-        duplicate_rows=exact_duplicates(df, t).first()["duplicate_rows"],
-        iqr_outliers=sum(outliers),
-        outlier_penalty=float(sum(min(n / 50, 10) for n in outliers)),
-        rare_values=rare_categories(df, t).count(),
-        cross_column=bool(code_label_consistency(df, t).count() or period_mismatches(df, t).count()),
-    )
 
 
-def metrics_frame(df: DataFrame, metrics: Metrics) -> DataFrame:
-    return small_frame(df, [tuple(asdict(metrics).values())], METRICS_SCHEMA)
+def quality_metrics(findings: DataFrame, column_count: int) -> DataFrame:
+    """One row with a figure per kind of issue, taken from a findings frame.
+
+    ``avg_missing_pct`` is the mean over columns with missing cells, ``outlier_penalty`` the sum over columns of
+    outliers / 50, at most 10 each.
+    """
+    check, value = F.col("check"), F.col("value")
+
+    def number(*names: str) -> Column:
+        return F.count_if(check.isin(*names))
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(check == name, value)), F.lit(0.0))
+
+    return findings.agg(
+        F.lit(column_count).cast("long").alias("column_count"),
+        F.coalesce(F.avg(F.when(check == "missing", value)), F.lit(0.0)).alias("avg_missing_pct"),
+        number("naming").alias("naming_issues"),
+        number("type_contamination", "date_contamination").alias("type_issues"),
+        F.coalesce(F.max(F.when(check == "completeness", value)), F.lit(100.0)).alias("completeness_pct"),
+        number("mixed_formats").alias("format_issues"),
+        total("exact_duplicates").cast("long").alias("duplicate_rows"),
+        total("iqr_outliers").cast("long").alias("iqr_outliers"),
+        F.coalesce(F.sum(F.when(check == "iqr_outliers", F.least(value / 50, F.lit(10.0)))), F.lit(0.0)).alias("outlier_penalty"),
+        number("rare_value").alias("rare_values"),
+        (number("code_label", "period") > 0).alias("cross_column"),
+    )
 
 
 # --- scores ------------------------------------------------------------------
@@ -87,16 +61,16 @@ def _capped(x: Column, cap: float) -> Column:
 def reliability_score(metrics: DataFrame) -> DataFrame:
     """Metrics rows with deductions, score (0-100) and grade."""
     deductions = {
-        "missing_deduction": F.round(_capped(F.col("avg_missing_pct") * 0.4, 20), 1),
-        "naming_deduction": F.round(_capped(F.col("naming_issues") * _scale(), 5), 1),
-        "duplicate_deduction": F.round(_capped(F.col("duplicate_rows") / 100, 10), 1),
-        "outlier_deduction": F.round(_capped(F.col("iqr_outliers") / 50, 10), 1),
+        "missing_deduction": rounded(_capped(F.col("avg_missing_pct") * 0.4, 20), 1),
+        "naming_deduction": rounded(_capped(F.col("naming_issues") * _scale(), 5), 1),
+        "duplicate_deduction": rounded(_capped(F.col("duplicate_rows") / 100, 10), 1),
+        "outlier_deduction": rounded(_capped(F.col("iqr_outliers") / 50, 10), 1),
         "cross_deduction": F.when(F.col("cross_column"), 5.0).otherwise(0.0),
     }
     total = sum((F.col(d) for d in deductions), F.lit(0.0))
     return (
         metrics.withColumns(deductions)
-        .withColumn("score", F.greatest(F.lit(0.0), F.round(F.lit(100.0) - total, 1)))
+        .withColumn("score", F.greatest(F.lit(0.0), rounded(F.lit(100.0) - total, 1)))
         .withColumn("grade", grade(F.col("score")))
     )
 
@@ -112,7 +86,7 @@ def documented_score(metrics: DataFrame) -> DataFrame:
         + _capped(F.col("duplicate_rows") / 100, 10)
         + F.col("outlier_penalty")
     )
-    return metrics.withColumn("score", F.greatest(F.lit(0.0), F.round(F.lit(100.0) - total, 1))).withColumn(
+    return metrics.withColumn("score", F.greatest(F.lit(0.0), rounded(F.lit(100.0) - total, 1))).withColumn(
         "grade", grade(F.col("score"))
     )
 
@@ -131,8 +105,8 @@ def null_rate_score(rates: DataFrame, text_columns: list[str]) -> DataFrame:
     return (
         rates.agg(F.coalesce(F.sum(cost + extra), F.lit(0.0)).alias("deduction"))
         .select(
-            F.round("deduction", 4).alias("deduction"),
-            F.greatest(F.lit(0.0), F.round(F.lit(100.0) - F.col("deduction"), 1)).alias("score"),
+            rounded(F.col("deduction"), 4).alias("deduction"),
+            F.greatest(F.lit(0.0), rounded(F.lit(100.0) - F.col("deduction"), 1)).alias("score"),
         )
         .withColumn("grade", grade_strict(F.col("score")))
     )
@@ -207,7 +181,7 @@ def expected_score(score: float, steps: DataFrame) -> DataFrame:
         steps.filter("priority <= 3")
         .agg(gain.alias("gain"))
         .select(
-            F.lit(score).alias("score"), "gain", F.least(F.lit(100.0), F.round(F.lit(score) + F.col("gain"), 1)).alias("expected_score")
+            F.lit(score).alias("score"), "gain", F.least(F.lit(100.0), rounded(F.lit(score) + F.col("gain"), 1)).alias("expected_score")
         )
     )
 

@@ -19,13 +19,19 @@ from plumbline.operators.consistency_fixes import fix_consistency
 from plumbline.operators.profile import TableProfile, profile_columns, profile_summary, take_profile
 from plumbline.operators.remediation import apply_suggestions
 from plumbline.operators.schema_fixes import fix_schema, propose_enrichments
-from plumbline.operators.scoring import metrics_frame, quality_metrics, reliability_score, roadmap, suggestions
+from plumbline.operators.scoring import quality_metrics, reliability_score, roadmap, suggestions
 from plumbline.session import cut
 from plumbline.sources.sinks import write_findings, write_stage
 from plumbline.sources.tables import text_layer
 
 STAGES = ("schema", "completeness", "consistency", "anomaly", "remediation")
 _VERSIONS = {"schema": 1, "completeness": 2, "consistency": 3, "remediation": 4}
+_CHECKS = {
+    "schema": found.schema_findings,
+    "completeness": found.completeness_findings,
+    "consistency": found.consistency_findings,
+    "anomaly": found.anomaly_findings,
+}
 MAX_REPEATS = 2
 
 
@@ -53,6 +59,10 @@ def repeat_stage(last: str, fixed: Fixed | None, total_rows: Column | int, repea
     return None
 
 
+def _metrics(stage_findings: list[DataFrame], raw: DataFrame) -> DataFrame:
+    return quality_metrics(reduce(DataFrame.unionByName, stage_findings), len(raw.columns))
+
+
 @dataclass
 class Report:
     df: DataFrame
@@ -73,15 +83,14 @@ def run(
     folder: str | None = None,
     fmt: str = "parquet",
 ) -> Report:
-    """Run every stage the profile calls for and score the table as it came.
+    """Run every stage the profile calls for; each checks the table as the stages before it left it.
 
     Each stage's table is written below ``folder`` (or checkpointed), so later stages read it instead of repeating
     the earlier ones and a lost executor costs one stage at most. Without ``enrichments`` they are derived from the
     values.
     """
     raw = text_layer(df)
-    summary_of = profile_columns(raw, t)
-    profile_rows = cut(summary_of)
+    profile_rows = cut(profile_columns(raw, t))
     profile = take_profile(profile_rows, columns_of(raw, None))
     summary = profile_summary(profile_rows, t)
     gates = stage_gates(summary).first().asDict()
@@ -89,11 +98,7 @@ def run(
     if enrichments is None:
         enrichments = propose_enrichments(raw, numeric)
 
-    metrics = quality_metrics(raw, t)
-    metric_rows = metrics_frame(raw, metrics)
-    proposed = suggestions(metric_rows)
-
-    current, outputs, changes, all_findings, log = raw, {}, [], [], []
+    current, outputs, changes, stage_findings, log = raw, {}, [], [], []
     done: list[str] = []
     runs: dict[str, int] = {}
     repeats, last, fixed = 0, "", None
@@ -107,14 +112,8 @@ def run(
             reason = "profile"
         if stage is None:
             break
-        checks = {
-            "schema": found.schema_findings,
-            "completeness": found.completeness_findings,
-            "consistency": found.consistency_findings,
-            "anomaly": found.anomaly_findings,
-        }.get(stage)
-        if checks is not None and stage not in done:
-            all_findings.append(checks(current, t))
+        if stage in _CHECKS and stage not in done:
+            stage_findings.append(_CHECKS[stage](current, t))
         if stage == "schema":
             fixed = fix_schema(current, profile, enrichments, t)
         elif stage == "completeness":
@@ -122,7 +121,8 @@ def run(
         elif stage == "consistency":
             fixed = fix_consistency(current, profile, t)
         elif stage == "remediation":
-            fixed, _ = apply_suggestions(current, proposed, t)
+            metrics = _metrics(stage_findings, raw)
+            fixed, _ = apply_suggestions(current, suggestions(metrics), t)
         else:
             fixed = None
         if fixed is not None:
@@ -139,7 +139,8 @@ def run(
         )
         last = stage
 
-    long = reduce(DataFrame.unionByName, all_findings)
+    metrics = _metrics(stage_findings, raw)
+    long = reduce(DataFrame.unionByName, stage_findings)
     if folder:
         write_findings(long, f"{folder}/findings")
     return Report(
@@ -150,8 +151,8 @@ def run(
         log=small_frame(
             raw, log, "step bigint, stage string, reason string, rows_removed bigint, types_changed bigint"
         ),
-        score=reliability_score(metric_rows),
-        suggestions=proposed,
-        roadmap=roadmap(metric_rows),
+        score=reliability_score(metrics),
+        suggestions=suggestions(metrics),
+        roadmap=roadmap(metrics),
         stages=outputs,
     )

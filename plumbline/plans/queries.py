@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.numbers import rounded
 from plumbline.functions.text import ref
 from plumbline.operators import (
     anomaly,
@@ -34,6 +35,12 @@ from plumbline.session import cut, shared_folder
 from plumbline.sources import csv, sinks
 from plumbline.sources.tables import load, spread, text_layer
 
+# What an analyst asks for beyond the profile; the values alone leave the year 2001 written as 1 ambiguous.
+ENRICHMENTS = {
+    "anno": {"fix_action": "coerce_year", "params": {}},
+    "quota": {"fix_action": "round_Ndp", "params": {"decimals": 2}},
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,7 +49,7 @@ def _joined(c: str | Column) -> Column:
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: rounded(F.col(c), digits) for c in columns})
 
 
 def _printed(df: DataFrame) -> DataFrame:
@@ -155,7 +162,7 @@ def domain_overlap(spark: SparkSession, folder: str) -> DataFrame:
     keys = load(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     return schema.domain_overlap(
         keys, [("l_orderkey", "l_partkey"), ("l_orderkey", "l_suppkey"), ("l_partkey", "l_suppkey")]
-    ).withColumn("jaccard", F.round("jaccard", 4))
+    ).withColumn("jaccard", rounded(F.col("jaccard"), 4))
 
 
 def strip_currency(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,9 +211,7 @@ def enrichment_proposals(spark: SparkSession, folder: str) -> DataFrame:
 
 def schema_fix(spark: SparkSession, folder: str) -> DataFrame:
     df = dirty_orders(spark, folder)
-    known = profile.profile_table(df)
-    plan = schema_fixes.propose_enrichments(df, known.typed("numeric"))
-    return _printed(schema_fixes.fix_schema(df, known, plan).df)
+    return _printed(schema_fixes.fix_schema(df, profile.profile_table(df), ENRICHMENTS).df)
 
 
 # --- consistency -------------------------------------------------------------
@@ -215,7 +220,7 @@ def schema_fix(spark: SparkSession, folder: str) -> DataFrame:
 def mixed_formats(spark: SparkSession, folder: str) -> DataFrame:
     out = consistency.mixed_formats(dirty_orders(spark, folder))
     entries = F.transform(F.map_entries("distribution"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
-    return out.select("column", F.round("date_share", 4).alias("date_share"), "formats", _joined(F.array_sort(entries)).alias("distribution"))
+    return out.select("column", rounded(F.col("date_share"), 4).alias("date_share"), "formats", _joined(F.array_sort(entries)).alias("distribution"))
 
 
 def case_variants(spark: SparkSession, folder: str) -> DataFrame:
@@ -348,7 +353,7 @@ def trim_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def _metrics(spark: SparkSession, folder: str) -> DataFrame:
     df = cut(dirty_orders(spark, folder))
-    return scoring.metrics_frame(df, scoring.quality_metrics(df))
+    return cut(scoring.quality_metrics(findings.all_findings(df), len(df.columns)))
 
 
 def reliability_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -380,7 +385,7 @@ def expected_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def apply_suggestions(spark: SparkSession, folder: str) -> DataFrame:
     df = cut(dirty_orders(spark, folder))
-    proposed = scoring.suggestions(scoring.metrics_frame(df, scoring.quality_metrics(df)))
+    proposed = scoring.suggestions(scoring.quality_metrics(findings.all_findings(df), len(df.columns)))
     return remediation.apply_suggestions(df, proposed)[0].df
 
 
@@ -429,23 +434,26 @@ def document_numbers(spark: SparkSession, folder: str) -> DataFrame:
 # --- pipeline ----------------------------------------------------------------
 
 
+def _run(spark: SparkSession, folder: str) -> pipeline.Report:
+    return pipeline.run(cut(dirty_orders(spark, folder)), enrichments=ENRICHMENTS)
+
+
 def pipeline_table(spark: SparkSession, folder: str) -> DataFrame:
-    return _printed(pipeline.run(dirty_orders(spark, folder)).df)
+    return _printed(_run(spark, folder).df)
 
 
 def pipeline_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return changes.changes_per_stage(pipeline.run(dirty_orders(spark, folder)).changes)
+    return changes.changes_per_stage(_run(spark, folder).changes)
 
 
 def pipeline_log(spark: SparkSession, folder: str) -> DataFrame:
-    return pipeline.run(dirty_orders(spark, folder)).log
+    return _run(spark, folder).log
 
 
 def before_after(spark: SparkSession, folder: str) -> DataFrame:
-    df = dirty_orders(spark, folder)
-    report = pipeline.run(df)
+    report = _run(spark, folder)
     score = report.score.first()
-    return scoring.before_after(df, report.df, score["score"], score["grade"])
+    return scoring.before_after(dirty_orders(spark, folder), report.df, score["score"], score["grade"])
 
 
 def _over_dirty(check: Callable[[DataFrame], DataFrame]) -> Query:
