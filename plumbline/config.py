@@ -120,7 +120,7 @@ class Thresholds:
     percentile_rows: int = 1_000_000  # above this many values a quantile is refined in passes
     broadcast_rows: int = 1_000_000  # above this many rows a lookup is not broadcast
     domain_slack: int = 10  # a column whose estimated distinct count exceeds cap*slack leaves domain checks
-    pairs_per_pass: int = 120  # column pairs measured in one aggregate
+    pairs_per_pass: int = 48  # column pairs measured in one aggregate
 
 
 DEFAULTS = Thresholds()

@@ -68,6 +68,18 @@ def cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return layer.unpivot([], [ref(c) for c in columns], "column", "value")
 
 
+def numbered_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, value, x): cells with their numeric reading. Numeric columns bring it along, text is parsed once."""
+    columns = columns_of(df, columns)
+    none = F.lit(None).cast("double")
+    triples = []
+    for c in columns:
+        native = isinstance(df.schema[c].dataType, T.NumericType)
+        triples += [F.lit(c), ref(c).cast("string"), ref(c).cast("double") if native else none]
+    stacked = df.select(F.stack(F.lit(len(columns)), *triples).alias("column", "value", "native"))
+    return stacked.select("column", "value", F.coalesce("native", to_number(F.col("value"))).alias("x"))
+
+
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, value, cnt). Copies collapse inside each task, so a value that fills a third of the table
     travels as one row per task."""

@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.dates import is_period
-from plumbline.functions.text import ref
-from plumbline.operators.cells import columns_of, measure, number_of
+from plumbline.operators.cells import columns_of, numbered_cells
 
-# figure -> aggregate over (column, its numeric reading)
+# figure -> aggregate over (cell, its numeric reading)
 _FIGURES: dict[str, Callable[[Column, Column], Column]] = {
     "filled": lambda c, x: F.count(c),
     "numbers": lambda c, x: F.count(x),
@@ -47,15 +46,21 @@ class Scan:
 
 
 def scan(df: DataFrame, figures: Sequence[str] = ALL, columns: Sequence[str] | None = None) -> Scan:
-    """One partial aggregate over the table. The numeric reading is projected first, so each cell is parsed once."""
+    """One pass over the table, one row per column from every task.
+
+    The cells are aggregated by column, so the generated code and the aggregation buffer are those of one column,
+    however wide the table is.
+    """
     columns = columns_of(df, columns)
-    read = df.select(
-        *[ref(c).alias(f"c{i}") for i, c in enumerate(columns)],
-        *[number_of(df, c).alias(f"x{i}") for i, c in enumerate(columns)],
+    found = (
+        numbered_cells(df, columns)
+        .groupBy("column")
+        .agg(F.count(F.lit(1)).alias("rows"), *[_FIGURES[f](F.col("value"), F.col("x")).alias(f) for f in figures])
+        .collect()
+    )
+    values = {r["column"]: {f: r[f] for f in figures} for r in found}
+    counts = ("filled", "numbers", "periods", "negatives", "about_distinct", "about_numbers")
+    nothing = {f: 0 if f in counts else None for f in figures}
+    return Scan(
+        max((r["rows"] for r in found), default=0), tuple(columns), {c: values.get(c, nothing) for c in columns}
     )
-    metrics = {"rows": F.count(F.lit(1))}
-    for i in range(len(columns)):
-        for f in figures:
-            metrics[f"{f} {i}"] = _FIGURES[f](F.col(f"c{i}"), F.col(f"x{i}"))
-    m = measure(read, metrics)
-    return Scan(m["rows"], tuple(columns), {c: {f: m[f"{f} {i}"] for f in figures} for i, c in enumerate(columns)})

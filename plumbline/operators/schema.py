@@ -199,7 +199,8 @@ def duplicate_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 def redundant_pairs(df: DataFrame, t: Thresholds = DEFAULTS, min_rows: int = 10) -> DataFrame:
     """Pairs of columns equal row by row (case and outer blanks ignored) in most rows where both are filled.
 
-    One partial aggregate per ``pairs_per_pass`` pairs; nothing is shuffled but the counts.
+    One partial aggregate per ``pairs_per_pass`` pairs, few enough for whole-stage code; nothing is shuffled but
+    the counts.
     """
     columns = columns_of(df, None)
     folded = text_layer(df).select(*[fold(ref(c)).alias(f"c{i}") for i, c in enumerate(columns)])

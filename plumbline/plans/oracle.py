@@ -376,6 +376,15 @@ v3 AS (SELECT DISTINCT id, rata, anno, mese, spesa, coalesce(CAST({date_of(strip
   LEFT JOIN {_case_fixed('v2', 'stato')} cs ON lower({strip('stato')}) = cs.folded)"""
 
 
+_V1_COLUMNS = (
+    "_id", "rata", "anno", "mese", "spesa", "aggregation_time", "cod_stato", "priorita", "stato", "area_geografica",
+    "note", "quota", "fonte_dato",
+)
+_V3_COLUMNS = (
+    "id", "rata", "anno", "mese", "spesa", "aggregation_time", "cod_stato", "priorita", "stato", "area_geografica", "quota",
+)
+
+
 ORACLE: dict[str, str] = {
     "csv_scan": f"""{WITH} SELECT "column", CAST(any_value(ordinal) AS INT) AS ordinal, count(*) AS row_count,
         count_if(value IS NULL OR value IN {_list(NA_STRINGS)}) AS null_count, ';' AS delimiter FROM cells GROUP BY 1""",
@@ -604,6 +613,15 @@ ORACLE: dict[str, str] = {
     "document_numbers": f"""SELECT doc_id, {_captured('text', '(\\d{1,6})\\s+[a-z]')} AS numbers, CAST(len(regexp_extract_all(text, '(?i)date|rare|type')) AS INT) AS hits,
         CAST(length({_kept('text', ('licensed',))}) AS INT) AS kept_chars FROM documents""",
     "pipeline_table": f"{_PIPELINE} SELECT * FROM v3",
-    "before_after": f"""{_METRICS}, s AS (SELECT score, {_GRADE} AS grade FROM scored)
-        SELECT (SELECT count(*) FROM dirty) AS original_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty)) AS fixed_rows, CAST({len(COLUMNS)} AS BIGINT) AS original_columns, CAST(11 AS BIGINT) AS fixed_columns, score, grade FROM s""",
+    "before_after": f"""{_PIPELINE}, {_cells('v1', _V1_COLUMNS).replace('cells AS', 'cells1 AS')}, {_cells('v3', _V3_COLUMNS).replace('cells AS', 'cells3 AS')},
+        {_NUMERIC.replace('FROM cells', 'FROM cells3')}, {_fences('xs')}, per_out AS ({_outliers('std', 'iqr_outliers > 0')}),
+        miss AS (SELECT round_even(count_if({missing('value')}) * 100.0 / count(*), 2) AS p FROM cells1 GROUP BY "column"),
+        s AS (SELECT round_even(100 - round_even(least((SELECT avg(p) FROM miss WHERE p > 0) * 0.4, 20), 1) - round_even(least(3 * (10 / {len(COLUMNS)}), 5), 1)
+          - round_even(least(((SELECT count(*) FROM v2) - (SELECT count(*) FROM (SELECT DISTINCT * FROM v2))) / 100, 10), 1)
+          - round_even(least((SELECT sum(iqr_outliers) FROM per_out) / 50, 10), 1) - 5, 1) AS score)
+        SELECT (SELECT count(*) FROM dirty) AS original_rows, (SELECT count(*) FROM v3) AS fixed_rows, CAST({len(COLUMNS)} AS BIGINT) AS original_columns,
+        CAST({len(_V3_COLUMNS)} AS BIGINT) AS fixed_columns, score, {_GRADE} AS grade FROM s""",
+    "pipeline_log": f"""{_PIPELINE}, removed AS (SELECT (SELECT count(*) FROM v2) - (SELECT count(*) FROM v3) AS n)
+        SELECT unnest([1, 2, 3, 4, 5]::BIGINT[]) AS step, unnest(['schema', 'completeness', 'consistency', 'anomaly', 'remediation']) AS stage, 'profile' AS reason,
+        unnest([0, 0, n, 0, 0]::BIGINT[]) AS rows_removed, unnest([4, 0, 0, 0, 0]::BIGINT[]) AS types_changed FROM removed""",
 }
