@@ -141,7 +141,7 @@ def read_as(text: Column, name: Column) -> Column:
     chain = None
     for known, value in _readers(text).items():
         chain = F.when(name == known, value) if chain is None else chain.when(name == known, value)
-    return chain
+    return F.when(name.isNotNull(), chain)
 
 
 def with_dates(df: DataFrame, source: str = "value") -> DataFrame:

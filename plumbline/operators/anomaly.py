@@ -58,9 +58,8 @@ def numeric_figures(
 
 def fences(df: DataFrame, figures: dict[str, dict], t: Thresholds = DEFAULTS) -> dict[str, tuple[float, float]]:
     """Lower and upper fence of each column: quartiles widened by ``iqr_factor`` times their distance."""
-    quartiles = exact_quantiles(
-        df, {c: number_of(df, c) for c in figures}, {c: f["numbers"] for c, f in figures.items()}, (0.25, 0.75), t
-    )
+    bounds = {c: (f["numbers"], f["min"], f["max"]) for c, f in figures.items()}
+    quartiles = exact_quantiles(df, {c: number_of(df, c) for c in figures}, (0.25, 0.75), bounds, t)
     return {
         c: (q1 - t.iqr_factor * (q3 - q1), q3 + t.iqr_factor * (q3 - q1)) for c, (q1, q3) in quartiles.items()
     }

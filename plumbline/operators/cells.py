@@ -68,16 +68,21 @@ def cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return layer.unpivot([], [ref(c) for c in columns], "column", "value")
 
 
-def numbered_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, value, x): cells with their numeric reading. Numeric columns bring it along, text is parsed once."""
+def numbered_cells(df: DataFrame, columns: Sequence[str] | None = None, print_numbers: bool = True) -> DataFrame:
+    """(column, filled, value, x): cells with their numeric reading.
+
+    Numeric columns bring it along, text is parsed once. Without ``print_numbers`` numeric columns get no text in
+    ``value``, which saves the slow conversion.
+    """
     columns = columns_of(df, columns)
-    none = F.lit(None).cast("double")
-    triples = []
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    parts = []
     for c in columns:
         native = isinstance(df.schema[c].dataType, T.NumericType)
-        triples += [F.lit(c), ref(c).cast("string"), ref(c).cast("double") if native else none]
-    stacked = df.select(F.stack(F.lit(len(columns)), *triples).alias("column", "value", "native"))
-    return stacked.select("column", "value", F.coalesce("native", to_number(F.col("value"))).alias("x"))
+        text = no_text if native and not print_numbers else ref(c).cast("string")
+        parts += [F.lit(c), ref(c).isNotNull(), text, ref(c).cast("double") if native else no_number]
+    stacked = df.select(F.stack(F.lit(len(columns)), *parts).alias("column", "filled", "value", "native"))
+    return stacked.select("column", "filled", "value", F.coalesce("native", to_number(F.col("value"))).alias("x"))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -60,7 +60,7 @@ def impute_median(df: DataFrame, t: Thresholds = DEFAULTS, max_share: float = 0.
     m = measure(df, {"rows": F.count(F.lit(1))} | {c: F.count(ref(c)) for c in numeric})
     rows = m["rows"]
     chosen = [c for c in numeric if rows and 0 < (rows - m[c]) / rows <= max_share]
-    medians = exact_quantiles(df, {c: ref(c).cast("double") for c in chosen}, {c: m[c] for c in chosen}, [0.5], t)
+    medians = exact_quantiles(df, {c: ref(c).cast("double") for c in chosen}, [0.5], t=t)
     fixed = Fixed(df, "remediation")
     fixed.df = df.withColumns({c: F.coalesce(ref(c).cast("double"), F.lit(q[0])) for c, q in medians.items()}) if medians else df
     for c in chosen:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,123 +12,117 @@ from pyspark.sql import functions as F
 from plumbline.config import DEFAULTS, Thresholds
 from plumbline.operators.cells import measure
 
-_ACCURACY = 10_000
+
+@dataclass(frozen=True)
+class _Interval:
+    """Closed range of values of one column: ``below`` rows lie under it, ``rows`` in it."""
+
+    name: str
+    low: float
+    high: float
+    below: int
+    rows: int
 
 
 def exact_quantiles(
     df: DataFrame,
     values: Mapping[str, Column],
-    counts: Mapping[str, int],
     probabilities: Sequence[float],
+    bounds: Mapping[str, tuple[int, float, float]] | None = None,
     t: Thresholds = DEFAULTS,
 ) -> dict[str, list[float]]:
-    """Linearly interpolated quantiles per value; ``counts`` holds the number of non-null values of each.
+    """Linearly interpolated quantiles per value. ``bounds`` holds (count, min, max) where already known.
 
-    The built-in exact percentile keeps every distinct value of a column in one buffer, so it is used only up to
-    ``t.percentile_rows`` values. Beyond that the two neighbouring order statistics of each quantile are bracketed
-    by approximate percentiles and counted exactly, pass by pass, until few values are left between the brackets.
+    The built-in exact percentile merges the distinct values of a column in one task. Here each pass counts values
+    in a few thousand equal ranges and keeps the range that holds the wanted rank, with its true smallest and
+    largest value, until it holds one value or few rows. A pass shuffles at most ``quantile_buckets`` rows per task
+    and range; its merged counts are spread over the cluster and no more of them reach the driver than there are
+    buckets. A value that fills a third of the table is a single bucket entry.
     """
-    small = {n: c for n, c in values.items() if 0 < counts[n] <= t.percentile_rows}
+    names = list(values)
+    if not names:
+        return {}
+    at = {n: f"x{i}" for i, n in enumerate(names)}
+    read = df.select(*[values[n].alias(at[n]) for n in names])
+    if bounds is None:
+        m = measure(
+            read,
+            {f"{f} {n}": agg(F.col(at[n])) for n in names for f, agg in (("n", F.count), ("low", F.min), ("high", F.max))},
+        )
+        bounds = {n: (m[f"n {n}"], m[f"low {n}"], m[f"high {n}"]) for n in names}
+    ranks = {
+        (n, r): _Interval(n, bounds[n][1], bounds[n][2], 0, bounds[n][0])
+        for n in names
+        if bounds[n][0]
+        for p in probabilities
+        for r in _neighbours(bounds[n][0], p)
+    }
+    found: dict[tuple[str, int], float] = {}
+    while ranks:
+        for key, part in list(ranks.items()):
+            edge = _edge(part, key[1])
+            if edge is not None:
+                found[key] = edge
+                del ranks[key]
+        if not ranks:
+            break
+        intervals = list(dict.fromkeys(ranks.values()))
+        parts = _split(read, at, intervals, t)
+        ranks = {key: next(s for s in parts[i] if key[1] < s.below + s.rows) for key, i in ranks.items()}
     out: dict[str, list[float]] = {}
-    if small:
-        ps = F.array(*[F.lit(float(p)) for p in probabilities])
-        out.update(measure(df, {n: F.percentile(c, ps) for n, c in small.items()}, per_pass=16))
-    large = {n: c for n, c in values.items() if counts[n] > t.percentile_rows}
-    if large:
-        ranks = {
-            (n, r) for n in large for p in probabilities for r in _neighbours(counts[n], p)
-        }
-        stats = _order_statistics(df, large, counts, sorted(ranks), t)
-        for n in large:
-            out[n] = []
-            for p in probabilities:
-                low, high = _neighbours(counts[n], p)
-                h = (counts[n] - 1) * p
-                a, b = stats[n, low], stats[n, high]
-                out[n].append(a + (b - a) * (h - math.floor(h)))
+    for n in names:
+        count = bounds[n][0]
+        if not count:
+            continue
+        out[n] = []
+        for p in probabilities:
+            low, high = _neighbours(count, p)
+            h = (count - 1) * p
+            a, b = found[n, low], found[n, high]
+            out[n].append(a + (b - a) * (h - math.floor(h)))
     return out
 
 
 def _neighbours(n: int, p: float) -> tuple[int, int]:
-    h = (n - 1) * p
-    return math.floor(h), min(math.floor(h) + 1, n - 1)
-
-
-def _order_statistics(df, values, counts, targets, t: Thresholds) -> dict[tuple[str, int], float]:
-    """Value at each 0-based (name, rank)."""
-    # open interval known to hold the target, rows at or below its lower end, rows strictly inside
-    state = {key: (None, None, 0, counts[key[0]]) for key in targets}
-    answer: dict[tuple[str, int], float] = {}
-
-    def inside(key) -> Column:
-        low, high, _, _ = state[key]
-        x = values[key[0]]
-        cond = x.isNotNull()
-        if low is not None:
-            cond = cond & (x > low)
-        if high is not None:
-            cond = cond & (x < high)
-        return cond
-
-    while len(answer) < len(targets):
-        open_keys = [k for k in targets if k not in answer]
-        last = [k for k in open_keys if state[k][3] <= t.percentile_rows]
-        if last:
-            # at most ``percentile_rows`` values are left in the interval
-            found = measure(
-                df,
-                {
-                    str(k): F.get(
-                        F.sort_array(F.collect_list(F.when(inside(k), values[k[0]]))), F.lit(k[1] - state[k][2])
-                    )
-                    for k in last
-                },
-                per_pass=16,
-            )
-            answer.update({k: found[str(k)] for k in last})
-        wide = [k for k in open_keys if k not in answer]
-        if not wide:
-            continue
-        pivots = measure(
-            df,
-            {
-                str(k): F.percentile_approx(
-                    F.when(inside(k), values[k[0]]), [_clip(_local(k, state) - 2 / _ACCURACY), _clip(_local(k, state) + 2 / _ACCURACY)], _ACCURACY
-                )
-                for k in wide
-            },
-            per_pass=16,
-        )
-        metrics = {}
-        for k in wide:
-            x, (a, b) = values[k[0]], pivots[str(k)]
-            metrics[f"{k} <a"] = F.count_if(inside(k) & (x < a))
-            metrics[f"{k} <=a"] = F.count_if(inside(k) & (x <= a))
-            metrics[f"{k} <b"] = F.count_if(inside(k) & (x < b))
-            metrics[f"{k} <=b"] = F.count_if(inside(k) & (x <= b))
-        m = measure(df, metrics)
-        for k in wide:
-            low, high, below, rows = state[k]
-            a, b = pivots[str(k)]
-            under_a, upto_a, under_b, upto_b = (m[f"{k} {s}"] for s in ("<a", "<=a", "<b", "<=b"))
-            r = k[1] - below
-            if r < under_a:
-                state[k] = (low, a, below, under_a)
-            elif r < upto_a:
-                answer[k] = a
-            elif r < under_b:
-                state[k] = (a, b, below + upto_a, under_b - upto_a)
-            elif r < upto_b:
-                answer[k] = b
-            else:
-                state[k] = (b, high, below + upto_b, rows - upto_b)
-    return answer
-
-
-def _local(key, state) -> float:
-    _, _, below, rows = state[key]
-    return (key[1] - below) / max(rows - 1, 1)
-
-
-def _clip(p: float) -> float:
-    return min(max(p, 0.0), 1.0)
+    h = math.floor((n - 1) * p)
+    return h, min(h + 1, n - 1)
+
+
+def _edge(part: _Interval, rank: int) -> float | None:
+    """The value at a rank if the interval alone tells it."""
+    if part.low == part.high or rank == part.below:
+        return part.low
+    return part.high if rank == part.below + part.rows - 1 else None
+
+
+def _split(
+    read: DataFrame, at: Mapping[str, str], intervals: Sequence[_Interval], t: Thresholds
+) -> dict[_Interval, list[_Interval]]:
+    """Each interval cut into its non-empty parts, in order; from one pass over the table.
+
+    Intervals of few rows are cut into their distinct values.
+    """
+    pairs = []
+    for i, part in enumerate(intervals):
+        x = F.col(at[part.name])
+        if part.rows <= t.quantile_rows:
+            bucket = x
+        else:
+            # halved, so that the width of the widest interval is still a finite number
+            width = part.high / 2 - part.low / 2
+            bucket = F.floor((x / 2 - part.low / 2) / width * (t.quantile_buckets - 1)).cast("double")
+        pairs += [F.lit(i), x, F.when(x.between(part.low, part.high), bucket)]
+    counted = (
+        read.select(F.stack(F.lit(len(intervals)), *pairs).alias("i", "x", "bucket"))
+        .filter("bucket IS NOT NULL")
+        .groupBy("i", "bucket")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .collect()
+    )
+    out: dict[_Interval, list[_Interval]] = {part: [] for part in intervals}
+    below = [part.below for part in intervals]
+    for r in sorted(counted, key=lambda r: (r["i"], r["bucket"])):
+        part = intervals[r["i"]]
+        out[part].append(_Interval(part.name, r["low"], r["high"], below[r["i"]], r["rows"]))
+        below[r["i"]] += r["rows"]
+    return out

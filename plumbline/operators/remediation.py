@@ -56,8 +56,7 @@ def apply_suggestions(df: DataFrame, suggested: DataFrame, t: Thresholds = DEFAU
 def cap_at_percentile(df: DataFrame, columns: Sequence[str], p: float = 0.99, t: Thresholds = DEFAULTS) -> DataFrame:
     """Documented variant: numbers above a percentile are lowered to it."""
     values = {c: number_of(df, c) for c in columns}
-    counts = measure(df, {c: F.count(x) for c, x in values.items()})
-    limits = exact_quantiles(df, values, counts, [p], t)
+    limits = exact_quantiles(df, values, [p], t=t)
     return df.withColumns({c: F.least(values[c], F.lit(q[0])) for c, q in limits.items()})
 
 

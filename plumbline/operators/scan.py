@@ -12,20 +12,20 @@ from pyspark.sql import functions as F
 from plumbline.functions.dates import is_period
 from plumbline.operators.cells import columns_of, numbered_cells
 
-# figure -> aggregate over (cell, its numeric reading)
-_FIGURES: dict[str, Callable[[Column, Column], Column]] = {
-    "filled": lambda c, x: F.count(c),
-    "numbers": lambda c, x: F.count(x),
-    "periods": lambda c, x: F.count_if(is_period(x)),
-    "negatives": lambda c, x: F.count_if(x < 0),
-    "min": lambda c, x: F.min(x),
-    "max": lambda c, x: F.max(x),
-    "mean": lambda c, x: F.avg(x),
-    "std": lambda c, x: F.stddev_samp(x),
-    "std_population": lambda c, x: F.stddev_pop(x),
+# figure -> aggregate over the cells of a column: ``filled``, ``value`` and its numeric reading ``x``
+_FIGURES: dict[str, Callable[[], Column]] = {
+    "filled": lambda: F.count_if("filled"),
+    "numbers": lambda: F.count("x"),
+    "periods": lambda: F.count_if(is_period(F.col("x"))),
+    "negatives": lambda: F.count_if(F.col("x") < 0),
+    "min": lambda: F.min("x"),
+    "max": lambda: F.max("x"),
+    "mean": lambda: F.avg("x"),
+    "std": lambda: F.stddev_samp("x"),
+    "std_population": lambda: F.stddev_pop("x"),
     # Estimates narrow candidates down; exact counts decide.
-    "about_distinct": lambda c, x: F.approx_count_distinct(c),
-    "about_numbers": lambda c, x: F.approx_count_distinct(x),
+    "about_distinct": lambda: F.approx_count_distinct("value"),
+    "about_numbers": lambda: F.approx_count_distinct("x"),
 }
 ALL = tuple(_FIGURES)
 
@@ -53,9 +53,9 @@ def scan(df: DataFrame, figures: Sequence[str] = ALL, columns: Sequence[str] | N
     """
     columns = columns_of(df, columns)
     found = (
-        numbered_cells(df, columns)
+        numbered_cells(df, columns, print_numbers="about_distinct" in figures)
         .groupBy("column")
-        .agg(F.count(F.lit(1)).alias("rows"), *[_FIGURES[f](F.col("value"), F.col("x")).alias(f) for f in figures])
+        .agg(F.count(F.lit(1)).alias("rows"), *[_FIGURES[f]().alias(f) for f in figures])
         .collect()
     )
     values = {r["column"]: {f: r[f] for f in figures} for r in found}

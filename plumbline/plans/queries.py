@@ -312,7 +312,7 @@ def outliers_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def outliers_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     """Alternate check over native numbers: population deviation, only columns with fence outliers."""
-    df = load(spark, folder, "lineitem").withColumn("price_per_unit_squared", F.pow(F.col("l_extendedprice") / F.col("l_quantity"), 2))
+    df = spread(load(spark, folder, "lineitem")).withColumn("price_per_unit_squared", F.pow(F.col("l_extendedprice") / F.col("l_quantity"), 2))
     return anomaly.numeric_outliers(df, native_only=True, population_std=True, by_iqr_only=True)
 
 
