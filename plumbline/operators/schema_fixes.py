@@ -55,7 +55,9 @@ def overlapping_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> list[str]:
     for k, (a, b) in enumerate(pairs):
         x, y = number_of(df, a), number_of(df, b)
         metrics[f"rows {k}"] = F.count_if(x.isNotNull() & y.isNotNull())
-        metrics[f"corr {k}"] = F.corr(x, y)
+        both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        # a constant column has no correlation; the built-in one would divide by zero
+        metrics[f"corr {k}"] = F.try_divide(F.covar_samp(x, y), F.stddev_samp(both_x) * F.stddev_samp(both_y))
     m = measure(df, metrics)
 
     def both(figure: str, pair: tuple[str, str], least: int) -> bool:
