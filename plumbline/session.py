@@ -28,20 +28,20 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a single-machine session without that setting gets a temporary folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="plumbline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context.setCheckpointDir(folder)
     return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Same rows, read back from reliable storage instead of being recomputed."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    folder = shared_folder(df.sparkSession)
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
