@@ -95,6 +95,18 @@ def _edge(part: _Interval, rank: int) -> float | None:
     return part.high if rank == part.below + part.rows - 1 else None
 
 
+def _scaled(x: Column, part: _Interval) -> tuple[Column, float, float]:
+    """Value and ends of an interval on the scale it is cut on.
+
+    Wide intervals are cut on a logarithmic scale: a few huge values would otherwise leave all others in one range
+    for many passes. The scale keeps the order of values.
+    """
+    low, high = (math.copysign(math.log1p(abs(v)), v) for v in (part.low, part.high))
+    if part.high / 2 - part.low / 2 > 5e5 and high - low > 1e-3:
+        return F.signum(x) * F.log1p(F.abs(x)), low, high
+    return x, part.low, part.high
+
+
 def _split(
     read: DataFrame, at: Mapping[str, str], intervals: Sequence[_Interval], t: Thresholds
 ) -> dict[_Interval, list[_Interval]]:
@@ -108,9 +120,9 @@ def _split(
         if part.rows <= t.quantile_rows:
             bucket = x
         else:
+            x_scaled, low, high = _scaled(x, part)
             # halved, so that the width of the widest interval is still a finite number
-            width = part.high / 2 - part.low / 2
-            bucket = F.floor((x / 2 - part.low / 2) / width * (t.quantile_buckets - 1)).cast("double")
+            bucket = F.floor((x_scaled / 2 - low / 2) / (high / 2 - low / 2) * (t.quantile_buckets - 1)).cast("double")
         pairs += [F.lit(i), x, F.when(x.between(part.low, part.high), bucket)]
     counted = (
         read.select(F.stack(F.lit(len(intervals)), *pairs).alias("i", "x", "bucket"))
