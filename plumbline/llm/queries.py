@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import packing, simhash, token_counts
+from plumbline.llm import decontaminate, line_dedup, packing, simhash, token_counts, warc
 from plumbline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,13 +23,25 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, folder, "documents"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(load(spark, folder, "pages"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(load(spark, folder, "documents"), vocabulary())
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.deduplicated(load(spark, folder, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(load(spark, folder, "documents"), vocabulary())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op3_packing, op10_token_counts)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_warc, op3_packing, op4_decontamination, op8_line_dedup, op10_token_counts)}
 ORACLE: dict[str, str] = {}
