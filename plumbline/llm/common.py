@@ -85,3 +85,45 @@ def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def grouped_map(df: DataFrame, keys: list[str], make: Callable, schema: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows made from whole groups: ``make()`` returns a function from the ``pyarrow.Table`` of one group to rows. Groups
+    are formed by a shuffle on ``keys``, sorted by ``order`` and streamed one after the other; callers bound their size."""
+    importable(df)
+    arrow_schema = _arrow_schema(df, schema)
+    sorted_df = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    at = [df.columns.index(k) for k in keys]
+
+    def run(batches):
+        work, held, size = make(), [], 0
+        for table in _groups(batches, at):
+            for row in work(table):
+                held.append(row)
+                size += 64 + sum(len(v) for v in row if isinstance(v, (str, bytes)))
+                if size > _BATCH_BYTES:
+                    yield _batch(held, arrow_schema)
+                    held, size = [], 0
+        if held:
+            yield _batch(held, arrow_schema)
+
+    return sorted_df.mapInArrow(run, schema)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], at: list[int]) -> Iterator[pa.Table]:
+    parts: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        keys = list(zip(*(batch.column(i).to_pylist() for i in at)))
+        start = 0
+        for i, key in enumerate(keys):
+            if key != current:
+                if i > start:
+                    parts.append(batch.slice(start, i - start))
+                if parts:
+                    yield pa.Table.from_batches(parts)
+                parts, current, start = [], key, i
+        if len(keys) > start:
+            parts.append(batch.slice(start))
+    if parts:
+        yield pa.Table.from_batches(parts)
