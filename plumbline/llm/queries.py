@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import crf_quality, decontaminate, license_scan, line_dedup, nn_descent, packing, simhash, token_counts, warc
+from plumbline.llm import crf_quality, decontaminate, html_wrapper, license_scan, line_dedup, nn_descent, packing, simhash, token_counts, warc
 from plumbline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
 
+def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_wrapper.main_text(load(spark, folder, "pages"))
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return crf_quality.quality(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
@@ -55,5 +59,5 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(load(spark, folder, "documents"), vocabulary())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_warc, op3_packing, op4_decontamination, op6_quality, op7_neighbours, op8_line_dedup, op9_licenses, op10_token_counts)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_warc, op3_packing, op4_decontamination, op5_main_text, op6_quality, op7_neighbours, op8_line_dedup, op9_licenses, op10_token_counts)}
 ORACLE: dict[str, str] = {"op9_licenses": license_scan.oracle()}
