@@ -177,7 +177,7 @@ def read(spark: SparkSession, archives: DataFrame, split_bytes: int = 4 << 20, r
         def owned(f, row):
             start, own = row["start"], min(split_bytes, row["bytes"] - row["start"])
             f.seek(start)
-            data = f.read(own + read_ahead)
+            data = f.read(own + max(read_ahead, 64))
             base = 0
             while own > 0:
                 more, done = start + base + len(data) < row["bytes"], 0
