@@ -78,6 +78,13 @@ DATE_SHAPES_ALTERNATE = (
 ITALIAN_MONTHS = ("GEN", "FEB", "MAR", "APR", "MAG", "GIU", "LUG", "AGO", "SET", "OTT", "NOV", "DIC")
 ENGLISH_MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
+ITALIAN_MONTH_NAMES = (
+    "GENNAIO", "FEBBRAIO", "MARZO", "APRILE", "MAGGIO", "GIUGNO", "LUGLIO", "AGOSTO", "SETTEMBRE", "OTTOBRE", "NOVEMBRE", "DICEMBRE",
+)
+ENGLISH_MONTH_NAMES = (
+    "JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER",
+)
+
 # Fix actions an enrichment row may ask for; anything else is discarded.
 ENRICHMENT_ACTIONS = ("round_Ndp", "coerce_int", "coerce_year")
 

@@ -7,27 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.config import DATE_SHAPES, ENGLISH_MONTHS, ITALIAN_MONTHS
+from plumbline.config import DATE_SHAPES, ENGLISH_MONTH_NAMES, ENGLISH_MONTHS, ITALIAN_MONTH_NAMES, ITALIAN_MONTHS
 from plumbline.functions.text import strip
 
 _MONTH_NUMBERS = {
     name: f"{number:02d}"
-    for names in (ITALIAN_MONTHS, ENGLISH_MONTHS)
+    for names in (ITALIAN_MONTHS, ENGLISH_MONTHS, ITALIAN_MONTH_NAMES, ENGLISH_MONTH_NAMES)
     for number, name in enumerate(names, start=1)
 }
 
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-_LONGEST = 40  # no date is written longer
+_SEEN = 40  # every format is told by fewer characters
 
 
 def picture(text: Column) -> Column:
-    """The cell with every digit as 9, capital as A and small letter as a; null for text too long to be a date.
+    """The beginning of the cell with every digit as 9, capital as A and small letter as a.
 
-    Comparing pictures replaces a dozen regular expressions per cell.
+    Comparing pictures replaces a dozen regular expressions per cell. Formats that let anything follow need the
+    beginning only; the others are shorter than a picture, so a cut cell never equals one.
     """
-    masked = F.translate(text, _UPPER + _LOWER + _DIGITS, "A" * 26 + "a" * 26 + "9" * 10)
-    return F.when(F.length(text) <= _LONGEST, masked)
+    return F.translate(F.substring(text, 1, _SEEN), _UPPER + _LOWER + _DIGITS, "A" * 26 + "a" * 26 + "9" * 10)
 
 
 def _matches(text: Column, seen: Column, wanted: str) -> Column:
@@ -49,15 +49,6 @@ def shape(text: Column, seen: Column, shapes: Sequence[tuple[str, str]] = DATE_S
     return chain.otherwise("other")
 
 
-def english_months(c: Column) -> Column:
-    """Italian month abbreviations written as English ones."""
-    out = c
-    for italian, english in zip(ITALIAN_MONTHS, ENGLISH_MONTHS):
-        if italian != english:
-            out = F.regexp_replace(out, rf"(?i)\b{italian}\b", english.capitalize())
-    return F.when(c.rlike("[A-Za-z]{3}"), out).otherwise(c)
-
-
 def _month(name: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in _MONTH_NUMBERS.items() for x in pair])
     return F.try_element_at(table, F.upper(name))
@@ -72,6 +63,22 @@ def _century(two_digits: Column) -> Column:
     return F.concat(F.when(two_digits <= "68", "20").otherwise("19"), two_digits)
 
 
+def _worded(*pictures: str) -> tuple[str, ...]:
+    """Pictures with a month name of three to nine letters for ``M``, and the day in one or two digits for ``D``."""
+    return tuple(p.replace("M", "A" * n).replace("D", d) for p in pictures for n in range(3, 10) for d in ("99", "9"))
+
+
+def _loose(order: str, mark: str, year: str = "9999") -> tuple[str, ...]:
+    """Pictures of a numeric date whose day or month has one digit, or that a time of day follows."""
+    out = []
+    for a in ("99", "9"):
+        for b in ("99", "9"):
+            parts = (a, b, year) if order == "dmy" else (year, a, b)
+            plain = mark.join(parts)
+            out += ([] if a == b == "99" else [plain]) + [f"{plain} 99:99*", f"{plain} 9:99*"]
+    return tuple(out)
+
+
 # What ``read_as`` can read, by the picture of the cell with all letters as A.
 _LAYOUTS = (
     ("ISO-8601 datetime", ("9999-99-99A99*", "9999-99-99 99*")),
@@ -83,9 +90,11 @@ _LAYOUTS = (
     ("DD-MM-YY", ("99-99-99",)),
     ("YYYY-MM", ("9999-99",)),
     ("MM/YYYY", ("99/9999",)),
-    ("MON DD YYYY", ("AAA 99 9999", "AAA 99, 9999", "AAA 9 9999", "AAA 9, 9999")),
-    ("DD MON YYYY", ("99 AAA 9999", "9 AAA 9999", "99-AAA-9999", "9-AAA-9999")),
-    ("MON-YYYY", ("AAA-9999", "AAA 9999")),
+    ("MON DD YYYY", _worded("M D 9999", "M D, 9999")),
+    ("DD MON YYYY", _worded("D M 9999", "D-M-9999")),
+    ("MON-YYYY", _worded("M-9999", "M 9999")),
+    ("D/M/YYYY", _loose("dmy", "/") + _loose("dmy", ".") + _loose("dmy", "-")),
+    ("YYYY-M-D", tuple(p for p in _loose("ymd", "-") if not p.startswith("9999-99-99 ")) + _loose("ymd", "/")),
 )
 
 
@@ -115,10 +124,16 @@ def _readers(t: Column) -> dict[str, Column]:
         a, b = part(1, 2), part(4, 2)
         return F.coalesce(_ymd(year, b, a), _ymd(year, a, b))
 
-    word, last_year = F.regexp_extract(t, "([A-Za-z]{3})", 1), F.right(t, F.lit(4))
+    word, last_year = F.regexp_extract(t, "([A-Za-z]{3,})", 1), F.right(t, F.lit(4))
+    numbers = F.split(t, "[^0-9]+")
+
+    def two(i: int) -> Column:
+        return F.lpad(F.get(numbers, F.lit(i)), 2, "0")
+
+    year = F.get(numbers, F.lit(2))
     day = F.lpad(F.regexp_extract(t, r"\b(\d{1,2})\b", 1), 2, "0")
     return {
-        "ISO-8601 datetime": t.try_cast("timestamp").cast("date"),
+        "ISO-8601 datetime": F.coalesce(t.try_cast("timestamp").cast("date"), part(1, 10).try_cast("date")),
         "YYYY-MM-DD": t.try_cast("date"),
         "YYYY/MM/DD": _ymd(part(1, 4), part(6, 2), part(9, 2)),
         "DD/MM/YYYY": day_first(part(7, 4)),
@@ -130,6 +145,8 @@ def _readers(t: Column) -> dict[str, Column]:
         "MON DD YYYY": _ymd(last_year, _month(word), day),
         "DD MON YYYY": _ymd(last_year, _month(word), day),
         "MON-YYYY": _ymd(last_year, _month(word), F.lit("01")),
+        "D/M/YYYY": F.coalesce(_ymd(year, two(1), two(0)), _ymd(year, two(0), two(1))),
+        "YYYY-M-D": _ymd(F.get(numbers, F.lit(0)), two(1), two(2)),
     }
 
 
@@ -171,5 +188,5 @@ def period(t: Column) -> Column:
 
 def is_period(x: Column) -> Column:
     """True for a number that reads as YYYYMM with year 1900-2100 and month 1-12."""
-    n = x.cast("long")
+    n = x.try_cast("long")
     return n.between(190001, 210012) & (n % 100).between(1, 12)

@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal numbers with an exponent below 300, so that ordinary mantissas do not overflow a double.
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?0*[12]?\d?\d)?\s*$"
+# Plain decimal numbers.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def to_number(c: Column) -> Column:
     """Double, or null where the cell is not a plain decimal number.
 
-    A bare ``try_cast`` would accept ``12d`` and ``nan``; the pattern rules those out.
+    A bare ``try_cast`` would accept ``12d`` and ``nan``; the pattern rules those out. Numbers beyond the range of a
+    double are null, too.
     """
-    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+    return finite(F.when(c.rlike(NUMBER), c.try_cast("double")))
+
+
+def finite(x: Column) -> Column:
+    """The number, or null where it is NaN or infinite."""
+    return F.when(F.abs(x) < float("inf"), x)
 
 
 def is_whole(x: Column) -> Column:

@@ -55,9 +55,9 @@ def drop_currency(c: Column, marks: Sequence[str] = CURRENCY_MARKS) -> Column:
     return strip(F.regexp_replace(c, pattern, ""))
 
 
-def drop_separators(c: Column) -> Column:
+def drop_separators(c: Column, signs: str = "€$£") -> Column:
     """Currency signs, commas and all white space removed (commas are not read as decimal points)."""
-    return F.regexp_replace(c, r"[€$£,\s]", "")
+    return F.regexp_replace(c, rf"[{signs},\s]", "")
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.numbers import to_number
+from plumbline.functions.numbers import finite, to_number
 from plumbline.functions.text import ref
 from plumbline.sources.tables import scalar_columns, text_layer
 
@@ -18,7 +18,7 @@ def number_of(df: DataFrame, name: str) -> Column:
     """Numeric reading of a column; only text needs the guarded parse."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.NumericType):
-        return ref(name).cast("double")
+        return finite(ref(name).cast("double"))
     return to_number(ref(name) if isinstance(kind, T.StringType) else ref(name).cast("string"))
 
 
@@ -71,7 +71,7 @@ def cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def numbered_cells(df: DataFrame, columns: Sequence[str] | None = None, print_numbers: bool = True) -> DataFrame:
     """(column, filled, value, x): cells with their numeric reading.
 
-    Numeric columns bring it along, text is parsed once. Without ``print_numbers`` numeric columns get no text in
+    Numeric columns bring it along, text is parsed once. NaN is a missing cell, infinity a cell that is no number. Without ``print_numbers`` numeric columns get no text in
     ``value``, which saves the slow conversion.
     """
     columns = columns_of(df, columns)
@@ -80,7 +80,11 @@ def numbered_cells(df: DataFrame, columns: Sequence[str] | None = None, print_nu
     for c in columns:
         native = isinstance(df.schema[c].dataType, T.NumericType)
         text = no_text if native and not print_numbers else ref(c).cast("string")
-        parts += [F.lit(c), ref(c).isNotNull(), text, ref(c).cast("double") if native else no_number]
+        filled = ref(c).isNotNull()
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            filled = filled & ~F.isnan(ref(c))
+            text = F.when(filled, text)
+        parts += [F.lit(c), filled, text, finite(ref(c).cast("double")) if native else no_number]
     stacked = df.select(F.stack(F.lit(len(columns)), *parts).alias("column", "filled", "value", "native"))
     return stacked.select("column", "filled", "value", F.coalesce("native", to_number(F.col("value"))).alias("x"))
 

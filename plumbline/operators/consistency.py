@@ -126,31 +126,38 @@ def whitespace_variants(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFra
     )
 
 
-def case_variants(
-    df: DataFrame, t: Thresholds = DEFAULTS, capped: bool = True, counts: DataFrame | None = None
-) -> DataFrame:
-    """Groups of values that differ by case only: (column, folded, variants, cells, forms).
-
-    ``capped`` looks at columns of at most ``variant_max_distinct`` values after trimming; otherwise at every
-    column, outer blanks making a variant too, and without listing the forms, whose number is then unbounded.
-    """
-    if capped:
-        counts = _small_counts(df, t.variant_max_distinct, t, counts)
-        form = strip(F.col("value"))
-        forms = F.sort_array(F.collect_list("form"))
-    else:
-        counts = value_counts(df).filter(F.col("value").isNotNull())
-        form = F.col("value")
-        forms = F.array(F.min("form"), F.max("form"))
+def case_variants(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame | None = None) -> DataFrame:
+    """Groups of values that differ by case only, in columns of at most ``variant_max_distinct`` values after
+    trimming: (column, folded, variants, cells, forms)."""
+    counts = _small_counts(df, t.variant_max_distinct, t, counts)
     return (
-        counts.groupBy("column", form.alias("form"))
+        counts.groupBy("column", strip(F.col("value")).alias("form"))
         .agg(F.sum("cnt").alias("cnt"))
         .groupBy("column", fold(F.col("form")).alias("folded"))
-        .agg(F.count(F.lit(1)).alias("variants"), F.sum("cnt").alias("cells"), forms.alias("forms"))
+        .agg(
+            F.count(F.lit(1)).alias("variants"),
+            F.sum("cnt").alias("cells"),
+            F.sort_array(F.collect_list("form")).alias("forms"),
+        )
         .filter("variants > 1")
     )
 
 
+def case_variant_rows(df: DataFrame) -> DataFrame:
+    """Alternate check: the same in every column, outer blanks making a variant too. One row per spelling, since their
+    number has no bound: (column, folded, form, cells)."""
+    counts = value_counts(df).filter(F.col("value").isNotNull()).withColumn("folded", fold(F.col("value")))
+    # Two different spellings are enough to tell, so no list of them is ever gathered.
+    varied = (
+        counts.groupBy("column", "folded")
+        .agg(F.min("value").alias("first"), F.max("value").alias("last"))
+        .filter("first <> last")
+        .select(F.col("column").alias("c"), F.col("folded").alias("f"))
+    )
+    spelled = counts.join(varied, (F.col("column") == F.col("c")) & (F.col("folded") == F.col("f")), "left_semi")
+    return spelled.select("column", "folded", F.col("value").alias("form"), F.col("cnt").alias("cells"))
+
+
 # --- codes and labels --------------------------------------------------------
 
 
@@ -205,8 +212,9 @@ def code_label_consistency(
 ) -> DataFrame:
     """(code_column, label_column, codes, inconsistent, pct_inconsistent) per pair.
 
-    Codes with more than one label are inconsistent; null codes are left out, null labels ignored. All pairs share
-    one scan: the rows of a pair are reduced to its distinct (code, label) in each task before they are shuffled.
+    Codes with more than one label are inconsistent; null codes are left out, null labels ignored. A row is repeated
+    for each code column only: a code has more than one label exactly if the smallest and the largest differ, and those
+    of all label columns come from one partial aggregate with a row per code.
     """
     schema = "code_column string, label_column string, codes bigint, inconsistent bigint, pct_inconsistent double"
     if pairs is None:
@@ -214,36 +222,33 @@ def code_label_consistency(
         pairs = [(c, label) for c in codes for label in labels if c != label]
     if not pairs:
         return empty(df, schema)
-    each = F.array(
+    codes = list(dict.fromkeys(c for c, _ in pairs))
+    labels = list(dict.fromkeys(label for _, label in pairs))
+    each = F.array(*[F.struct(F.lit(i).alias("k"), ref(c).cast("string").alias("code")) for i, c in enumerate(codes)])
+    texts = [ref(label).cast("string").alias(f"l{i}") for i, label in enumerate(labels)]
+    per_code = (
+        df.select(F.explode(each).alias("e"), *texts)
+        .select("e.k", "e.code", *[f"l{i}" for i in range(len(labels))])
+        .filter("code IS NOT NULL")
+        .groupBy("k", "code")
+        .agg(*[(F.min(f"l{i}") != F.max(f"l{i}")).alias(f"differ{i}") for i in range(len(labels))])
+    )
+    per_column = per_code.groupBy("k").agg(
+        F.count(F.lit(1)).alias("codes"), *[F.count_if(f"differ{i}").alias(f"n{i}") for i in range(len(labels))]
+    )
+    rows = F.array(
         *[
             F.struct(
-                F.lit(i).alias("pair"), ref(c).cast("string").alias("code"), ref(label).cast("string").alias("label")
+                F.lit(codes.index(c)).alias("of"), F.lit(c).alias("code_column"), F.lit(label).alias("label_column"),
+                F.col(f"n{labels.index(label)}").alias("inconsistent"),
             )
-            for i, (c, label) in enumerate(pairs)
+            for c, label in pairs
         ]
     )
-    per_code = (
-        df.select(F.inline(each))
-        .filter("code IS NOT NULL")
-        .groupBy("pair", "code", "label")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("pair", "code")
-        .agg(F.count("label").alias("labels"))
-    )
-    codes_of = F.array(*[F.lit(c) for c, _ in pairs])
-    labels_of = F.array(*[F.lit(label) for _, label in pairs])
-    out = per_code.groupBy("pair").agg(
-        F.count(F.lit(1)).alias("codes"), F.count_if(F.col("labels") > 1).alias("inconsistent")
-    )
+    out = per_column.select("k", "codes", F.inline(rows)).filter(F.col("of") == F.col("k"))
     if only_broken:
         out = out.filter("inconsistent > 0")
-    return out.select(
-        F.element_at(codes_of, F.col("pair") + 1).alias("code_column"),
-        F.element_at(labels_of, F.col("pair") + 1).alias("label_column"),
-        "codes",
-        "inconsistent",
-        pct(F.col("inconsistent"), F.col("codes"), 1).alias("pct_inconsistent"),
-    )
+    return out.select("code_column", "label_column", "codes", "inconsistent", pct(F.col("inconsistent"), F.col("codes"), 1).alias("pct_inconsistent"))
 
 
 # --- periods -----------------------------------------------------------------
@@ -279,12 +284,12 @@ def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None
     pairs = [(p, o) for p in periods for o in numeric if o != p]
     involved = list(dict.fromkeys(c for pair in pairs for c in pair))
     at = {c: F.col(f"x{i}") for i, c in enumerate(involved)}
-    read = df.select(*[number_of(df, c).cast("long").alias(f"x{i}") for i, c in enumerate(involved)])
+    read = df.select(*[number_of(df, c).try_cast("long").alias(f"x{i}") for i, c in enumerate(involved)])
     metrics: dict[str, Column] = {}
     for k, (p, o) in enumerate(pairs):
         period, other = at[p], at[o]
         aligned = period.isNotNull()
-        metrics[f"rows{k}"] = F.count(period + other)
+        metrics[f"rows{k}"] = F.count(F.when(period.isNotNull(), other))
         metrics[f"years{k}"] = F.count_if(aligned & other.between(1900, 2100))
         metrics[f"months{k}"] = F.count_if(aligned & other.between(1, 12))
         metrics[f"off_year{k}"] = F.count_if(F.floor(period / 100) != other)

@@ -13,7 +13,7 @@ from plumbline.functions.numbers import share
 from plumbline.functions.text import fold, ref, strip
 from plumbline.operators.cells import cells, columns_of, measure, value_counts
 from plumbline.operators.changes import Fixed
-from plumbline.operators.consistency import case_variants, fragmented_dates
+from plumbline.operators.consistency import case_variant_rows, fragmented_dates
 from plumbline.operators.duplicates import drop_duplicate_rows
 from plumbline.operators.profile import TableProfile, date_cells
 from plumbline.session import cut
@@ -111,7 +111,7 @@ def canonical_case(df: DataFrame, columns: Sequence[str], t: Thresholds = DEFAUL
 def lower_variants(df: DataFrame) -> DataFrame:
     """Alternate fix: columns with spellings that differ by case or blanks are trimmed and lower-cased."""
     columns = [n for n, k in df.dtypes if k == "string"]
-    varied = case_variants(df.select(*[ref(c) for c in columns]), capped=False).select("column").distinct().collect()
+    varied = case_variant_rows(df.select(*[ref(c) for c in columns])).select("column").distinct().collect()
     return df.withColumns({r["column"]: fold(ref(r["column"])) for r in varied}) if varied else df
 
 

@@ -125,14 +125,21 @@ def near_duplicates(df: DataFrame, keys: Sequence[str] | None = None, t: Thresho
     )
 
 
-def _distinct_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys…, rows, versions): rows per key and how many different rows they are. Copies collapse first."""
-    return (
-        df.groupBy(*[ref(c) for c in df.columns])
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .groupBy(*[ref(k) for k in keys])
-        .agg(F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("versions"))
-    )
+def _differing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys…, rows) of the keys whose rows are not all equal.
+
+    Rows differ in a column exactly if its smallest and largest value do, or if only some of them are null, so a task
+    sends one row per key and no row travels whole.
+    """
+    others = [c for c in df.columns if c not in set(keys)]
+    figures = [F.count(F.lit(1)).alias("rows")]
+    differ = F.lit(False)
+    for i, c in enumerate(others):
+        figures += [F.min(ref(c)).alias(f"low{i}"), F.max(ref(c)).alias(f"high{i}"), F.count(ref(c)).alias(f"filled{i}")]
+        some = (F.col(f"filled{i}") > 0) & (F.col(f"filled{i}") < F.col("rows"))
+        differ = differ | some | F.coalesce(F.col(f"low{i}") != F.col(f"high{i}"), F.lit(False))
+    named = [ref(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    return df.groupBy(*named).agg(*figures).filter(differ).select(*[f"k{i}" for i in range(len(keys))], "rows")
 
 
 def near_duplicate_rows(df: DataFrame, keys: Sequence[str], differing_only: bool = False) -> DataFrame:
@@ -143,10 +150,11 @@ def near_duplicate_rows(df: DataFrame, keys: Sequence[str], differing_only: bool
     in one task.
     """
     if differing_only:
-        wanted = _distinct_per_key(df, keys).filter("versions > 1")
+        wanted = _differing_keys(df, keys)
     else:
-        wanted = df.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    wanted = wanted.select(*[ref(k).alias(f"k{i}") for i, k in enumerate(keys)])
+        named = [ref(k).alias(f"k{i}") for i, k in enumerate(keys)]
+        wanted = df.groupBy(*named).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    wanted = wanted.drop("rows")
     condition = F.lit(True)
     for i, k in enumerate(keys):
         condition = condition & ref(k).eqNullSafe(F.col(f"k{i}"))
@@ -157,8 +165,7 @@ def differing_duplicates(df: DataFrame, t: Thresholds = DEFAULTS, keys: Sequence
     """Documented variant, one row: groups with equal keys whose rows differ in another column, and their rows."""
     keys = list(keys) if keys is not None else named_keys(df, t)
     return (
-        _distinct_per_key(df, keys)
-        .filter("versions > 1")
+        _differing_keys(df, keys)
         .agg(F.count(F.lit(1)).alias("key_groups"), F.coalesce(F.sum("rows"), F.lit(0)).alias("affected_rows"))
         .select(F.lit(",".join(keys)).alias("key_columns"), "key_groups", "affected_rows")
     )

@@ -6,10 +6,11 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.config import DEFAULTS, Thresholds
+from plumbline.functions.numbers import finite
 from plumbline.operators.cells import measure
 
 
@@ -31,19 +32,21 @@ def exact_quantiles(
     bounds: Mapping[str, tuple[int, float, float]] | None = None,
     t: Thresholds = DEFAULTS,
 ) -> dict[str, list[float]]:
-    """Linearly interpolated quantiles per value. ``bounds`` holds (count, min, max) where already known.
+    """Linearly interpolated quantiles per value, NaN and infinities left out like nulls. ``bounds`` holds (count, min,
+    max) of the finite values where already known.
 
     The built-in exact percentile merges the distinct values of a column in one task. Here each pass counts values
     in a few thousand equal ranges and keeps the range that holds the wanted rank, with its true smallest and
     largest value, until it holds one value or few rows. A pass shuffles at most ``quantile_buckets`` rows per task
-    and range; its merged counts are spread over the cluster and no more of them reach the driver than there are
-    buckets. A value that fills a third of the table is a single bucket entry.
+    and range; the merged counts stay on the cluster, which finds the ranges of the wanted ranks, so two rows per
+    column and probability reach the driver. A value that fills a third of the table is a single bucket entry.
+    Every pass puts the ends of a range into different parts, so ranges always shrink.
     """
     names = list(values)
     if not names:
         return {}
     at = {n: f"x{i}" for i, n in enumerate(names)}
-    read = df.select(*[values[n].alias(at[n]) for n in names])
+    read = df.select(*[finite(values[n].cast("double")).alias(at[n]) for n in names])
     if bounds is None:
         m = measure(
             read,
@@ -66,9 +69,11 @@ def exact_quantiles(
                 del ranks[key]
         if not ranks:
             break
-        intervals = list(dict.fromkeys(ranks.values()))
-        parts = _split(read, at, intervals, t)
-        ranks = {key: next(s for s in parts[i] if key[1] < s.below + s.rows) for key, i in ranks.items()}
+        wanted: dict[_Interval, list[int]] = {}
+        for (_, rank), part in ranks.items():
+            wanted.setdefault(part, []).append(rank)
+        parts = _split(read, at, wanted, t)
+        ranks = {key: next(s for s in parts[i] if s.below <= key[1] < s.below + s.rows) for key, i in ranks.items()}
     out: dict[str, list[float]] = {}
     for n in names:
         count = bounds[n][0]
@@ -108,33 +113,37 @@ def _scaled(x: Column, part: _Interval) -> tuple[Column, float, float]:
 
 
 def _split(
-    read: DataFrame, at: Mapping[str, str], intervals: Sequence[_Interval], t: Thresholds
+    read: DataFrame, at: Mapping[str, str], wanted: Mapping[_Interval, Sequence[int]], t: Thresholds
 ) -> dict[_Interval, list[_Interval]]:
-    """Each interval cut into its non-empty parts, in order; from one pass over the table.
+    """The parts of each interval that hold its wanted ranks, in order; from one pass over the table.
 
     Intervals of few rows are cut into their distinct values.
     """
+    intervals = list(wanted)
     pairs = []
     for i, part in enumerate(intervals):
         x = F.col(at[part.name])
-        if part.rows <= t.quantile_rows:
+        x_scaled, low, high = _scaled(x, part)
+        if part.rows <= t.quantile_rows or not high / 2 - low / 2 > 0:
             bucket = x
         else:
-            x_scaled, low, high = _scaled(x, part)
             # halved, so that the width of the widest interval is still a finite number
             bucket = F.floor((x_scaled / 2 - low / 2) / (high / 2 - low / 2) * (t.quantile_buckets - 1)).cast("double")
         pairs += [F.lit(i), x, F.when(x.between(part.low, part.high), bucket)]
+    in_order = Window.partitionBy("i").orderBy("bucket")
+    ranks = F.array(*[F.array(*[F.lit(r - part.below) for r in wanted[part]]).cast("array<bigint>") for part in intervals])
     counted = (
         read.select(F.stack(F.lit(len(intervals)), *pairs).alias("i", "x", "bucket"))
         .filter("bucket IS NOT NULL")
         .groupBy("i", "bucket")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+        # At most as many rows per interval as it is cut into.
+        .withColumn("upto", F.sum("rows").over(in_order))
+        .filter(F.exists(F.get(ranks, F.col("i")), lambda r: (r >= F.col("upto") - F.col("rows")) & (r < F.col("upto"))))
         .collect()
     )
     out: dict[_Interval, list[_Interval]] = {part: [] for part in intervals}
-    below = [part.below for part in intervals]
-    for r in sorted(counted, key=lambda r: (r["i"], r["bucket"])):
+    for r in sorted(counted, key=lambda r: (r["i"], r["upto"])):
         part = intervals[r["i"]]
-        out[part].append(_Interval(part.name, r["low"], r["high"], below[r["i"]], r["rows"]))
-        below[r["i"]] += r["rows"]
+        out[part].append(_Interval(part.name, r["low"], r["high"], part.below + r["upto"] - r["rows"], r["rows"]))
     return out

@@ -54,10 +54,10 @@ def apply_suggestions(df: DataFrame, suggested: DataFrame, t: Thresholds = DEFAU
 
 
 def cap_at_percentile(df: DataFrame, columns: Sequence[str], p: float = 0.99, t: Thresholds = DEFAULTS) -> DataFrame:
-    """Documented variant: numbers above a percentile are lowered to it."""
+    """Documented variant: numbers above a percentile are lowered to it; missing cells stay missing."""
     values = {c: number_of(df, c) for c in columns}
     limits = exact_quantiles(df, values, [p], t=t)
-    return df.withColumns({c: F.least(values[c], F.lit(q[0])) for c, q in limits.items()})
+    return df.withColumns({c: F.when(values[c] > q[0], q[0]).otherwise(values[c]) for c, q in limits.items()})
 
 
 def group_rare(df: DataFrame, columns: Sequence[str] | None = None, word: str = "Other", t: Thresholds = DEFAULTS) -> DataFrame:

@@ -90,13 +90,13 @@ def date_contamination(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 
 
 def stripped_contamination(df: DataFrame, min_ratio: float = 0.7) -> DataFrame:
-    """Alternate check: columns numeric once currency signs, commas and blanks are gone.
+    """Alternate check: columns numeric once euro and dollar signs, commas and blanks are gone.
 
     Nulls count as contaminated here.
     """
     return (
         cells(df)
-        .withColumn("x", to_number(drop_separators(F.col("value"))))
+        .withColumn("x", to_number(drop_separators(F.col("value"), "€$")))
         .groupBy("column")
         .agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -115,9 +115,8 @@ def naming_violations(df: DataFrame, snake_case: bool = False) -> DataFrame:
     hits = [(c, issue) for c in df.columns for issue in tell(c)]
     if not hits:
         return empty(df, "`column` string, issue string, cells bigint")
-    involved = list(dict.fromkeys(c for c, _ in hits))
-    filled = cells(df, involved).groupBy("column").agg(F.count("value").alias("cells"))
-    return small_frame(df, hits, "`column` string, issue string").join(F.broadcast(filled), "column")
+    filled = measure(df, {c: F.count(ref(c)) for c in dict.fromkeys(c for c, _ in hits)})
+    return small_frame(df, [(c, issue, filled[c]) for c, issue in hits], "`column` string, issue string, cells bigint")
 
 
 def similar_names(columns: Sequence[str], min_length: int) -> list[tuple[str, str]]:

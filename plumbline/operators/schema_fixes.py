@@ -96,10 +96,6 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.toDF(*[mapping.get(c, c) for c in df.columns])
 
 
-def rename_hyphens(df: DataFrame) -> DataFrame:
-    return rename(df, names.renames(df.columns, lambda c: c.replace("-", "_")))
-
-
 def rename_snake_case(df: DataFrame, dropping: bool = False) -> DataFrame:
     """All names in snake case; names that would collide get a number."""
     return rename(df, names.renames(df.columns, names.snake_case_dropping if dropping else names.snake_case))
@@ -121,7 +117,7 @@ def with_numbers(df: DataFrame, numbers: Mapping[str, Column]) -> DataFrame:
     if not numbers:
         return df
     m = measure(df, {c: F.bool_and(is_whole(x)) for c, x in numbers.items()})
-    return df.withColumns({c: x.cast("long") if m[c] else x for c, x in numbers.items()})
+    return df.withColumns({c: x.try_cast("long") if m[c] else x for c, x in numbers.items()})
 
 
 def strip_currency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -138,7 +134,7 @@ def coerce_years(df: DataFrame, columns: Sequence[str], min_values: int = 5) ->
     m = measure(df, metrics)
     return df.withColumns(
         {
-            c: expand_year(x.cast("long"))
+            c: expand_year(x.try_cast("long"))
             for c, x in numbers.items()
             if m[f"n {c}"] >= min_values and m[f"short {c}"]
         }
@@ -154,7 +150,7 @@ def coerce_integers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns whose numbers are all whole become 64-bit integers; others stay untouched."""
     numbers = {c: number_of(df, c) for c in columns}
     m = measure(df, {c: F.bool_and(is_whole(x)) for c, x in numbers.items()})
-    return df.withColumns({c: x.cast("long") for c, x in numbers.items() if m[c]})
+    return df.withColumns({c: x.try_cast("long") for c, x in numbers.items() if m[c]})
 
 
 def coerce_mostly_numeric(df: DataFrame, min_share: float = 0.9, min_filled: int = 50) -> Fixed:

@@ -38,12 +38,13 @@ def _numbers(text: Column, pattern: str) -> Column:
 
 
 def captured_sum(text: Column, patterns: Sequence[str]) -> Column:
-    """Sum of the whole parts of all numbers the patterns capture, over the whole text."""
+    """Sum of the whole parts of all numbers the patterns capture, over the whole text; null beyond 64 bits."""
     total = F.lit(0).cast("long")
     for pattern in patterns:
-        total = total + F.aggregate(
-            _numbers(text, pattern), F.lit(0).cast("long"), lambda acc, x: acc + x.cast("long")
+        captured = F.aggregate(
+            _numbers(text, pattern), F.lit(0).cast("long"), lambda acc, x: F.try_add(acc, x.try_cast("long"))
         )
+        total = F.try_add(total, captured)
     return total
 
 

@@ -322,10 +322,10 @@ deducted AS (SELECT *, round_even(least(avg_missing_pct * 0.4, 20), 1) AS missin
 scored AS (SELECT *, round_even(100 - missing_deduction - naming_deduction - duplicate_deduction - outlier_deduction - cross_deduction, 1) AS score FROM deducted)"""
 _GRADE = "CASE WHEN score >= 90 THEN 'A' WHEN score >= 75 THEN 'B' WHEN score >= 60 THEN 'C' WHEN score >= 45 THEN 'D' ELSE 'F' END"
 _ROADMAP = """steps AS (SELECT row_number() OVER (ORDER BY score_impact DESC) AS priority, * FROM (
-  SELECT 'Consistency' AS category, 'Remove duplicate rows and reconcile near-duplicates' AS action, 8.0::DOUBLE AS score_impact, 'easy' AS difficulty, true AS auto_applicable FROM metrics WHERE duplicate_rows > 0
-  UNION ALL SELECT 'Completeness', 'Impute or drop highly sparse fields', 7.0, 'medium', true FROM metrics WHERE avg_missing_pct > 0
-  UNION ALL SELECT 'Schema', 'Standardize types and date formats', 6.0, 'easy', true FROM metrics WHERE type_issues + format_issues > 0
-  UNION ALL SELECT 'Anomaly', 'Review outliers and rare categories', 4.0, 'medium', false FROM metrics WHERE iqr_outliers + rare_values > 0))"""
+  SELECT 'Consistency' AS category, 'drop_repeats_and_merge_near_ones' AS action, 8.0::DOUBLE AS score_impact, 'easy' AS difficulty, true AS auto_applicable FROM metrics WHERE duplicate_rows > 0
+  UNION ALL SELECT 'Completeness', 'fill_or_drop_sparse_columns', 7.0, 'medium', true FROM metrics WHERE avg_missing_pct > 0
+  UNION ALL SELECT 'Schema', 'unify_types_and_dates', 6.0, 'easy', true FROM metrics WHERE type_issues + format_issues > 0
+  UNION ALL SELECT 'Anomaly', 'check_outliers_and_rare_values', 4.0, 'medium', false FROM metrics WHERE iqr_outliers + rare_values > 0))"""
 
 _TEXTS = """t AS (SELECT o_custkey, count(*) AS n, count_if(o_orderstatus = 'F') AS f FROM orders GROUP BY 1),
 texts AS (SELECT o_custkey, concat_ws(chr(10), '[Schema Team] Naming: uppercase names', 'Removed '||n||' exact duplicate rows',
@@ -513,7 +513,7 @@ ORACLE: dict[str, str] = {
     "case_variants": f"""{WITH}, {_SMALL}, forms AS (SELECT "column", {strip('value')} AS form, sum(cnt) AS cnt FROM small GROUP BY 1, 2)
         SELECT "column", lower(form) AS folded, count(*) AS variants, CAST(sum(cnt) AS BIGINT) AS cells, string_agg(form, '|' ORDER BY form) AS forms FROM forms GROUP BY 1, 2 HAVING count(*) > 1""",
     "case_variants_any": f"""{WITH}, {_SMALL}
-        SELECT "column", lower({strip('value')}) AS folded, count(*) AS variants, CAST(sum(cnt) AS BIGINT) AS cells, min(value)||'|'||max(value) AS forms FROM vf GROUP BY 1, 2 HAVING count(*) > 1""",
+        SELECT "column", lower({strip('value')}) AS folded, value AS form, CAST(cnt AS BIGINT) AS cells FROM vf QUALIFY count(*) OVER (PARTITION BY "column", lower({strip('value')})) > 1""",
     "code_label": _code_label(WITH, COLUMNS, "dirty"),
     "code_label_lineitem": _code_label(f"WITH {LINE_TEXT}, {_cells('src', _LINE)}", _LINE, "src"),
     "code_label_by_name": f"""{WITH}, per AS (SELECT cod_stato, count(DISTINCT stato) AS n FROM dirty WHERE cod_stato IS NOT NULL GROUP BY 1)
@@ -596,11 +596,11 @@ ORACLE: dict[str, str] = {
         d AS (SELECT sum(CASE WHEN p > 0.2 THEN least(p * 20, 10) WHEN p > 0.05 THEN p * 5 ELSE 0 END + CASE WHEN p > 0.1 AND p < 1 AND NOT suffix("column", '_flag') THEN 1 ELSE 0 END) AS deduction FROM p)
         SELECT round_even(deduction, 4) AS deduction, greatest(0, round_even(100 - deduction, 1)) AS score,
         CASE WHEN round_even(100 - deduction, 1) >= 90 THEN 'A' WHEN round_even(100 - deduction, 1) >= 80 THEN 'B' WHEN round_even(100 - deduction, 1) >= 70 THEN 'C' WHEN round_even(100 - deduction, 1) >= 60 THEN 'D' ELSE 'F' END AS grade FROM d""",
-    "suggestions": f"""{_METRICS} SELECT 1 AS place, 'all_text_columns' AS field, 'Trim leading/trailing whitespace across string columns' AS action, 0.97::DOUBLE AS confidence, 'low' AS risk, true AS auto_apply
-        UNION ALL SELECT 2, 'column_names', 'Normalize column names to lowercase snake_case', 0.95, 'low', true FROM metrics WHERE naming_issues > 0
-        UNION ALL SELECT 3, 'rows', 'Remove exact duplicate rows', 0.90, 'low', true FROM metrics WHERE duplicate_rows > 0
-        UNION ALL SELECT 4, 'anomaly_columns', 'Cap extreme numeric values at 99th percentile and map very rare categories to ''Other''', 0.82, 'medium', false FROM metrics WHERE iqr_outliers > 0 OR rare_values > 0
-        UNION ALL SELECT 5, 'missing_values', 'Preserve nulls as NaN; add missingness indicators and require manual/domain-specific review', 0.92, 'low', true FROM metrics WHERE avg_missing_pct > 0""",
+    "suggestions": f"""{_METRICS} SELECT 1 AS place, 'all_text_columns' AS field, 'outer_blanks' AS issue, 'trim_text_columns' AS action, 0.97::DOUBLE AS confidence, 'low' AS risk, true AS auto_apply
+        UNION ALL SELECT 2, 'column_names', 'names_not_snake_case', 'rename_to_snake_case', 0.95, 'low', true FROM metrics WHERE naming_issues > 0
+        UNION ALL SELECT 3, 'rows', 'repeated_rows', 'drop_repeated_rows', 0.90, 'low', true FROM metrics WHERE duplicate_rows > 0
+        UNION ALL SELECT 4, 'anomaly_columns', 'outliers_or_rare_values', 'cap_extremes_and_group_rare', 0.82, 'medium', false FROM metrics WHERE iqr_outliers > 0 OR rare_values > 0
+        UNION ALL SELECT 5, 'missing_values', 'missing_cells', 'keep_nulls_and_flag_them', 0.92, 'low', true FROM metrics WHERE avg_missing_pct > 0""",
     "roadmap": f"{_METRICS}, {_ROADMAP} SELECT CAST(priority AS INT) AS priority, category, action, score_impact, difficulty, auto_applicable FROM steps",
     "expected_score": f"""{_METRICS}, {_ROADMAP} SELECT score, gain, least(100, round_even(score + gain, 1)) AS expected_score FROM scored, (SELECT sum(score_impact) AS gain FROM steps WHERE priority <= 3)""",
     "apply_suggestions": f"""{WITH} SELECT DISTINCT {', '.join(f"{strip(_id(c))} AS " + {"_id": "id", "SPESA TOTALE": "spesa_totale", "aggregation-time": "aggregation_time"}.get(c, c) for c in COLUMNS)} FROM dirty""",

@@ -98,7 +98,9 @@ def run(
     if enrichments is None:
         enrichments = propose_enrichments(raw, numeric)
 
-    current, outputs, changes, stage_findings, log = raw, {}, [], [], []
+    current, outputs, stage_findings, log = raw, {}, [], []
+    # Rows have no key to bring arrays, maps and structs back by, so the log says that they are left out.
+    changes = [("schema", "left_out_nested_column", c, profile.row_count) for c in df.columns if c not in set(raw.columns)]
     done: list[str] = []
     runs: dict[str, int] = {}
     repeats, last, fixed = 0, "", None

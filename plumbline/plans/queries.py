@@ -228,7 +228,7 @@ def case_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def case_variants_any(spark: SparkSession, folder: str) -> DataFrame:
-    return consistency.case_variants(dirty_orders(spark, folder), capped=False).withColumn("forms", _joined("forms"))
+    return consistency.case_variant_rows(dirty_orders(spark, folder))
 
 
 def code_label_lineitem(spark: SparkSession, folder: str) -> DataFrame:

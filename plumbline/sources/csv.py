@@ -2,38 +2,41 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.config import NA_STRINGS
+from plumbline.functions.numbers import to_number
 from plumbline.functions.text import ref
+from plumbline.operators.cells import measure
 
 DELIMITERS = (",", ";", "\t", "|")
-_HEAD_CHARS = 4096
 _HEAD_LINES = 32
 
 
 def detect_delimiter(spark: SparkSession, path: str) -> str:
-    """Delimiter of the first lines: the candidate that splits all of them into the same number (> 1) of fields.
+    """Delimiter of the first lines: the candidate that splits most of them into the same number (> 1) of fields.
 
-    Only the first 4 KB are looked at, since a delimiter is a property of the file and not of its rows. Among
-    several candidates the one with the most fields wins; without any it is the comma.
+    The first lines are looked at whole, however long, since a delimiter is a property of the file and not of its
+    rows. Among candidates that fit as many lines the one with the most fields wins; without any it is the comma.
     """
     head = (
         spark.read.text(path)
         .limit(_HEAD_LINES)
-        .select(F.regexp_replace(F.substring("value", 1, _HEAD_CHARS), '"[^"]*"', "").alias("line"))
+        .select(F.regexp_replace("value", '"[^"]*"', "").alias("line"))
         .filter("line <> ''")
     )
-    counts = head.select(*[(F.size(F.split("line", f"[{d}]")) - 1).alias(f"d{i}") for i, d in enumerate(DELIMITERS)])
-    found = counts.agg(
-        *[F.min(f"d{i}").alias(f"lo{i}") for i in range(len(DELIMITERS))],
-        *[F.max(f"d{i}").alias(f"hi{i}") for i in range(len(DELIMITERS))],
-    ).first()
-    regular = [(found[f"lo{i}"], d) for i, d in enumerate(DELIMITERS) if found[f"lo{i}"] and found[f"lo{i}"] == found[f"hi{i}"]]
-    return max(regular, key=lambda x: x[0])[1] if regular else ","
+    lines = head.select(*[(F.size(F.split("line", f"[{d}]")) - 1).alias(f"d{i}") for i, d in enumerate(DELIMITERS)]).collect()
+    fitting = []
+    for i, d in enumerate(DELIMITERS):
+        fields = Counter(line[i] for line in lines if line[i])
+        if fields:
+            number, agreeing = max(fields.items(), key=lambda x: (x[1], x[0]))
+            fitting.append((agreeing, number, d))
+    return max(fitting, key=lambda x: x[:2])[2] if fitting else ","
 
 
 def read_csv(
@@ -44,7 +47,8 @@ def read_csv(
     infer_types: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header row. All columns are text unless ``infer_types``; cells in ``na_values`` are null.
+    """CSV with a header row. All columns are text unless ``infer_types``; cells in ``na_values`` are null, which
+    types are then inferred from: one pass, and a column gets the first type that all its filled cells can be read as.
 
     Malformed UTF-8 is replaced, a missing path raises. ``multi_line`` allows line breaks inside quotes but
     makes each file one task, so it is off unless asked for.
@@ -56,10 +60,25 @@ def read_csv(
         encoding="UTF-8",
         quote='"',
         escape='"',
-        inferSchema=infer_types,
         multiLine=multi_line,
     )
-    text = {name for name, kind in df.dtypes if kind == "string"}
-    return df.select(
-        *[F.when(~ref(c).isin(*na_values), ref(c)).alias(c) if c in text and na_values else ref(c) for c in df.columns]
-    )
+    df = df.select(*[F.when(~ref(c).isin(*na_values), ref(c)).alias(c) if na_values else ref(c) for c in df.columns])
+    return inferred(df) if infer_types else df
+
+
+_TYPES = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def inferred(df: DataFrame) -> DataFrame:
+    """Text columns cast to the first of ``_TYPES`` that every filled cell can be read as; empty ones stay text."""
+    if not df.columns:
+        return df
+    metrics = {}
+    for c in df.columns:
+        metrics[f"filled {c}"] = F.count(ref(c))
+        for kind in _TYPES:
+            readable = to_number(ref(c)) if kind == "double" else ref(c).try_cast(kind)
+            metrics[f"{kind} {c}"] = F.count(readable)
+    m = measure(df, metrics)
+    kinds = {c: next((k for k in _TYPES if m[f"filled {c}"] and m[f"{k} {c}"] == m[f"filled {c}"]), "string") for c in df.columns}
+    return df.select(*[ref(c).try_cast(k).alias(c) if k != "string" else ref(c) for c, k in kinds.items()])

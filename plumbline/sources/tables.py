@@ -20,7 +20,7 @@ def scalar_columns(df: DataFrame) -> list[str]:
 
 
 def text_layer(df: DataFrame, scale: int | None = None) -> DataFrame:
-    """Every scalar column as text; arrays, maps, structs and binary are left out.
+    """Every scalar column as text; arrays, maps, structs and binary are left out. NaN is a missing cell.
 
     ``scale`` prints floating-point columns with that many decimals, so that the text is the same in any engine.
     """
@@ -29,6 +29,8 @@ def text_layer(df: DataFrame, scale: int | None = None) -> DataFrame:
         c = ref(field.name)
         if isinstance(field.dataType, T.StringType):
             return c
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            c = F.when(~F.isnan(c), c)
         if scale is not None and isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             c = c.cast(T.DecimalType(38, scale))
         return c.cast("string").alias(field.name)
