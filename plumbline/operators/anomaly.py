@@ -165,15 +165,19 @@ def rare_categories(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame |
     )
 
 
-def rare_values(df: DataFrame, t: Thresholds = DEFAULTS, columns: Sequence[str] | None = None) -> DataFrame:
-    """Alternate check: values of text columns below 0.5 % of the filled cells, whatever the number of values."""
+def rare_values(df: DataFrame, t: Thresholds = DEFAULTS, columns: Sequence[str] | None = None, k: int = 10) -> DataFrame:
+    """Alternate check: values of text columns below 0.5 % of the filled cells, whatever the number of values; the ``k``
+    commonest of them in each column, ties by value."""
     if columns is None:
         columns = [n for n, k in df.dtypes if k == "string"]
     counts = value_counts(df, columns).filter(F.col("value").isNotNull())
     filled = counts.groupBy("column").agg(F.sum("cnt").alias("filled"))
+    in_order = Window.partitionBy("column").orderBy(F.desc("cnt"), "value")
     return (
         counts.join(F.broadcast(filled), "column")  # one row per column
         .filter(share(F.col("cnt"), F.col("filled")) < t.rare_share)
+        .withColumn("place", F.row_number().over(in_order))
+        .filter(F.col("place") <= k)
         .select("column", "value", "cnt", pct(F.col("cnt"), F.col("filled"), 3).alias("pct"))
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from plumbline.config import AMOUNT_KEYWORDS, INVALID_MARKERS, ITALIAN_MONTHS, NA_STRINGS, PLACEHOLDER_WORDS, PLACEHOLDERS
+from plumbline.config import AMOUNT_KEYWORDS, INVALID_MARKERS, ITALIAN_MONTHS, NA_STRINGS, PLACEHOLDER_WORDS, PLACEHOLDERS, YEAR_WORDS
 from plumbline.plans.dirty_orders import COLUMNS
 
 # --- building blocks ---------------------------------------------------------
@@ -247,7 +247,7 @@ good AS (SELECT "column", count(*) AS n FROM nums GROUP BY 1 HAVING count(value)
 xs AS (SELECT "column", x, n FROM nums JOIN good USING ("column"))"""
 _OUT_DIRTY = f"{WITH}, {_NUMERIC}, {_fences('xs')}"
 
-_EVENT_XS = """xs AS (SELECT unnest(['value', 'user_id']) AS "column", unnest([value, CAST(user_id AS DOUBLE)]) AS x, count(*) OVER () AS n FROM events)"""
+_EVENT_XS = """xs AS (SELECT unnest(['value', 'user_id', 'event_id']) AS "column", unnest([value, CAST(user_id AS DOUBLE), CAST(event_id AS DOUBLE)]) AS x, count(*) OVER () AS n FROM events)"""
 _LINE_NUMERIC = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 _LINE_XS = (
     "xs AS (SELECT unnest([" + ", ".join(f"'{c}'" for c in _LINE_NUMERIC) + ", 'price_per_unit_squared']) AS \"column\", unnest(["
@@ -309,7 +309,14 @@ _ISO = f"""coalesce(CAST({date_of(strip('"aggregation-time"'))} AS VARCHAR), "ag
 
 # --- scores ------------------------------------------------------------------
 
-_METRICS = f"""{_OUT_DIRTY.replace('WITH ', 'WITH ', 1)}, per_out AS ({_outliers('std', 'iqr_outliers > 0 OR z_outliers > 0')}),
+_FRAGMENTED = f"""{WITH}, d AS (SELECT "column", CASE WHEN regexp_matches(t, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN 'a' WHEN regexp_matches(t, '^\\d{{2}}/\\d{{2}}/\\d{{4}}$') THEN 'b'
+          WHEN regexp_matches(t, '^\\d{{2}}-\\d{{2}}-\\d{{2}}$') THEN 'c' WHEN regexp_matches(t, '^\\d{{4}}/\\d{{2}}/\\d{{2}}$') THEN 'd' WHEN regexp_matches(t, '^\\d{{2}}\\.\\d{{2}}\\.\\d{{4}}$') THEN 'e' END AS f
+          FROM (SELECT "column", {strip('value')} AS t FROM cells)),
+fragmented AS (SELECT "column", count(DISTINCT f) AS formats, count(f) AS cells FROM d GROUP BY 1 HAVING count(DISTINCT f) >= 2)"""
+_BARE = "regexp_replace({}, '[€$£,\\s]', '', 'g')"
+_WORDS = ", ".join(f"'{w}'" for w in YEAR_WORDS)
+_YEARLY = f"""len(list_intersect(string_split(regexp_replace(lower("column"), '[^a-z0-9]+', '_', 'g'), '_'), [{_WORDS}])) > 0"""
+_METRICS = f"""{_OUT_DIRTY}, per_out AS ({_outliers('std', 'iqr_outliers > 0 OR z_outliers > 0')}),
 mc AS (SELECT "column", round_even(count_if({missing('value')}) * 100.0 / count(*), 2) AS p, round_even((1 - count_if({missing('value')}) / count(*)) * 100, 2) AS c FROM cells GROUP BY 1),
 {_CATS.replace('vf AS', 'vfa AS').replace('FROM vf', 'FROM vfa').replace('vf.*', 'vfa.*')},
 metrics AS (SELECT CAST({len(COLUMNS)} AS BIGINT) AS column_count, round_even((SELECT avg(p) FROM mc WHERE p > 0), 4) AS avg_missing_pct,
@@ -399,8 +406,8 @@ ORACLE: dict[str, str] = {
     "profile_dirty": f"{PROFILE} SELECT * FROM profile",
     "profile_lineitem": _profile(f"{LINE_TEXT}, {_cells('src', _LINE)}", _LINE) + "SELECT * FROM profile",
     "profile_events": _profile(
-        _text_of("events", ("event_id", "user_id", "event_type", "value", "props"), ("value",))
-        + ", " + _cells("src", ("event_id", "user_id", "event_type", "value", "props")), ()
+        _text_of("events", ("event_id", "ts", "user_id", "event_type", "value", "props"), ("value",))
+        + ", " + _cells("src", ("event_id", "ts", "user_id", "event_type", "value", "props")), ()
     )
     + "SELECT * FROM profile",
     "profile_summary": f"{SUMMARY} SELECT * FROM summary",
@@ -478,29 +485,27 @@ ORACLE: dict[str, str] = {
     "coerce_years": f"""{WITH} SELECT "_id", CAST({_SCHEMA_FIXED['anno']} AS BIGINT) AS anno, mese FROM dirty""",
     "round_decimals": f"""{WITH} SELECT "_id", {_SCHEMA_FIXED['quota']} AS quota FROM dirty""",
     "coerce_integers": "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS l_quantity, l_discount FROM lineitem",
-    "mostly_numeric": f"""{WITH} SELECT "_id", CAST(CAST({num("regexp_replace(rata, '[€$£,\\s]', '', 'g')")} AS DECIMAL(38,2)) AS VARCHAR) AS rata,
-        CAST(CAST({num("regexp_replace(spesa, '[€$£,\\s]', '', 'g')")} AS DECIMAL(38,2)) AS VARCHAR) AS spesa, stato FROM dirty""",
+    "mostly_numeric": f"""{WITH}, chosen AS (SELECT "column" FROM (SELECT "column", value, {num(_BARE.format('value'))} AS x FROM cells) GROUP BY 1
+        HAVING count(value) > 50 AND count(x) / count(value) > 0.9) """
+    + _table({c: f"CASE WHEN '{c}' IN (FROM chosen) THEN CAST(CAST({num(_BARE.format(_id(c)))} AS DECIMAL(38,2)) AS VARCHAR) ELSE {_id(c)} END" for c in COLUMNS}),
     "overlapping_columns": f"{WITH} {_table({}, ['SPESA TOTALE'])}",
     "redundant_columns": f"{WITH} {_table({}, ['SPESA TOTALE'])}",
     "snake_case_names": f"""{WITH} SELECT "_id" AS id, rata, anno, mese, spesa, "SPESA TOTALE" AS spesa_totale, "aggregation-time" AS aggregation_time,
         cod_stato, priorita, stato, area_geografica, note, quota, fonte_dato FROM dirty""",
-    "enrichment_proposals": f"""{WITH}, r AS (SELECT "column", value, {num('value')} AS x, regexp_matches(value, '\\.(\\d*?)(0{{6,}}|9{{6,}})\\d{{1,3}}$') AS noisy FROM cells
-          WHERE "column" IN ('rata', 'anno', 'mese', 'spesa', 'cod_stato', 'quota')),
-        f AS (SELECT "column", count_if(x IS NOT NULL AND noisy) AS noisy, coalesce(max(length(regexp_extract(value, '\\.(\\d*?)(0{{6,}}|9{{6,}})\\d{{1,3}}$', 1))) FILTER (noisy AND x IS NOT NULL), 0) AS dn,
+    "enrichment_proposals": f"""{PROFILE.rstrip()}, r AS (SELECT "column", value, {num('value')} AS x, regexp_matches(value, '\\.(\\d*?)(0{{6,}}|9{{6,}})\\d{{1,3}}$') AS noisy FROM cells
+          WHERE "column" IN (SELECT "column" FROM profile WHERE semantic_type = 'numeric')),
+        g AS (SELECT "column", count_if(x IS NOT NULL AND noisy) AS noisy, coalesce(max(length(regexp_extract(value, '\\.(\\d*?)(0{{6,}}|9{{6,}})\\d{{1,3}}$', 1))) FILTER (noisy AND x IS NOT NULL), 0) AS dn,
           coalesce(max(length(regexp_extract(value, '\\.(\\d+)$', 1))) FILTER (NOT noisy AND x IS NOT NULL), 0) AS dc, bool_and(x % 1 = 0) AS whole, count_if(x IS NOT NULL AND contains(value, '.')) AS pointed,
           count_if(x BETWEEN 20 AND 99) AS short, count_if(x >= 0 AND x < 20) AS tiny, count_if(x BETWEEN 1900 AND 2100) AS long FROM r GROUP BY 1)
-        SELECT * FROM (SELECT "column", CASE WHEN "column" = 'anno' AND short > 0 AND long > 0 AND tiny = 0 THEN 'coerce_year' WHEN noisy > 0 AND dc <= 6 THEN 'round_Ndp'
-          WHEN whole AND pointed > 0 THEN 'coerce_int' END AS fix_action, CASE WHEN NOT ("column" = 'anno' AND short > 0 AND long > 0 AND tiny = 0) AND noisy > 0 AND dc <= 6 THEN greatest(dn, dc) END AS decimals FROM f) WHERE fix_action IS NOT NULL""",
+        SELECT * FROM (SELECT "column", CASE WHEN {_YEARLY} AND short > 0 AND long > 0 AND tiny = 0 THEN 'coerce_year' WHEN noisy > 0 AND dc <= 6 THEN 'round_Ndp'
+          WHEN whole AND pointed > 0 THEN 'coerce_int' END AS fix_action, CASE WHEN NOT ({_YEARLY} AND short > 0 AND long > 0 AND tiny = 0) AND noisy > 0 AND dc <= 6 THEN greatest(dn, dc) END AS decimals FROM g) WHERE fix_action IS NOT NULL""",
     "schema_fix": f"{WITH}, {_V1} SELECT * FROM v1",
     "format_distribution": f"""{WITH} SELECT "column", {_SHAPE} AS format, count(*) AS cells FROM (SELECT "column", {strip('value')} AS t FROM cells WHERE value IS NOT NULL) GROUP BY 1, 2""",
     "mixed_formats": f"""{WITH}, d AS (SELECT "column", {_SHAPE} AS format, count(*) AS cells FROM (SELECT "column", {strip('value')} AS t FROM cells WHERE value IS NOT NULL) GROUP BY 1, 2)
         SELECT "column", round_even(coalesce(sum(cells) FILTER (format <> 'other'), 0) / sum(cells), 4) AS date_share, count_if(format <> 'other') AS formats,
         string_agg(format||'='||cells, '|' ORDER BY format||'='||cells) AS distribution FROM d GROUP BY 1
         HAVING coalesce(sum(cells) FILTER (format <> 'other'), 0) / sum(cells) > 0.5 AND count_if(format <> 'other') > 1""",
-    "fragmented_dates": f"""{WITH}, d AS (SELECT "column", CASE WHEN regexp_matches(t, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN 'a' WHEN regexp_matches(t, '^\\d{{2}}/\\d{{2}}/\\d{{4}}$') THEN 'b'
-          WHEN regexp_matches(t, '^\\d{{2}}-\\d{{2}}-\\d{{2}}$') THEN 'c' WHEN regexp_matches(t, '^\\d{{4}}/\\d{{2}}/\\d{{2}}$') THEN 'd' WHEN regexp_matches(t, '^\\d{{2}}\\.\\d{{2}}\\.\\d{{4}}$') THEN 'e' END AS f
-          FROM (SELECT "column", {strip('value')} AS t FROM cells))
-        SELECT "column", count(DISTINCT f) AS formats, count(f) AS cells FROM d GROUP BY 1 HAVING count(DISTINCT f) >= 2""",
+    "fragmented_dates": f"{_FRAGMENTED} SELECT * FROM fragmented",
     "period_outliers": f"""{WITH}, f AS (SELECT "column", count(value) AS filled, count_if(regexp_matches({strip('value')}, '^(19|20)\\d{{2}}(0[1-9]|1[0-2])$')) AS codes FROM cells GROUP BY 1)
         SELECT "column", filled, filled - codes AS not_period FROM f WHERE filled > codes AND codes / filled > 0.8""",
     "mixed_case_style": f"""{WITH}, f AS (SELECT "column", count(value) AS filled, count_if(w) AS worded, count_if(w AND value = upper(value)) AS upper_cells, count_if(w AND value = lower(value)) AS lower_cells,
@@ -549,12 +554,14 @@ ORACLE: dict[str, str] = {
         SELECT 'cod_stato' AS key_columns, count(*) AS key_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS affected_rows FROM g WHERE v > 1""",
     "dedup": f"{WITH} SELECT DISTINCT * FROM dirty",
     "normalize_dates": f"""{WITH} SELECT "_id", {_ISO} AS "aggregation-time" FROM dirty""",
-    "fragmented_dates_fix": f"""{WITH} SELECT "_id", CAST({date_of(strip('"aggregation-time"'))} AS VARCHAR) AS "aggregation-time", stato FROM dirty""",
+    "fragmented_dates_fix": f"{_FRAGMENTED} "
+    + _table({c: f"CASE WHEN '{c}' IN (SELECT \"column\" FROM fragmented) THEN CAST({date_of(strip(_id(c)))} AS VARCHAR) ELSE {_id(c)} END" for c in COLUMNS}),
     "normalize_periods": f"""{WITH} SELECT "_id", CASE WHEN regexp_matches(rata, '^\\d{{6}}$') THEN rata WHEN regexp_matches(rata, '^\\d{{4}}-\\d{{2}}$') THEN replace(rata, '-', '')
         WHEN regexp_matches(rata, '^[A-Z]{{3}}-\\d{{4}}$') THEN strftime(strptime('01 '||replace({_english('rata')}, '-', ' '), '%d %b %Y'), '%Y%m') ELSE rata END AS rata FROM dirty""",
     "canonical_case": f"""{WITH} SELECT "_id", p.canonical AS priorita, s.canonical AS stato FROM dirty LEFT JOIN {_canonical('priorita')} p ON lower({strip('priorita')}) = p.folded
         LEFT JOIN {_canonical('stato')} s ON lower({strip('stato')}) = s.folded""",
-    "lower_variants": f"""{WITH} SELECT "_id", lower({strip('priorita')}) AS priorita, lower({strip('stato')}) AS stato, note FROM dirty""",
+    "lower_variants": f"""{WITH}, varied AS (SELECT DISTINCT "column" FROM (SELECT "column" FROM cells WHERE value IS NOT NULL GROUP BY "column", lower({strip('value')}) HAVING count(DISTINCT value) > 1)) """
+    + _table({c: f"CASE WHEN '{c}' IN (FROM varied) THEN lower({strip(_id(c))}) ELSE {_id(c)} END" for c in COLUMNS}),
     "consistency_fix": f"""{WITH}, f AS (SELECT "_id", rata, anno, mese, spesa, "SPESA TOTALE", {_ISO} AS "aggregation-time", cod_stato, p.canonical AS priorita, s.canonical AS stato,
           {strip('area_geografica')} AS area_geografica, {strip('note')} AS note, quota, {strip('fonte_dato')} AS fonte_dato FROM dirty
           LEFT JOIN {_canonical('priorita')} p ON lower({strip('priorita')}) = p.folded LEFT JOIN {_canonical('stato')} s ON lower({strip('stato')}) = s.folded)
@@ -568,7 +575,8 @@ ORACLE: dict[str, str] = {
         SELECT event_id, value, CASE WHEN value < a - 1.5*(b-a) OR value > b + 1.5*(b-a) THEN 1 ELSE 0 END AS value_outlier_flag FROM events, q""",
     "rare_categories": f"""{WITH}, {_CATS} SELECT "column", value, cnt, {pct('cnt', 'n', 3)} AS pct FROM cats WHERE cnt / n < 0.005""",
     "rare_values": f"""{WITH}, v AS (SELECT "column", value, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY "column") AS n FROM cells
-        WHERE value IS NOT NULL AND "column" IN ('priorita', 'stato', 'rata', 'anno') GROUP BY 1, 2) SELECT "column", value, cnt, {pct('cnt', 'n', 3)} AS pct FROM v WHERE cnt / n < 0.005""",
+        WHERE value IS NOT NULL GROUP BY 1, 2) SELECT "column", value, cnt, {pct('cnt', 'n', 3)} AS pct FROM v WHERE cnt / n < 0.005
+        QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY cnt DESC, value) <= 10""",
     "invalid_markers": f"""{WITH}, {_CATS} SELECT "column", value, cnt, {pct('cnt', 'n', 3)} AS pct FROM cats WHERE value IN {_list(INVALID_MARKERS)}""",
     "placeholder_words": f"""{WITH} SELECT "column", value, count(*) AS cnt, {pct('count(*)', '(SELECT count(*) FROM dirty)')} AS pct FROM cells WHERE lower({strip('value')}) IN {_list(PLACEHOLDER_WORDS)} GROUP BY 1, 2""",
     "clear_placeholder_words": f"{WITH} " + _table({c: f"CASE WHEN lower({strip(_id(c))}) NOT IN {_list(PLACEHOLDER_WORDS)} THEN {_id(c)} END" for c in COLUMNS}),
@@ -581,12 +589,11 @@ ORACLE: dict[str, str] = {
     "anomaly_rates": f"""{_OUT_DIRTY}, {_CATS}, a AS (SELECT "column", count_if(x < low OR x > high) AS anomalies FROM o GROUP BY 1
           UNION ALL SELECT "column", CAST(sum(cnt) AS BIGINT) FROM cats WHERE cnt / n < 0.005 GROUP BY 1)
         SELECT "column", anomalies, {pct('anomalies', '(SELECT count(*) FROM dirty)')} AS rate_pct FROM a WHERE anomalies > 0""",
-    "median_impute": f"""{WITH}, s AS (SELECT "_id", {_stripped_money('spesa')} AS spesa, {_stripped_money('quota')} AS quota FROM dirty)
-        SELECT "_id", CAST(CAST(coalesce(spesa, (SELECT quantile_cont(spesa, 0.5) FROM s)) AS DECIMAL(38,2)) AS VARCHAR) AS spesa, CAST(CAST(quota AS DECIMAL(38,2)) AS VARCHAR) AS quota FROM s""",
+    "median_impute": f"""{WITH}, s AS (SELECT * REPLACE ({_stripped_money('spesa')} AS spesa, {_stripped_money('quota')} AS quota) FROM dirty)
+        SELECT * REPLACE (CAST(CAST(coalesce(spesa, (SELECT quantile_cont(spesa, 0.5) FROM s)) AS DECIMAL(38,2)) AS VARCHAR) AS spesa, CAST(CAST(quota AS DECIMAL(38,2)) AS VARCHAR) AS quota) FROM s""",
     "cap_p99": "SELECT event_id, round_even(least(value, (SELECT quantile_cont(value, 0.99) FROM events)), 4) AS value FROM events",
-    "group_rare": f"""{WITH}, {_CATS}, rare AS (SELECT "column", value FROM cats WHERE cnt / n < 0.005 AND value IS NOT NULL)
-        SELECT "_id", CASE WHEN priorita IN (SELECT value FROM rare WHERE "column" = 'priorita') THEN 'Other' ELSE priorita END AS priorita,
-        CASE WHEN stato IN (SELECT value FROM rare WHERE "column" = 'stato') THEN 'Other' ELSE stato END AS stato FROM dirty""",
+    "group_rare": f"""{WITH}, {_CATS}, rare AS (SELECT "column", value FROM cats WHERE cnt / n < 0.005 AND value IS NOT NULL) """
+    + _table({c: f"""CASE WHEN {_id(c)} IN (SELECT value FROM rare WHERE "column" = '{c}') THEN 'Other' ELSE {_id(c)} END""" for c in COLUMNS}),
     "trim_text": f"{WITH} " + _table({c: strip(_id(c)) for c in COLUMNS}),
     "reliability_score": f"{_METRICS} SELECT *, {_GRADE} AS grade FROM scored",
     "documented_score": f"""{_METRICS}, s AS (SELECT type_issues, completeness_pct, format_issues, round_even(greatest(0, 100 - least((type_issues * 3 + naming_issues) * (10 / column_count), 20)

@@ -114,7 +114,7 @@ def profile_lineitem(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profile_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _profile(text_layer(spread(load(spark, folder, "events")).drop("ts"), scale=2))
+    return _profile(text_layer(spread(load(spark, folder, "events")), scale=2))
 
 
 def profile_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,8 +184,7 @@ def coerce_integers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mostly_numeric(spark: SparkSession, folder: str) -> DataFrame:
-    df = dirty_orders(spark, folder).select("_id", "rata", "spesa", "stato")
-    return _printed(schema_fixes.coerce_mostly_numeric(df).df)
+    return _printed(schema_fixes.coerce_mostly_numeric(dirty_orders(spark, folder)).df)
 
 
 def overlapping_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,7 +203,7 @@ def snake_case_names(spark: SparkSession, folder: str) -> DataFrame:
 
 def enrichment_proposals(spark: SparkSession, folder: str) -> DataFrame:
     df = dirty_orders(spark, folder)
-    found = schema_fixes.propose_enrichments(df, ["rata", "anno", "mese", "spesa", "cod_stato", "quota"])
+    found = schema_fixes.propose_enrichments(df, profile.profile_table(df).typed("numeric"))
     rows = [(c, e["fix_action"], e["params"].get("decimals")) for c, e in found.items()]
     return spark.createDataFrame(rows, "`column` string, fix_action string, decimals bigint")
 
@@ -282,7 +281,7 @@ def normalize_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fragmented_dates_fix(spark: SparkSession, folder: str) -> DataFrame:
-    return consistency_fixes.normalize_fragmented_dates(dirty_orders(spark, folder).select("_id", "aggregation-time", "stato"))
+    return consistency_fixes.normalize_fragmented_dates(dirty_orders(spark, folder))
 
 
 def normalize_periods(spark: SparkSession, folder: str) -> DataFrame:
@@ -295,7 +294,7 @@ def canonical_case(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lower_variants(spark: SparkSession, folder: str) -> DataFrame:
-    return consistency_fixes.lower_variants(dirty_orders(spark, folder).select("_id", "priorita", "stato", "note"))
+    return consistency_fixes.lower_variants(dirty_orders(spark, folder))
 
 
 def consistency_fix(spark: SparkSession, folder: str) -> DataFrame:
@@ -307,7 +306,7 @@ def consistency_fix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def outliers_events(spark: SparkSession, folder: str) -> DataFrame:
-    return anomaly.numeric_outliers(spread(load(spark, folder, "events")).select("value", "user_id"))
+    return anomaly.numeric_outliers(spread(load(spark, folder, "events")))
 
 
 def outliers_lineitem(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,7 +333,7 @@ def clear_placeholder_words(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def median_impute(spark: SparkSession, folder: str) -> DataFrame:
-    df = schema_fixes.strip_currency(dirty_orders(spark, folder).select("_id", "spesa", "quota"), ["spesa", "quota"])
+    df = schema_fixes.strip_currency(dirty_orders(spark, folder), ["spesa", "quota"])
     return _printed(completeness_fixes.impute_median(df).df)
 
 
@@ -344,7 +343,7 @@ def cap_p99(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def group_rare(spark: SparkSession, folder: str) -> DataFrame:
-    return remediation.group_rare(dirty_orders(spark, folder).select("_id", "priorita", "stato"))
+    return remediation.group_rare(dirty_orders(spark, folder))
 
 
 def trim_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -534,7 +533,7 @@ QUERIES: dict[str, Query] = {
     "largest_outliers": largest_outliers,
     "outlier_flags": outlier_flags,
     "rare_categories": _over_dirty(anomaly.rare_categories),
-    "rare_values": _over_dirty(lambda df: anomaly.rare_values(df, columns=["priorita", "stato", "rata", "anno"])),
+    "rare_values": _over_dirty(anomaly.rare_values),
     "invalid_markers": _over_dirty(anomaly.invalid_markers),
     "placeholder_words": _over_dirty(anomaly.placeholder_words),
     "clear_placeholder_words": clear_placeholder_words,
