@@ -288,11 +288,28 @@ def _period_pairs() -> str:
 _KEYWORD = " OR ".join(f"""contains(lower("column"), '{w}')""" for w in AMOUNT_KEYWORDS)
 
 
-def _negatives(ctes: str) -> str:
+def _completeness_log(sparse: str) -> str:
+    """Log of the completeness fix; ``sparse`` tells a column that is dropped."""
+    return f"""gaps AS (SELECT "column", count(*) AS n, count_if(value IS NULL) AS nulls, count_if(value IN {_list(PLACEHOLDERS)}) AS marked, nulls + marked AS missing FROM cells GROUP BY 1),
+complete AS (SELECT 'completeness' AS stage, action, "column", CAST(affected AS BIGINT) AS affected FROM (
+  SELECT 'placeholder_to_null' AS action, "column", marked AS affected FROM gaps
+  UNION ALL SELECT 'drop_sparse_column', "column", missing FROM gaps WHERE {sparse}
+  UNION ALL SELECT 'keep_missing', 'ALL', sum(missing) FROM gaps WHERE NOT ({sparse})) WHERE affected > 0)"""
+
+
+# Trimming, renaming, repeats and kept nulls; the conditions of the suggestions follow from the same figures.
+_REMEDIATED = f"""trimmed AS ({_table({c: strip(_id(c)) for c in COLUMNS})}),
+remediated AS (SELECT 'remediation' AS stage, 'trim' AS action, "column", CAST(count_if(value <> {strip('value')}) AS BIGINT) AS affected FROM cells GROUP BY "column"
+  UNION ALL SELECT DISTINCT 'remediation', 'rename_column', "column", 1 FROM cells WHERE trim(regexp_replace(lower("column"), '[^a-z0-9]+', '_', 'g'), '_') <> "column"
+  UNION ALL SELECT 'remediation', 'drop_duplicate_rows', 'ALL', (SELECT count(*) FROM trimmed) - (SELECT count(*) FROM (SELECT DISTINCT * FROM trimmed))
+  UNION ALL SELECT 'remediation', 'keep_missing', 'ALL', 1 WHERE EXISTS (FROM cells WHERE {missing('value')}))"""
+
+
+def _negatives(ctes: str, least: int = 5) -> str:
     return f"""{ctes}, f AS (SELECT "column", count(*) AS n, count(value) AS filled, count({num('value')}) AS numbers,
   count_if({num('value')} < 0) AS negatives, min({num('value')}) AS min_value FROM cells GROUP BY 1)
 SELECT "column", CASE WHEN {_KEYWORD} THEN 'HIGH' ELSE 'MODERATE' END AS priority, negatives, {pct('negatives', 'n')} AS pct_of_rows, min_value
-FROM f WHERE numbers >= 5 AND numbers / filled >= 0.9 AND negatives > 0"""
+FROM f WHERE numbers >= {least} AND numbers / filled >= 0.9 AND negatives > 0"""
 
 
 def _all_columns(columns: Sequence[str] = COLUMNS) -> str:
@@ -533,6 +550,15 @@ ORACLE: dict[str, str] = {
         SELECT period_column, other_column, part, aligned_rows, CASE part WHEN 'year' THEN off_year ELSE off_month END AS mismatch_count,
           round_even(CASE part WHEN 'year' THEN off_year ELSE off_month END / aligned_rows * 100, 1) AS pct_mismatch FROM g WHERE part IS NOT NULL AND CASE part WHEN 'year' THEN off_year ELSE off_month END > 0""",
     "negative_values": _negatives(WITH),
+    "negative_values_ten": _negatives(WITH, 10),
+    "same_names": f"{WITH} SELECT * FROM dirty",
+    "valid_enrichments": """SELECT CAST(c_nationkey AS VARCHAR) AS "column", CASE max(c_custkey) % 5 WHEN 0 THEN 'round_Ndp' WHEN 2 THEN 'coerce_int' ELSE 'coerce_year' END AS fix_action
+        FROM customer GROUP BY c_nationkey HAVING max(c_custkey) % 5 IN (0, 2, 4)""",
+    "completeness_log": f"{WITH}, {_completeness_log('missing / n > 0.95')} SELECT * FROM complete",
+    "completeness_log_inclusive": f"{WITH}, {_completeness_log('round_even(missing / n * 100, 2) >= 95')} SELECT * FROM complete",
+    "remediation_log": f"{WITH}, {_REMEDIATED} SELECT * FROM remediated WHERE affected > 0",
+    "changes_by_stage": f"""{WITH}, {_completeness_log('missing / n > 0.95')}, {_REMEDIATED}
+        SELECT stage, count(*) AS changes, CAST(sum(affected) AS BIGINT) AS affected FROM (FROM complete UNION ALL FROM remediated WHERE affected > 0) GROUP BY 1""",
     "negative_balances": _negatives(f"WITH {_text_of('customer', ('c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment'), ('c_acctbal',))}, {_cells('src', ('c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment'))}")
     + " UNION ALL SELECT * FROM ("
     + _negatives(f"WITH {_text_of('supplier', ('s_suppkey', 's_name', 's_nationkey', 's_acctbal'), ('s_acctbal',))}, {_cells('src', ('s_suppkey', 's_name', 's_nationkey', 's_acctbal'))}")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.config import Thresholds
 from plumbline.functions.numbers import rounded
 from plumbline.functions.text import ref
 from plumbline.operators import (
@@ -388,6 +389,53 @@ def apply_suggestions(spark: SparkSession, folder: str) -> DataFrame:
     return remediation.apply_suggestions(df, proposed)[0].df
 
 
+def _completeness_log(spark: SparkSession, folder: str, inclusive: bool) -> DataFrame:
+    df = dirty_orders(spark, folder)
+    return changes.change_log(df, completeness_fixes.fix_completeness(df, inclusive=inclusive).log)
+
+
+def completeness_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Steps of the completeness fix, the nulls it keeps among them."""
+    return _completeness_log(spark, folder, inclusive=False)
+
+
+def completeness_log_inclusive(spark: SparkSession, folder: str) -> DataFrame:
+    """Alternate fix: columns from 95 % missing on are dropped."""
+    return _completeness_log(spark, folder, inclusive=True)
+
+
+def remediation_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Steps of the remediation, kept nulls among them."""
+    df = cut(dirty_orders(spark, folder))
+    proposed = scoring.suggestions(scoring.quality_metrics(findings.all_findings(df), len(df.columns)))
+    return changes.change_log(df, remediation.apply_suggestions(df, proposed)[0].log)
+
+
+def changes_by_stage(spark: SparkSession, folder: str) -> DataFrame:
+    return changes.changes_per_stage(completeness_log(spark, folder).unionByName(remediation_log(spark, folder)))
+
+
+def same_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The dirty orders with two columns added whose reduced names are taken, and without such columns."""
+    df = dirty_orders(spark, folder)
+    df = df.withColumns({"Sta-to": ref("priorita"), "QUOTA %": ref("spesa")})
+    return df.drop(*[ref(c) for c in schema_fixes.same_name_columns(df.columns)])
+
+
+def valid_enrichments(spark: SparkSession, folder: str) -> DataFrame:
+    """One proposed action per customer segment and nation; those outside the vocabulary are discarded."""
+    actions = F.array(*[F.lit(a) for a in ("round_Ndp", "none", "coerce_int", "drop", "coerce_year")])
+    rows = load(spark, folder, "customer").groupBy("c_nationkey").agg(F.max("c_custkey").alias("k"))
+    rows = rows.select(F.col("c_nationkey").cast("string").alias("column"), F.get(actions, (F.col("k") % 5).cast("int")).alias("fix_action"))
+    found = schema_fixes.valid_enrichments(rows)
+    return spark.createDataFrame([(c, e["fix_action"]) for c, e in found.items()], "`column` string, fix_action string")
+
+
+def negative_values_ten(spark: SparkSession, folder: str) -> DataFrame:
+    """Documented variant: at least ten numbers."""
+    return consistency.negative_values(dirty_orders(spark, folder), Thresholds(negative_min_values=10))
+
+
 def finding_texts(spark: SparkSession, folder: str) -> DataFrame:
     """A findings text per customer, put together from the figures of the customer's orders."""
     rows = load(spark, folder, "orders").groupBy("o_custkey").agg(
@@ -556,6 +604,13 @@ QUERIES: dict[str, Query] = {
     "document_numbers": document_numbers,
     "pipeline_table": pipeline_table,
     "pipeline_changes": pipeline_changes,
+    "completeness_log": completeness_log,
+    "completeness_log_inclusive": completeness_log_inclusive,
+    "remediation_log": remediation_log,
+    "changes_by_stage": changes_by_stage,
+    "same_names": same_names,
+    "valid_enrichments": valid_enrichments,
+    "negative_values_ten": negative_values_ten,
     "pipeline_log": pipeline_log,
     "before_after": before_after,
 }
