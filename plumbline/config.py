@@ -126,7 +126,6 @@ class Thresholds:
     # Bounds that steer the physical strategy, never the result.
     quantile_buckets: int = 4096  # ranges a quantile pass cuts a column's values into
     quantile_rows: int = 20_000  # a range of at most this many rows is cut into its distinct values
-    broadcast_rows: int = 1_000_000  # above this many rows a lookup is not broadcast
     domain_slack: int = 10  # a column whose estimated distinct count exceeds cap*slack leaves domain checks
     pairs_per_pass: int = 48  # column pairs measured in one aggregate
 

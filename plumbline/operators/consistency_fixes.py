@@ -82,27 +82,26 @@ def canonical_forms(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def canonical_case(df: DataFrame, columns: Sequence[str], t: Thresholds = DEFAULTS) -> DataFrame:
+def canonical_case(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Trim the columns and give every value its commonest spelling.
 
-    The spelling table holds only values written in several ways. It is counted and broadcast if small; otherwise
-    each column is joined by shuffle, where its one row per key lets adaptive execution split hot values.
+    The spelling table holds only values written in several ways. It is written, so the optimiser knows its bytes and
+    broadcasts it if small; otherwise each column is joined by shuffle, where its one row per key lets adaptive
+    execution split hot values.
     """
     columns = list(columns)
     if not columns:
         return df
     forms = cut(canonical_forms(df, columns))
-    sizes = {r["column"]: r["count"] for r in forms.groupBy("column").count().collect()}
+    varied = {r["column"] for r in forms.select("column").distinct().collect()}
     names = list(df.columns)
     out = df.withColumns({c: strip(ref(c)) for c in columns})
     for i, c in enumerate(columns):
-        if c not in sizes:
+        if c not in varied:
             continue
         lookup = forms.filter(F.col("column") == c).select(
             F.col("folded").alias(f"__folded{i}"), F.col("canonical").alias(f"__canonical{i}")
         )
-        if sum(sizes.values()) <= t.broadcast_rows:
-            lookup = F.broadcast(lookup)
         out = out.join(lookup, F.lower(ref(c)) == F.col(f"__folded{i}"), "left")
         out = out.withColumn(c, F.coalesce(F.col(f"__canonical{i}"), ref(c))).drop(f"__folded{i}", f"__canonical{i}")
     return out.select(*[ref(c) for c in names])
@@ -131,7 +130,7 @@ def fix_consistency(df: DataFrame, profile: TableProfile | None = None, t: Thres
     ]
     # Old and new values side by side, so that one pass counts what changes.
     kept = df.withColumns({f"__was {c}": ref(c) for c in dates + worded}) if dates or worded else df
-    out = canonical_case(normalize_dates(kept, dates), worded, t)
+    out = cut(canonical_case(normalize_dates(kept, dates), worded))
     metrics = {"rows": F.count(F.lit(1))}
     metrics |= {c: F.count_if(~ref(c).eqNullSafe(ref(f"__was {c}"))) for c in dates + worded}
     m = measure(out, metrics)
@@ -139,8 +138,7 @@ def fix_consistency(df: DataFrame, profile: TableProfile | None = None, t: Thres
         fixed.note("normalize_date", c, m[c])
     for c in worded:
         fixed.note("standardize_text", c, m[c])
-    unique = drop_duplicate_rows(out.select(*[ref(c) for c in df.columns]), t)
-    fixed.df = cut(unique)
+    fixed.df = cut(drop_duplicate_rows(out.select(*[ref(c) for c in df.columns]), written=True))
     fixed.rows_removed = m["rows"] - fixed.df.count()
     fixed.note("drop_duplicate_rows", "ALL", fixed.rows_removed)
     return fixed

@@ -25,28 +25,24 @@ def _suspects(df: DataFrame) -> DataFrame:
     )
 
 
-def _repeating(df: DataFrame, t: Thresholds) -> tuple[DataFrame, DataFrame] | None:
-    """(rows that are certainly unique, rows that may repeat), or None if most of the table may repeat.
+def _repeating(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that are certainly unique, rows that may repeat) of a stored table.
 
-    The repeating hashes are counted before they are broadcast.
+    The repeating hashes are written, so the optimiser knows their size: it broadcasts few and joins many by shuffle.
     """
     suspects = cut(_suspects(df).select("h"))
-    if suspects.count() > t.broadcast_rows:
-        return None
-    flagged = df.join(F.broadcast(suspects), _row_hash(df) == F.col("h"), "left")
-    columns = [ref(c) for c in df.columns]
-    return flagged.filter("h IS NULL").select(*columns), flagged.filter("h IS NOT NULL").select(*columns)
+    same = _row_hash(df) == F.col("h")
+    return df.join(suspects, same, "left_anti"), df.join(suspects, same, "left_semi")
 
 
-def exact_duplicates(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def exact_duplicates(df: DataFrame) -> DataFrame:
     """One row: rows, rows that repeat an earlier one, their percentage, and rows left without them.
 
     Rows are equal if all columns are, nulls included. Only rows whose hash occurs twice are compared in full,
     so the result is exact while unique rows never travel; copies collapse inside each task.
     """
-    split = _repeating(df, t)
     repeated = (
-        (split[1] if split else df)
+        _repeating(df)[1]
         .groupBy(*[ref(c) for c in df.columns])
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
@@ -61,16 +57,13 @@ def exact_duplicates(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
-def drop_duplicate_rows(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """The table without repeated rows.
+def drop_duplicate_rows(df: DataFrame, written: bool = False) -> DataFrame:
+    """The table without repeated rows; one plan at every size.
 
-    Rows with a unique hash stay where they are and only the others are shuffled for the exact comparison. If
-    most hashes repeat, the plain distinct is the better plan.
+    The input is evaluated once and written, unless it is ``written`` already. Rows with a unique hash keep their
+    place and only the others are compared in full, copies collapsing inside each task first.
     """
-    split = _repeating(df, t)
-    if split is None:
-        return df.dropDuplicates()
-    unique, suspects = split
+    unique, suspects = _repeating(df if written else cut(df))
     return unique.unionByName(suspects.dropDuplicates())
 
 

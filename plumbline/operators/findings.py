@@ -77,7 +77,7 @@ def consistency_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
         _long("code_label", mapped, "inconsistent", F.col("code_column"), F.col("label_column")),
         _long("period", periods, "mismatch_count", F.col("period_column"), F.col("other_column"), examples=F.array("part")),
         _long("negative", consistency.negative_values(df, t, seen), "negatives", severity=F.col("priority")),
-        _long("exact_duplicates", duplicates.exact_duplicates(df, t).filter("duplicate_rows > 0"), "duplicate_rows", F.lit("ALL")),
+        _long("exact_duplicates", duplicates.exact_duplicates(df).filter("duplicate_rows > 0"), "duplicate_rows", F.lit("ALL")),
         _long("near_duplicates", duplicates.near_duplicates(df, t=t).filter("affected_rows > 0"), "affected_rows", F.lit("ALL"), F.col("key_columns")),
     ]
     return _union(parts)

@@ -43,7 +43,7 @@ def apply_suggestions(df: DataFrame, suggested: DataFrame, t: Thresholds = DEFAU
                 fixed.note("rename_column", old, int(old != new))
         elif action == DEDUPLICATE:
             before = measure(fixed.df, {"n": F.count(F.lit(1))})["n"]
-            fixed.df = cut(drop_duplicate_rows(fixed.df, t))
+            fixed.df = cut(drop_duplicate_rows(fixed.df))
             fixed.rows_removed = before - fixed.df.count()
             fixed.note("drop_duplicate_rows", "ALL", fixed.rows_removed)
         elif action == PRESERVE:

@@ -158,15 +158,17 @@ def brute_duplicates(rows):
     return len(rows) - len(set(rows))
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
 def test_exact_duplicates_with_a_hot_row(spark, limit):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)  # -1 takes the shuffle joins
     random.seed(3)
     rows = [("hot", None)] * 400 + [(str(random.randrange(300)), random.choice([None, "a", "b"])) for _ in range(800)]
     df = spark.createDataFrame(rows, "a string, b string").repartition(4)
-    t = Thresholds(broadcast_rows=limit)  # 0 takes the shuffle plan
-    got = duplicates.exact_duplicates(df, t).first()
+    got = duplicates.exact_duplicates(df).first()
     assert got["duplicate_rows"] == brute_duplicates(rows)
-    left = [tuple(r) for r in duplicates.drop_duplicate_rows(df, t).collect()]
+    left = [tuple(r) for r in duplicates.drop_duplicate_rows(df).collect()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sorted(map(str, left)) == sorted(map(str, set(rows)))
 
 
