@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import arrow_map, importable, scratch, stored
@@ -49,16 +49,31 @@ def choose(pages: DataFrame, key: str, min_revisit_bytes: int = 0) -> DataFrame:
 
     Of rows with equal payloads of at least ``min_revisit_bytes`` the one with the smallest key is the response; rows
     that repeat that key, too, revisit it. A null key counts as larger than any other."""
-    marked = pages.withColumn("_sha", F.sha2("payload", 256)).withColumn("_row", F.monotonically_increasing_id())
+    sha = F.sha2("payload", 256)
     if min_revisit_bytes:
-        marked = marked.withColumn("_sha", F.when(F.octet_length("payload") >= min_revisit_bytes, F.col("_sha")))
-    marked = stored(marked)  # row numbers must not change between the two uses
-    # A row for each repeated payload, from partial aggregates: a page with very many copies is no bottleneck.
-    first = F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("key"), F.col("_row").alias("row")))
-    repeated = marked.groupBy("_sha").agg(F.count("*").alias("_n"), first.alias("_first")).where("_n > 1 and _sha is not null")
-    joined = marked.join(repeated.select(F.col("_sha").alias("_same"), "_first"), F.col("_sha") == F.col("_same"), "left")
-    revisit = F.coalesce(F.col("_row") != F.col("_first.row"), F.lit(False))
-    return joined.select(*[F.col(f"`{c}`") for c in pages.columns], revisit.alias("revisit"), F.when(revisit, F.col("_first.key")).alias("original"))
+        sha = F.when(F.octet_length("payload") >= min_revisit_bytes, sha)
+    marked = pages.withColumn("_sha", sha)
+    # Only digests and keys are shuffled, a row for each repeated payload is kept, and partial aggregates come first: a
+    # page with very many copies is no bottleneck. The result is stored, so that its size is known before the join.
+    keyed = marked.where("_sha is not null").groupBy("_sha", F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    first = F.min(F.struct(F.col("_key").isNull().alias("no"), F.col("_key").alias("key"), F.col("_n").alias("rows")))
+    repeated = keyed.groupBy(F.col("_sha").alias("_same")).agg(F.sum("_n").alias("_all"), first.alias("_first")).where("_all > 1")
+    repeated = stored(repeated.select("_same", "_first"))
+    joined = marked.join(repeated, F.col("_sha") == F.col("_same"), "left")
+    smallest = F.col(f"`{key}`").eqNullSafe(F.col("_first.key"))
+    own = [F.col(f"`{c}`") for c in pages.columns]
+
+    def out(rows: DataFrame, revisit) -> DataFrame:
+        return rows.select(*own, revisit.alias("revisit"), F.when(revisit, F.col("_first.key")).alias("original"))
+
+    chosen = out(joined, F.col("_same").isNotNull() & ~smallest)
+    if repeated.where("_first.rows > 1").isEmpty():
+        return chosen
+    # Rows that repeat the smallest key of their payload: one of them is the response.
+    tied = F.coalesce(smallest & (F.col("_first.rows") > 1), F.lit(False))
+    place = F.row_number().over(Window.partitionBy("_sha").orderBy(*[F.col(f"`{c}`") for c in pages.columns if c != "payload"]))
+    rest = joined.where(~tied)
+    return out(rest, F.col("_same").isNotNull() & ~smallest).unionByName(out(joined.where(tied).withColumn("_place", place), F.col("_place") > 1))
 
 
 def record(kind: str, name: str, uri: str, payload: bytes, refers_to: str | None, extra: dict[str, str]) -> bytes:
@@ -160,7 +175,7 @@ def parse(content: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:length]
 
 
-def read(spark: SparkSession, archives: DataFrame, split_bytes: int = 4 << 20, read_ahead: int = 1 << 20) -> DataFrame:
+def read(spark: SparkSession, archives: DataFrame, split_bytes: int = 4 << 20, read_ahead: int = 1 << 20, tasks: int | None = None) -> DataFrame:
     """Records of the listed archives (path, bytes): file, offset, record_type, uri, payload_digest (bare base32 SHA-1),
     payload_bytes, refers_to, headers and payload. Other members and damaged ones are passed over.
 
@@ -207,8 +222,11 @@ def read(spark: SparkSession, archives: DataFrame, split_bytes: int = 4 << 20, r
 
         return work
 
-    # Ranges are few bytes each; dealing them out by their own hash spreads one large archive over all tasks.
-    return arrow_map(ranges.repartition("path", "start"), make, RECORDS)
+    # Rows of ranges are few bytes, so adaptive execution would read them all in one task; a number of partitions of
+    # about one range each, dealt by hash, spreads even one large archive over the cluster.
+    if tasks is None:
+        tasks = int(archives.agg(F.sum(F.ceil(F.col("bytes") / split_bytes)).alias("n")).head()["n"] or 1)
+    return arrow_map(ranges.repartition(tasks, "path", "start"), make, RECORDS)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def test_each_record_is_owned_once_whatever_the_split(spark):
     whole = sorted((r.file, r.offset, r.payload) for r in warc.read(spark, archives).collect())
     assert len(whole) == 25
     for split, ahead in ((1, 1), (50, 7), (333, 64), (10_000, 10)):
-        assert sorted((r.file, r.offset, r.payload) for r in warc.read(spark, archives, split, ahead).collect()) == whole
+        assert sorted((r.file, r.offset, r.payload) for r in warc.read(spark, archives, split, ahead, tasks=4).collect()) == whole
 
 
 def test_false_magic_is_no_record():
