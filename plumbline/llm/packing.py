@@ -227,7 +227,7 @@ def places(plan: Counter[Filling]) -> list[tuple[int, int, int, int, int]]:
     return rows
 
 
-def pack(parts: DataFrame, capacity: int = 1024, salt_rows: int = 20_000) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = 1024, salt_rows: int = 500) -> DataFrame:
     """``parts`` (doc_id, piece, length and any other columns) with ``sequence_id`` and ``offset``.
 
     Pieces of one length are ranked in salted groups of about ``salt_rows``, so a length that holds a third of all
@@ -238,8 +238,8 @@ def pack(parts: DataFrame, capacity: int = 1024, salt_rows: int = 20_000) -> Dat
     spark = parts.sparkSession
     plan = complete_bins(counted, capacity)
     table = spark.createDataFrame(places(plan), "_length bigint, _from bigint, _to bigint, _sequence bigint, _offset bigint")
-    salts = max(1, -(-max(counted.values(), default=1) // salt_rows))
-    salted = parts.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    salts = spark.createDataFrame([(n, -(-c // salt_rows)) for n, c in counted.items()], "_of bigint, _salts bigint")
+    salted = parts.join(F.broadcast(salts), F.col("length") == F.col("_of")).withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_salts")))
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = sizes.select(
         F.col("length").alias("_len"),
