@@ -74,13 +74,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         return work
 
     places = stored(arrow_map(texts, hashes, "doc_id bigint, chunk int, hash bigint"))
-    # One row for each repeated hash from partial aggregates, so the many copies of a chunk never meet in one task.
-    repeated = places.groupBy("hash").agg(F.count("*").alias("_n")).where("_n > 1").select("hash")
+    # One row for each repeated hash from partial aggregates, so the many copies of a chunk never meet in one task. It is
+    # stored, so that its size is known and, where the join is by shuffle, a hot hash can be split.
+    repeated = stored(places.groupBy("hash").agg(F.count("*").alias("_n")).where("_n > 1").select("hash"))
     suspects = places.join(repeated, "hash", "left_semi")
     wanted = suspects.groupBy("doc_id").agg(F.collect_set("chunk").alias("wanted"))
     found = stored(arrow_map(texts.join(wanted, "doc_id").select("doc_id", "text", "wanted"), contents, "doc_id bigint, chunk int, hash bigint, content string"))
     # Grouping by the content compares bytes; equal hashes of different contents fall apart here.
-    first = found.groupBy("hash", "content").agg(F.count("*").alias("_n"), F.min(F.struct("doc_id", "chunk")).alias("first")).where("_n > 1")
+    first = stored(found.groupBy("hash", "content").agg(F.count("*").alias("_n"), F.min(F.struct("doc_id", "chunk")).alias("first")).where("_n > 1"))
     compared = found.join(first.select(F.col("hash").alias("_hash"), F.col("content").alias("_content"), "first"), (F.col("hash") == F.col("_hash")) & (F.col("content") == F.col("_content")))
     return compared.where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("chunk") != F.col("first.chunk"))).select("doc_id", "chunk", "hash").distinct()
 
