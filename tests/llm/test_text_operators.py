@@ -92,6 +92,41 @@ def test_line_dedup_keeps_rows_and_columns(spark):
     assert len(rows[3][1]) < 7 and rows[3][3] == len(rows[3][1])
 
 
+def plain_runs(rows, over=50):
+    """Lines of each text that stand in a run of over ``over`` words that an earlier document has too."""
+    seen, out = set(), {}
+    for doc, text in sorted(rows):
+        lines = text.split("\n")
+        spans = [(a, b, tuple(lines[a:b])) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1) if sum(len(x.split()) for x in lines[a:b]) > over]
+        out[doc] = {i for a, b, run in spans if run in seen for i in range(a, b)}
+        seen.update(run for _, _, run in spans)
+    return out
+
+
+def test_line_dedup_finds_every_long_run(spark):
+    rng = random.Random(5)
+    pool = [" ".join(f"w{i}x{k}" for k in range(n)) for i, n in enumerate([0, 1, 3, 9, 17, 20, 26, 30, 51, 60])]
+    rows = []
+    for d in range(60):
+        text = [f"own {d} {k}" if rng.random() < 0.4 else rng.choice(pool) for k in range(rng.randint(1, 9))]
+        at = rng.randint(0, len(text))
+        text[at:at] = [pool[i] for i in rng.choice([(6, 7), (7, 1, 5), (4, 3, 5, 2, 2), (9,), (0, 8, 0)])]
+        rows.append((d, "\n".join(text)))
+    rows += [(100, "one " * 51), (101, "one " * 51), (102, "two " * 50), (103, "two " * 50)]
+    got = {r.doc_id: r for r in line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    runs = plain_runs(rows)
+    shape, seen, expected = (2, 2, 2), {}, {}
+    for doc, text in rows:
+        gone, at = set(runs[doc]), 0
+        for k, (lines, _) in enumerate(line_dedup.chunks(text, *shape)):
+            if len(lines) >= 2 and seen.setdefault("\n".join(lines), (doc, k)) != (doc, k):
+                gone.update(range(at, at + len(lines)))
+            at += len(lines)
+        expected[doc] = ("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone), len(gone))
+    assert {d: (r.text, r.removed_lines) for d, r in got.items()} == expected
+    assert got[101].text == "" and got[103].text == "two " * 50
+
+
 def plain_words(text):
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return "".join(c if ord(c) > 127 or c.isdigit() or "a" <= c <= "z" else " " for c in lowered).split(" ")
