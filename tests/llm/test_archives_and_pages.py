@@ -96,3 +96,14 @@ def test_wrapper_is_a_union_free_expression():
 def test_odd_markup_ends(html):
     text, _ = html_wrapper.extract(html, None)
     assert isinstance(text, str)
+
+
+def test_hosts_that_mix_templates(spark):
+    old, new = "<div><h1>Old %d</h1><p>plain text</p></div>", "<div>Site</div><article><h1>New %d</h1><p>framed text</p></article>"
+    teaser = "<div><p>plain text</p></div><aside><article>teaser</article></aside>"
+    rows = [(i, url, (old if i % 2 else new) % i) for i, url in enumerate(["http://a/1"] * 6 + [None] * 6 + ["odd"] * 2)]
+    rows += [(20, "http://a/2", "<div>Site</div><article></article>"), (21, "http://a/3", teaser), (22, None, teaser)]
+    got = {r.page_id: r for r in html_wrapper.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(r.by_host for r in got.values())
+    assert all(got[i].text == (f"Old {i} plain text" if i % 2 else f"New {i} framed text") for i in range(14))
+    assert got[20].text == "" and got[21].text == got[22].text == "plain text"
