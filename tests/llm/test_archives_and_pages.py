@@ -107,3 +107,25 @@ def test_hosts_that_mix_templates(spark):
     assert all(r.by_host for r in got.values())
     assert all(got[i].text == (f"Old {i} plain text" if i % 2 else f"New {i} framed text") for i in range(14))
     assert got[20].text == "" and got[21].text == got[22].text == "plain text"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<html class="no-cookies"><body class="has-sidebar widget"><main class="with-sidebar"><article class="post has-comments social">a<p>b</article></main></body></html>', "a b"),
+        ('<div class="page share-on"><p>a</div>', "a"),
+        ('<div>x</div><div id="social" class="sidebar-left"><div class=widget><article>a</article></div></div>', "a"),
+        ('<article>a</article><div class="related-posts"><article class=teaser>b</article></div>', "a"),
+        ('<div>a</div><section class="comments"><article>b</article></section>', "a"),
+        ('<div>a</div><aside class="page sidebar"><article>b</article></aside>', "a"),
+        ('<p>a<ul><li class="comment"><p>b<p>c</p>d<div>e</div><ul><li class="comment">f</li><li>g</ul>h<li>i</ul><p>j', "a i j"),
+        ('<ol><li class="comment"><p>b</p><ol><li class="comment"><p>c</p></li></ol>d</li><li>e</li></ol>f', "e f"),
+        ('<ol><li class="comment"><div>b</li><li>c</ol>', "c"),
+        ('<table><tr><td class="ad"><p>b</p><ul><li>c</ul>d<td>e<tr class="promo"><td>f<tr><td>g</table>h', "e g h"),
+        ('<dl><dt class="ad">b<p>c<dd>d</dl><p class="share">e<div>f</div>', "d f"),
+        ('<p class="ad">b<p>c<p class="cookie-notice">d</p>e', "c e"),
+    ],
+)
+def test_what_marks_something_apart(html, text):
+    assert html_wrapper.extract(html, None)[0] == text
+    assert html_wrapper.extract(f"<nav>n</nav>{html}", None)[0] == text
