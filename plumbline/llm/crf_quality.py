@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,10 +214,21 @@ def held_out(id_column, folds: int = 5):
     return F.coalesce(F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_lines: int = 40_000, steps: int = 100, penalty: float = 1e-4) -> Model:
+def line_runs(n: int, most: int, run: int = 32) -> list[tuple[int, int]]:
+    """(first, end) of the lines that a document of ``n`` lines gives to the fit: all, or if there are more than ``most``
+    (one at least) runs of ``run`` lines, spread evenly from its first to its last line."""
+    if n <= most:
+        return [(0, n)]
+    run = min(run, most)
+    k = most // run
+    return [(a, a + run) for a in ([i * (n - run) // (k - 1) for i in range(k)] if k > 1 else [(n - run) // 2])]
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_lines: int = 40_000, steps: int = 100, penalty: float = 1e-4, doc_lines: int = 512) -> Model:
     """Model fitted on at most ``per_class`` labelled documents of either quality, those with the smallest hash of their
-    doc_id outside the held-out fold. Training stops taking documents once ``max_lines`` lines are reached, so what the
-    driver holds (features of lines, no texts) is bounded.
+    doc_id outside the held-out fold. A document of over ``doc_lines`` lines gives evenly spread runs of lines, each a
+    sequence of its own. The qualities take turns, and a document that would pass ``max_lines`` lines in all is left out
+    and the next ones are tried, so what the driver holds (features of lines, no texts) is bounded.
 
     Null labels, ids and texts and held-out rows are left out; a document with several labels counts once for each. With
     no labelled documents every text scores one half."""
@@ -225,41 +236,46 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_lines:
     chosen = None
     for quality in (0, 1):
         some = known.where((F.col("_quality") == quality) & ~held_out(F.col("_id"))).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
+        some = some.withColumn("_turn", F.row_number().over(Window.partitionBy("_quality").orderBy(F.xxhash64("_id"), "_id")))
         chosen = some if chosen is None else chosen.unionByName(some)
-    # `chosen` has at most twice `per_class` rows of two numbers.
+    # `chosen` has at most twice `per_class` rows of three numbers.
     texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
 
+    most = min(doc_lines, max_lines)
+
     def make():
         def work(batch):
-            for doc, text, quality in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, text, quality, turn in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 lines = text.split("\n")
-                yield doc, quality, len(lines), [len(x) for x in lines[:max_lines]], line_features(lines[:max_lines]).astype("<f4").tobytes()
+                runs = line_runs(len(lines), most)
+                given = [x for a, b in runs for x in lines[a:b]]
+                yield doc, quality, turn, len(lines), [b - a for a, b in runs], [len(x) for x in given], line_features(given).astype("<f4").tobytes()
 
         return work
 
-    rows = arrow_map(texts.select("doc_id", "text", "_quality"), make, "doc_id bigint, quality int, n int, chars array<int>, features binary")
+    rows = arrow_map(texts.select("doc_id", "text", "_quality", "_turn"), make, "doc_id bigint, quality int, turn int, n int, runs array<int>, chars array<int>, features binary")
     kept: list = []
     total = 0
-    for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "n").limit(2 * per_class).toLocalIterator():
-        if total + len(r["chars"]) > max_lines and kept:
-            break
+    for r in rows.orderBy("turn", "quality", "doc_id", "n").limit(2 * per_class).toLocalIterator():
+        if total + len(r["chars"]) > max_lines:
+            continue
         total += len(r["chars"])
         kept.append(r)
     if not kept:
         return Model(np.zeros(1 + 3 * _WIDTH), np.zeros((2, 2)), (0.0, 0.0))
-    lengths = [len(r["chars"]) for r in kept]
+    sizes, lengths = [len(r["chars"]) for r in kept], [n for r in kept for n in r["runs"]]
     own = np.concatenate([np.frombuffer(r["features"], "<f4").reshape(-1, _WIDTH) for r in kept]).astype(float)
     chars = [c for r in kept for c in r["chars"]]
     quality = np.array([r["quality"] for r in kept], float)
-    x, label = with_neighbours(own, lengths), np.repeat(quality, lengths)
+    x, label = with_neighbours(own, lengths), np.repeat(quality, sizes)
     weights, move = _fit_chain(x, lengths, label, steps, penalty)
     good, _ = Chains(lengths).marginals(x @ weights, move)
-    starts = np.cumsum(lengths) - np.asarray(lengths)
+    starts = np.cumsum(sizes) - np.asarray(sizes)
     worst = np.minimum.reduceat(good, starts)
-    label = np.where((label == 0) & (good > 0.5) & (good > np.repeat(worst, lengths)), 1.0, label)
+    label = np.where((label == 0) & (good > 0.5) & (good > np.repeat(worst, sizes)), 1.0, label)
     weights, move = _fit_chain(x, lengths, label, steps, penalty)
     good, _ = Chains(lengths).marginals(x @ weights, move)
-    return Model(weights, move, _fit_curve(_shares(good, chars, lengths), quality))
+    return Model(weights, move, _fit_curve(_shares(good, chars, sizes), quality))
 
 
 def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:

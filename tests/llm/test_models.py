@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import crf_quality, nn_descent
 
@@ -58,6 +59,25 @@ def test_quality_edges(spark):
     assert kept.columns == docs.columns
 
 
+def test_one_very_long_document_does_not_fill_the_sample(spark):
+    ids = [r.id for r in spark.range(200).where(~crf_quality.held_out(F.col("id"))).orderBy(F.xxhash64("id")).collect()][:80]
+    good, bad = "These are plain words of a text.\nAnd some more of them here.\n", "!!! $$$ | BUY | NOW !!!\n### 1 1 1 1\n"
+    for long_quality in (0, 1):
+        quality = {d: i % 2 if long_quality == 0 else 1 - i % 2 for i, d in enumerate(ids)}
+        texts = {d: (good if q else bad) * (25_000 if d == ids[0] else 3) for d, q in quality.items()}
+        docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+        model = crf_quality.train(docs, spark.createDataFrame(list(quality.items()), "doc_id bigint, quality int"))
+        assert quality[ids[0]] == long_quality
+        assert all((s > 0.5) == (quality[d] == 1) for d, s in zip(ids, model.scores([texts[d] for d in ids])))
+
+
+@pytest.mark.parametrize("n, most", [(1, 4), (512, 512), (513, 512), (50_000, 512), (9, 4), (100, 33), (7, 1), (10**6, 100)])
+def test_lines_given_to_the_fit(n, most):
+    runs = crf_quality.line_runs(n, most)
+    assert all(a < b for a, b in runs) and all(x[1] <= y[0] for x, y in zip(runs, runs[1:])) and runs[-1][1] <= n
+    assert (runs == [(0, n)]) == (n <= most) and most // 2 < sum(b - a for a, b in runs) <= most or n <= most
+
+
 def exact_nearest(vectors, every, k):
     out = {}
     for q, v in vectors.items():
