@@ -30,6 +30,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(column):
     """Lower case of A-Z only; every other letter stays."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

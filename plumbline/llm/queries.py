@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import crf_quality, decontaminate, html_wrapper, license_scan, line_dedup, nn_descent, packing, simhash, token_counts, warc
+from plumbline.llm import crf_quality, decontaminate, exact_dedup, html_wrapper, license_scan, line_dedup, nn_descent, packing, simhash, token_counts, warc
 from plumbline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,5 +59,22 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(load(spark, folder, "documents"), vocabulary())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_warc, op3_packing, op4_decontamination, op5_main_text, op6_quality, op7_neighbours, op8_line_dedup, op9_licenses, op10_token_counts)}
-ORACLE: dict[str, str] = {"op9_licenses": license_scan.oracle()}
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.duplicates(load(spark, folder, "documents"))
+
+
+_ALL = (
+    op1_simhash,
+    op2_warc,
+    op3_packing,
+    op4_decontamination,
+    op5_main_text,
+    op6_quality,
+    op7_neighbours,
+    op8_line_dedup,
+    op9_licenses,
+    op10_token_counts,
+    op13_exact_dedup,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
+ORACLE: dict[str, str] = {"op9_licenses": license_scan.oracle(), "op13_exact_dedup": exact_dedup.oracle()}
