@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -136,3 +137,27 @@ def _groups(batches: Iterator[pa.RecordBatch], at: list[int]) -> Iterator[pa.Tab
             parts.append(batch.slice(start))
     if parts:
         yield pa.Table.from_batches(parts)
+
+
+def streamed(df: DataFrame, key: str, order: tuple[str, ...], make: Callable, schema: str) -> DataFrame:
+    """Rows made from groups that need not fit in memory: ``make()`` returns a function from the key of a group and an
+    iterator over its rows (tuples in the order of ``df``'s columns, sorted by ``order``) to rows. Groups come from a shuffle
+    on ``key``; nulls are a group. A task holds a slice of a few hundred input rows at a time."""
+    importable(df)
+    arrow_schema = _arrow_schema(df, schema)
+    at = df.columns.index(key)
+
+    def run(batches):
+        work, held, size = make(), [], 0
+        rows = (row for part in rows_in(batches) for row in zip(*(c.to_pylist() for c in part.columns)))
+        for value, group in itertools.groupby(rows, lambda row: row[at]):
+            for row in work(value, group):
+                held.append(row)
+                size += 64 + sum(len(v) for v in row if isinstance(v, (str, bytes)))
+                if size > _BATCH_BYTES:
+                    yield _batch(held, arrow_schema)
+                    held, size = [], 0
+        if held:
+            yield _batch(held, arrow_schema)
+
+    return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, schema)

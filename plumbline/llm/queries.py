@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import crf_quality, decontaminate, exact_dedup, html_wrapper, license_scan, line_dedup, nn_descent, packing, simhash, token_counts, warc
+from plumbline.llm import conversation_repair, crf_quality, decontaminate, exact_dedup, html_wrapper, license_scan, line_dedup, nn_descent, packing, simhash, token_counts, warc
 from plumbline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(load(spark, folder, "documents"), vocabulary())
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.audited(load(spark, folder, "conversations"))
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicates(load(spark, folder, "documents"))
 
@@ -74,6 +78,7 @@ _ALL = (
     op8_line_dedup,
     op9_licenses,
     op10_token_counts,
+    op12_conversation_repair,
     op13_exact_dedup,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
