@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import conversation_repair, crf_quality, decontaminate, exact_dedup, html_wrapper, license_scan, line_dedup, nn_descent, packing, simhash, token_counts, warc
+from plumbline.llm import conversation_repair, crf_quality, decontaminate, exact_dedup, html_wrapper, license_scan, line_dedup, nn_descent, packing, simhash, spelling_variants, token_counts, warc
 from plumbline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,11 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(load(spark, folder, "documents"), vocabulary())
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling_variants.counted(load(spark, folder, "documents"), typo=spelling_variants.TYPO_DIVISOR)
+    return spelling_variants.variants(words)
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.audited(load(spark, folder, "conversations"))
 
@@ -78,6 +83,7 @@ _ALL = (
     op8_line_dedup,
     op9_licenses,
     op10_token_counts,
+    op11_spelling_variants,
     op12_conversation_repair,
     op13_exact_dedup,
 )
