@@ -7,7 +7,7 @@ byte by byte; of equal ones the first stays (smallest doc_id, then position) and
 Chunks miss passages whose edges are cut together with foreign lines. So every run of whole lines of over 50 words that
 also stands in an earlier document is found as well, exactly: each line starts a shortest run of over 50 words and ends
 one, and these depend on nothing outside of them. A repeated run is the union of the shortest runs inside it, so they
-alone are compared. One long line is a run. Inside one document only chunks are compared.
+alone are compared, by their hashes first and then byte by byte. One long line is a run. Inside one document only chunks are compared.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import arrow_map, importable, rows_in, stored
+from plumbline.llm.common import arrow_map, fresh, importable, rows_in, stored
 
 _PRIME = 0x9E3779B185EBCA87
 _WORD = (1 << 64) - 1
@@ -113,9 +113,10 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
                     if k in wanted:
                         yield doc, k, _signed(h), "\n".join(lines)
                 if min(wanted) < 0:
-                    for code, _, _, h in passages(text.split("\n"), over):
+                    every = text.split("\n")
+                    for code, a, b, h in passages(every, over):
                         if code in wanted:
-                            yield doc, code, _signed(h & _WORD), f"{h:032x}"
+                            yield doc, code, _signed(h & _WORD), "\n".join(every[a : b + 1])
 
         return work
 
@@ -126,8 +127,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     suspects = places.join(repeated, "hash", "left_semi")
     wanted = suspects.groupBy("doc_id").agg(F.collect_set("chunk").alias("wanted"))
     found = stored(arrow_map(texts.join(wanted, "doc_id").select("doc_id", "text", "wanted"), contents, "doc_id bigint, chunk int, hash bigint, content string"))
-    # Grouping by the content compares bytes; equal hashes of different contents fall apart here. Runs, which overlap, are
-    # compared by 127 bits instead.
+    # Grouping by the content compares bytes; equal hashes of different contents fall apart here.
     found = found.withColumn("run", F.col("chunk") < 0)
     first = stored(found.groupBy("hash", "content", "run").agg(F.count("*").alias("_n"), F.min(F.struct("doc_id", "chunk")).alias("first")).where("_n > 1"))
     compared = found.join(first.select(F.col("hash").alias("_hash"), F.col("content").alias("_content"), F.col("run").alias("_run"), "first"), (F.col("hash") == F.col("_hash")) & (F.col("content") == F.col("_content")) & (F.col("run") == F.col("_run")))
@@ -136,12 +136,16 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 
 def rewritten(docs: DataFrame, taken: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, divisor: int = 2, least: int = 2, over: int = 50) -> DataFrame:
-    """``docs`` without the chunks in ``taken``: all its rows and columns, then ``n_lines`` and ``removed_lines``."""
-    drop = taken.groupBy("doc_id").agg(F.collect_set(F.struct("chunk", "hash")).alias("_drop")).withColumnRenamed("doc_id", "_doc")
+    """``docs`` without the chunks in ``taken``: all its rows and columns, then ``n_lines`` and ``removed_lines`` (with
+    leading underscores where ``docs`` has columns of these names)."""
+    doc, gone = fresh(docs, "doc"), fresh(docs, "drop")
+    drop = taken.groupBy("doc_id").agg(F.collect_set(F.struct("chunk", "hash")).alias(gone)).withColumnRenamed("doc_id", doc)
     own = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.join(drop, F.col(f"`{id_col}`").cast("long") == F.col("_doc"), "left").select(*own, "_drop")
+    joined = docs.join(drop, F.col(f"`{id_col}`").cast("long") == F.col(doc), "left").select(*own, gone)
     shape, at = (window, divisor, least), docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("removed_lines", T.LongType())])
+    taken_names = {c.lower() for c in docs.columns}
+    counts_of = [fresh(docs, c) if c in taken_names else c for c in ("n_lines", "removed_lines")]
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in counts_of)])
 
     def run(batches):
         for batch in rows_in(batches):

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plumbline.llm.common import arrow_map, importable, stored
+from plumbline.llm.common import arrow_map, fresh, importable, rows_in, stored
 from plumbline.llm.components import components
 
 _SEED = 42
@@ -221,10 +222,38 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: st
     return rows.join(by_fp, "fp").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, radius: int = 3) -> DataFrame:
+def deduplicated(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that with the component's smallest doc_id. All columns are kept.
 
-    Of rows that share that doc_id (repeated rows) one stays. Rows with a null doc_id take no part and are kept."""
-    marked = near_duplicates(docs.where("doc_id is not null"), radius=radius).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(marked, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    Rows that share a doc_id are told apart by their own text: each stays or goes with its own component, and of those that
+    name the same component one stays. Rows with a null doc_id take no part and are kept. An empty table gives no rows."""
+    known = docs.where(F.col(f"`{id_col}`").isNotNull())
+    marked = stored(near_duplicates(known, words, radius, id_col, text_col))
+    own, kept, shared, fp = (fresh(docs, c) for c in ("own", "kept", "shared", "fp"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    several = stored(marked.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(shared)))
+    first = marked.where("doc_id = component_id")
+    rows = known.withColumn(own, F.col(f"`{id_col}`").cast("long"))
+    alone = rows.join(first.select(F.col("doc_id").alias(kept)), F.col(own) == F.col(kept), "left_semi")
+    if several.isEmpty():
+        return alone.select(*columns).unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    alone = alone.join(several, F.col(own) == F.col(shared), "left_anti")
+    among = _with_fingerprint(rows.join(several, F.col(own) == F.col(shared), "left_semi"), fp, words, text_col)
+    naming = first.select(F.col("doc_id").alias(kept), F.col("fingerprint").alias(shared)).distinct()
+    told = among.join(naming, (F.col(own) == F.col(kept)) & (hex_of(F.col(fp)) == F.col(shared)), "left_semi").dropDuplicates([own])
+    return alone.select(*columns).unionByName(told.select(*columns)).unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+
+
+def _with_fingerprint(docs: DataFrame, name: str, words: int, text_col: str) -> DataFrame:
+    """``docs`` with the fingerprint of the text as a last column ``name``."""
+    at, schema = docs.columns.index(text_col), T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+
+    def run(batches):
+        import xxhash
+
+        lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+        for batch in rows_in(batches):
+            found = [_fingerprint((t or "").encode().translate(lower).split(), words, xxhash.xxh64_intdigest) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=schema.names)
+
+    return importable(docs).mapInArrow(run, schema)

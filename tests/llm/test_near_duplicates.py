@@ -58,6 +58,16 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_rows_that_share_an_id_go_by_their_own_text(spark):
+    a, b = "alpha beta gamma delta", "one two three four five"
+    rows = [(1, a), (5, a), (5, b), (5, b), (6, b), (7, "on its own"), (None, a), (8, None), (8, "")]
+    docs = spark.createDataFrame([(*r, "x", i) for i, r in enumerate(rows)], "doc_id bigint, text string, fp string, _own int")
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text or "") for r in kept.collect()) == [(0, a), (1, a), (5, b), (7, "on its own"), (8, "")]
+    assert simhash.deduplicated(docs.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3])
 @pytest.mark.parametrize("tile", [4096, 16])
 def test_trees_join_what_brute_force_joins(spark, radius, tile):

@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_query_is_registered():
     queries = __spark_entry__.queries()
-    assert all(sum(q.startswith(f"op{n}_") for q in queries) == 1 for n in range(1, 11))
+    assert all(sum(q.startswith(f"op{n}_") for q in queries) == 1 for n in range(1, 14))
     assert "pipeline" in queries and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 

@@ -53,16 +53,31 @@ def test_matches(spark):
     assert decontaminate.matches(docs.limit(0), bench).collect() == []
 
 
+def shortest_runs(lines, over=50):
+    """First and last line of the shortest runs of over ``over`` words from each line on and up to each line."""
+    size = [len(x.split()) for x in lines]
+    out = set()
+    for i in range(len(lines)):
+        out.update([(i, b) for b in range(i, len(lines)) if sum(size[i : b + 1]) > over][:1])
+        out.update([(a, i) for a in range(i, -1, -1) if sum(size[a : i + 1]) > over][:1])
+    return out
+
+
 def plain_dedup(rows, window=2, divisor=2, least=2):
-    seen, out = {}, {}
+    """Texts without repeated chunks and without runs of over 50 words that an earlier document has."""
+    seen, runs, out = {}, set(), {}
     for doc, text in sorted((d, t) for d, t in rows if t is not None):
-        kept = []
+        every = text.split("\n")
+        gone, at, own = set(), 0, {(a, b): tuple(every[a : b + 1]) for a, b in shortest_runs(every)}
         for k, (lines, _) in enumerate(line_dedup.chunks(text, window, divisor, least)):
-            content = "\n".join(lines)
-            if len(lines) >= least and seen.setdefault(content, (doc, k)) != (doc, k):
-                continue
-            kept += lines
-        out[doc] = "\n".join(kept)
+            if len(lines) >= least and seen.setdefault("\n".join(lines), (doc, k)) != (doc, k):
+                gone.update(range(at, at + len(lines)))
+            at += len(lines)
+        for (a, b), run in own.items():
+            if run in runs:
+                gone.update(range(a, b + 1))
+        runs.update(own.values())
+        out[doc] = "\n".join(x for i, x in enumerate(every) if i not in gone)
     return out
 
 
@@ -92,6 +107,13 @@ def test_line_dedup_keeps_rows_and_columns(spark):
     assert len(rows[3][1]) < 7 and rows[3][3] == len(rows[3][1])
 
 
+def test_line_dedup_survives_columns_with_its_own_names(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc\nd", 1, 2, 3, 4), (2, "a\nb\nc\nd", 1, 2, 3, 4)], "doc_id bigint, text string, n_lines int, removed_lines int, _drop int, _doc int")
+    out = line_dedup.cleaned(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.n_lines, r.removed_lines, r._drop, r._doc) for r in out.collect()) == [(1, 1, 2, 3, 4), (2, 1, 2, 3, 4)]
+
+
 def plain_runs(rows, over=50):
     """Lines of each text that stand in a run of over ``over`` words that an earlier document has too."""
     seen, out = set(), {}
