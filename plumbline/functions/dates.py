@@ -96,6 +96,7 @@ _LAYOUTS = (
     ("D/M/YYYY", _loose("dmy", "/") + _loose("dmy", ".") + _loose("dmy", "-")),
     ("YYYY-M-D", tuple(p for p in _loose("ymd", "-") if not p.startswith("9999-99-99 ")) + _loose("ymd", "/")),
 )
+LAYOUT_NAMES = tuple(name for name, _ in _LAYOUTS)
 
 
 def layout(seen: Column) -> Column:

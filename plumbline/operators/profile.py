@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from plumbline.config import BOOLEAN_WORDS, DEFAULTS, Thresholds
 from plumbline.functions import names
-from plumbline.functions.dates import with_dates
+from plumbline.functions.dates import LAYOUT_NAMES, with_dates
 from plumbline.functions.numbers import pct, rounded, share, to_number
-from plumbline.operators.cells import columns_of, common_first, ordinal, value_counts
+from plumbline.operators.cells import columns_of, common_first, empty, ordinal, value_counts
+from plumbline.operators.digests import common_examples, digest_counts, gated
+from plumbline.session import cut
 
 
 def date_cells(t: Thresholds = DEFAULTS) -> Column:
@@ -40,32 +42,48 @@ def semantic_type(t: Thresholds = DEFAULTS) -> Column:
     )
 
 
+def _cell_figures() -> dict[str, Column]:
+    """What a profile needs of a value, over the columns of ``with_dates``; each of fixed width."""
+    value = F.col("value")
+    return {
+        "filled": value.isNotNull(),
+        "boolean": F.lower(value).isin(*BOOLEAN_WORDS),
+        "number": to_number(value).isNotNull(),
+        "dated": F.col("date").isNotNull(),
+        "layout": F.array_position(F.array(*[F.lit(n) for n in LAYOUT_NAMES]), F.col("layout")),
+        "chars": F.length(value),
+    }
+
+
 def profile_columns(
     df: DataFrame, t: Thresholds = DEFAULTS, columns: Sequence[str] | None = None, samples: bool = True
 ) -> DataFrame:
     """One row per column.
 
-    All figures come from the value counts, so parsing and date matching run once per distinct value and the
-    whole profile needs one wide shuffle, whose size is the number of distinct cells and not of rows.
+    Columns of small domains are counted as text, so parsing and date matching run once per value. All others are
+    counted by digests: their cells travel as two hashes and figures of fixed width, and text is fetched for the sample
+    values alone. Distinct counts are exact for both.
     """
     columns = columns_of(df, columns)
     kinds = dict(df.dtypes)
-    counts = value_counts(df, columns)
-    value, cnt = F.col("value"), F.col("cnt")
+    small, large = gated(df, columns, t)
+    counts = value_counts(df, small) if small else empty(df, "`column` string, value string, cnt bigint")
+    cnt, cell_figures = F.col("cnt"), _cell_figures()
+    marked = with_dates(counts).select("column", "cnt", *[c.alias(n) for n, c in cell_figures.items()])
+    by_digest = None
+    if large:
+        by_digest = cut(digest_counts(df, large, cell_figures, with_dates))
+        name = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(large) for x in (i, c)]), F.col("at")).alias("column")
+        marked = marked.unionByName(by_digest.select(name, "cnt", *cell_figures))
     # First per column and date layout, at most a dozen groups each, then per column.
-    per_layout = (
-        with_dates(counts)
-        .withColumn("is_number", to_number(value).isNotNull())
-        .groupBy("column", "layout")
-        .agg(
-            F.sum("cnt").alias("row_count"),
-            F.sum(F.when(value.isNotNull(), cnt).otherwise(0)).alias("non_null"),
-            F.count("value").alias("cardinality"),
-            F.bool_and(F.lower(value).isin(*BOOLEAN_WORDS)).alias("all_boolean"),
-            F.sum(F.when(F.col("is_number"), cnt).otherwise(0)).alias("numbers"),
-            F.sum(F.when(F.col("date").isNotNull(), cnt).otherwise(0)).alias("dates"),
-            F.sum(F.length(value) * cnt).alias("chars"),
-        )
+    per_layout = marked.groupBy("column", "layout").agg(
+        F.sum("cnt").alias("row_count"),
+        F.sum(F.when(F.col("filled"), cnt).otherwise(0)).alias("non_null"),
+        F.count_if("filled").alias("cardinality"),
+        F.bool_and("boolean").alias("all_boolean"),
+        F.sum(F.when(F.col("number"), cnt).otherwise(0)).alias("numbers"),
+        F.sum(F.when(F.col("dated"), cnt).otherwise(0)).alias("dates"),
+        F.sum(F.col("chars") * cnt).alias("chars"),
     )
     figures = (
         per_layout.groupBy("column")
@@ -95,6 +113,8 @@ def profile_columns(
     if not samples:
         return figures.select(*out)
     first = common_first(counts, t.examples)
+    if large:
+        first = first.unionByName(common_examples(df, by_digest, large, t.examples))
     # one row per column on both sides
     return figures.join(F.broadcast(first), "column", "left").select(
         *out, F.coalesce(F.col("examples"), F.array().cast("array<string>")).alias("sample_values")
