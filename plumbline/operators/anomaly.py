@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,15 +15,18 @@ from plumbline.functions.text import fold, null_placeholder_words, ref
 from plumbline.operators.cells import (
     cells,
     columns_of,
+    empty,
     measure,
     number_of,
     small_frame,
     top_values,
     value_counts,
 )
+from plumbline.operators.digests import commonest, digest_counts, gated
 from plumbline.operators.domains import domain_counts
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.scan import Scan, scan
+from plumbline.session import cut
 
 OUTLIER_SCHEMA = (
     "`column` string, n_values bigint, mean double, std double, min double, max double, lower_fence double, "
@@ -170,8 +174,7 @@ def rare_values(df: DataFrame, t: Thresholds = DEFAULTS, columns: Sequence[str]
     commonest of them in each column, ties by value."""
     if columns is None:
         columns = [n for n, k in df.dtypes if k == "string"]
-    counts = value_counts(df, columns).filter(F.col("value").isNotNull())
-    filled = counts.groupBy("column").agg(F.sum("cnt").alias("filled"))
+    counts, filled = common_counts(df, columns, k + math.ceil(1 / t.rare_share), t)
     in_order = Window.partitionBy("column").orderBy(F.desc("cnt"), "value")
     return (
         counts.join(F.broadcast(filled), "column")  # one row per column
@@ -182,6 +185,30 @@ def rare_values(df: DataFrame, t: Thresholds = DEFAULTS, columns: Sequence[str]
     )
 
 
+def common_counts(df: DataFrame, columns: Sequence[str], k: int, t: Thresholds = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """((column, value, cnt), figures of the columns): counts of all filled values of small domains, and of at least the
+    ``k`` commonest of larger ones, whose text is not moved otherwise.
+
+    A share of the rows can only be reached by as many values as go into one, so the rest of a large column is rare."""
+    small, large = gated(df, columns, t)
+    value, cnt = F.col("value"), F.col("cnt")
+    filled = value.isNotNull()
+    counts = value_counts(df, small) if small else empty(df, "`column` string, value string, cnt bigint")
+    marked = counts.select("column", "cnt", filled.alias("is_filled"), to_number(value).isNotNull().alias("is_number"))
+    if large:
+        digests = cut(digest_counts(df, large, {"is_filled": filled, "is_number": to_number(value).isNotNull()}))
+        name = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(large) for x in (i, c)]), F.col("at")).alias("column")
+        marked = marked.unionByName(digests.select(name, "cnt", "is_filled", "is_number"))
+        counts = counts.unionByName(commonest(df, digests, large, k))
+    figures = marked.groupBy("column").agg(
+        F.sum("cnt").alias("row_count"),
+        F.sum(F.when(F.col("is_filled"), cnt).otherwise(0)).alias("filled"),
+        F.sum(F.when(F.col("is_number"), cnt).otherwise(0)).alias("numbers"),
+        F.count_if("is_filled").alias("cardinality"),
+    )
+    return counts.filter(filled), figures
+
+
 def invalid_markers(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame | None = None) -> DataFrame:
     """Markers such as ``n.d.`` that are still in a categorical column."""
     counts = _categories(df, t, counts)
@@ -232,23 +259,12 @@ def dominant_category(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame
 
 def frequent_values(df: DataFrame, t: Thresholds = DEFAULTS, k: int = 5, numeric_ratio: float = 0.8) -> DataFrame:
     """Documented variant: the ``k`` commonest values of columns with under 50 distinct values or under 5 % distinct."""
-    counts = value_counts(df)
-    value, cnt = F.col("value"), F.col("cnt")
-    fitting = (
-        counts.groupBy("column")
-        .agg(
-            F.sum("cnt").alias("row_count"),
-            F.sum(F.when(value.isNotNull(), cnt).otherwise(0)).alias("filled"),
-            F.sum(F.when(to_number(value).isNotNull(), cnt).otherwise(0)).alias("numbers"),
-            F.count("value").alias("cardinality"),
-        )
-        .filter(share(F.col("numbers"), F.col("filled")) < numeric_ratio)
-        .filter(
-            (F.col("cardinality") < t.rare_max_distinct)
-            | (share(F.col("cardinality"), F.col("row_count")) < t.categorical_ratio)
-        )
+    counts, figures = common_counts(df, columns_of(df, None), k, t)
+    cnt = F.col("cnt")
+    fitting = figures.filter(share(F.col("numbers"), F.col("filled")) < numeric_ratio).filter(
+        (F.col("cardinality") < t.rare_max_distinct) | (share(F.col("cardinality"), F.col("row_count")) < t.categorical_ratio)
     )
-    kept = counts.filter(value.isNotNull()).join(F.broadcast(fitting), "column")  # one row per column
+    kept = counts.join(F.broadcast(fitting), "column")  # one row per column
     w = Window.partitionBy("column").orderBy(F.desc("cnt"), F.asc("value"))
     return (
         kept.withColumn("place", F.row_number().over(w))

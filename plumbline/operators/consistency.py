@@ -13,12 +13,14 @@ from plumbline.functions.numbers import pct, share, to_number
 from plumbline.functions.text import fold, ref, strip
 from plumbline.operators.cells import (
     cells,
+    columns_of,
     empty,
     measure,
     number_of,
     small_frame,
     value_counts,
 )
+from plumbline.operators.digests import spelled_differently
 from plumbline.operators.domains import domain_counts
 from plumbline.operators.scan import Scan, scan
 
@@ -146,16 +148,8 @@ def case_variants(df: DataFrame, t: Thresholds = DEFAULTS, counts: DataFrame | N
 def case_variant_rows(df: DataFrame) -> DataFrame:
     """Alternate check: the same in every column, outer blanks making a variant too. One row per spelling, since their
     number has no bound: (column, folded, form, cells)."""
-    counts = value_counts(df).filter(F.col("value").isNotNull()).withColumn("folded", fold(F.col("value")))
-    # Two different spellings are enough to tell, so no list of them is ever gathered.
-    varied = (
-        counts.groupBy("column", "folded")
-        .agg(F.min("value").alias("first"), F.max("value").alias("last"))
-        .filter("first <> last")
-        .select(F.col("column").alias("c"), F.col("folded").alias("f"))
-    )
-    spelled = counts.join(varied, (F.col("column") == F.col("c")) & (F.col("folded") == F.col("f")), "left_semi")
-    return spelled.select("column", "folded", F.col("value").alias("form"), F.col("cnt").alias("cells"))
+    spelled = spelled_differently(df, columns_of(df, None), fold)
+    return spelled.select("column", fold(F.col("value")).alias("folded"), F.col("value").alias("form"), F.col("cnt").alias("cells"))
 
 
 # --- codes and labels --------------------------------------------------------

@@ -11,9 +11,10 @@ from plumbline.config import DEFAULTS, Thresholds
 from plumbline.functions.dates import layout, period, picture, read_as, with_dates
 from plumbline.functions.numbers import share
 from plumbline.functions.text import fold, ref, strip
-from plumbline.operators.cells import cells, columns_of, measure, value_counts
+from plumbline.operators.cells import cells, columns_of, measure
 from plumbline.operators.changes import Fixed
 from plumbline.operators.consistency import case_variant_rows, fragmented_dates
+from plumbline.operators.digests import spelled_differently
 from plumbline.operators.duplicates import drop_duplicate_rows
 from plumbline.operators.profile import TableProfile, date_cells
 from plumbline.session import cut
@@ -66,12 +67,11 @@ def normalize_periods(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def canonical_forms(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, folded, canonical): commonest spelling of every group of trimmed values that differ by case.
 
-    Of equally common spellings the smallest wins. Groups with one spelling need no entry.
+    Of equally common spellings the smallest wins. Groups with one spelling have no entry, and their text is not moved.
     """
     trimmed = df.select(*[strip(ref(c)).alias(c) for c in columns])
     return (
-        value_counts(trimmed, columns)
-        .filter(F.col("value").isNotNull())
+        spelled_differently(trimmed, columns, F.lower)
         .groupBy("column", F.lower("value").alias("folded"))
         .agg(
             F.count(F.lit(1)).alias("spellings"),

@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.config import DEFAULTS, Thresholds
+from plumbline.functions.text import ref
 from plumbline.operators.cells import cells, columns_of, common_first, empty
 from plumbline.operators.scan import scan
+from plumbline.session import cut
 
 # Any constant; it makes the second hash independent of the first.
 _SECOND = 0x5BD1E995
@@ -104,3 +106,43 @@ def commonest(df: DataFrame, counts: DataFrame, columns: Sequence[str], k: int,
 def common_examples(df: DataFrame, counts: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     """(column, examples): the ``k`` commonest values of each column, then the smallest."""
     return common_first(commonest(df, counts, columns, k), k)
+
+
+def cardinalities(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Exact number of different filled values of each column: one row for each value travels, of fixed width."""
+    if not columns:
+        return {}
+    found = digest_counts(df, columns).groupBy("at").agg(F.count("h1").alias("n")).collect()
+    return {c: 0 for c in columns} | {columns[r["at"]]: r["n"] for r in found}
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two hashes of a row's values in ``columns``; where nulls stand counts."""
+    parts = [x for c in columns for x in (ref(c).isNull(), ref(c))]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(_SECOND), *parts)]
+
+
+def spelled_differently(df: DataFrame, columns: Sequence[str], key: Callable[[Column], Column]) -> DataFrame:
+    """(column, value, cnt) of the values that share ``key`` with another value of their column.
+
+    The first pass keeps, for each hashed key, the smallest and largest hash of the values under it: fixed width, and
+    copies collapse inside each task. Only keys under which these differ are looked up, and only the text of their
+    values is counted. The keys are written, so the optimiser knows their size."""
+    schema = "`column` string, value string, cnt bigint"
+    if not columns:
+        return empty(df, schema)
+    value = F.col("value")
+    folded = key(value)
+
+    def keyed(frame: DataFrame) -> DataFrame:
+        return frame.where(value.isNotNull()).withColumn("k", folded).withColumns({"k1": F.xxhash64("k"), "k2": F.xxhash64(F.lit(_SECOND), F.col("k"))}).drop("k")
+
+    hashes = keyed(_hashed(df, columns)).groupBy("at", "k1", "k2").agg(*[f(h).alias(f"{n}{h}") for h in ("h1", "h2") for n, f in (("low", F.min), ("high", F.max))])
+    varied = cut(hashes.where("lowh1 <> highh1 or lowh2 <> highh2").select("at", "k1", "k2"))
+    held = sorted(r["at"] for r in varied.select("at").distinct().collect())
+    if not held:
+        return empty(df, schema)
+    some = [columns[i] for i in held]
+    at = F.element_at(F.create_map(*[F.lit(x) for i in held for x in (columns[i], i)]), F.col("column"))
+    texts = keyed(cells(df, some)).withColumn("at", at).join(varied, ["at", "k1", "k2"], "left_semi")
+    return texts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from plumbline.config import DEFAULTS, KEY_NAME_PARTS, Thresholds
-from plumbline.functions.numbers import pct, share
+from plumbline.functions.numbers import pct
 from plumbline.functions.text import ref
-from plumbline.operators.cells import columns_of, value_counts
+from plumbline.operators.cells import cells, columns_of
+from plumbline.operators.digests import cardinalities, row_digest
 from plumbline.session import cut
 
 
@@ -67,27 +68,39 @@ def drop_duplicate_rows(df: DataFrame, written: bool = False) -> DataFrame:
     return unique.unionByName(suspects.dropDuplicates())
 
 
-def key_candidates(df: DataFrame, t: Thresholds = DEFAULTS) -> list[str]:
-    """Up to four columns of moderate uniqueness and short values, most distinct first."""
-    figures = (
-        value_counts(df)
-        .groupBy("column")
-        .agg(
-            F.sum("cnt").alias("row_count"),
-            F.count("value").alias("cardinality"),
-            share(F.sum(F.length("value") * F.col("cnt")), F.sum(F.when(F.col("value").isNotNull(), F.col("cnt")))).alias("avg_length"),
-        )
-        .collect()
+# A sketch decides where it is further than this factor from a cut-off (six times its standard error); exact counts
+# decide the rest.
+_SKETCH_MARGIN = 1.3
+
+
+def _key_figures(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+    """Rows, filled cells, characters and estimated distinct values of each column, in one pass."""
+    value = F.col("value")
+    figures = cells(df, columns).groupBy("column").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count(value).alias("filled"), F.sum(F.length(value)).alias("chars"), F.approx_count_distinct(value).alias("about_distinct")
     )
-    order = {c: i for i, c in enumerate(df.columns)}
-    fitting = [
-        (-r["cardinality"] / r["row_count"], order[r["column"]], r["column"])
-        for r in figures
-        if r["cardinality"]
-        and t.key_min_ratio <= r["cardinality"] / r["row_count"] <= t.key_max_ratio
-        and r["avg_length"] < t.key_max_length
+    return {r["column"]: r for r in figures.collect()}
+
+
+def key_candidates(df: DataFrame, t: Thresholds = DEFAULTS) -> list[str]:
+    """Up to four columns of moderate uniqueness and short values, most distinct first.
+
+    Long or nearly constant columns leave by a sketch; distinct values of the others are counted by digests."""
+    columns = columns_of(df, None)
+    seen = _key_figures(df, columns)
+    maybe = [
+        c
+        for c in columns
+        if c in seen
+        and seen[c]["filled"]
+        and seen[c]["chars"] / seen[c]["filled"] < t.key_max_length
+        and seen[c]["about_distinct"] * _SKETCH_MARGIN >= t.key_min_ratio * seen[c]["row_count"]
     ]
-    return [c for _, _, c in sorted(fitting)[: t.key_columns]]
+    distinct = cardinalities(df, maybe)
+    ratios = {c: distinct[c] / seen[c]["row_count"] for c in maybe}
+    fitting = [c for c in maybe if t.key_min_ratio <= ratios[c] <= t.key_max_ratio]
+    order = {c: i for i, c in enumerate(df.columns)}
+    return sorted(fitting, key=lambda c: (-ratios[c], order[c], c))[: t.key_columns]
 
 
 def named_keys(df: DataFrame, t: Thresholds = DEFAULTS) -> list[str]:
@@ -97,11 +110,11 @@ def named_keys(df: DataFrame, t: Thresholds = DEFAULTS) -> list[str]:
     by_name = [c for c in columns if parts & set(c.lower().replace("-", "_").replace(" ", "_").split("_"))]
     if by_name:
         return by_name
-    figures = (
-        value_counts(df, columns).groupBy("column").agg(F.sum("cnt").alias("n"), F.count("value").alias("d")).collect()
-    )
-    distinct = {r["column"] for r in figures if r["d"] / r["n"] > 0.5}
-    return [c for c in columns if c in distinct]
+    seen = _key_figures(df, columns)
+    half = {c: r["row_count"] / 2 for c, r in seen.items()}
+    close = [c for c in columns if c in seen and half[c] / _SKETCH_MARGIN <= seen[c]["about_distinct"] <= half[c] * _SKETCH_MARGIN]
+    distinct = {c: seen[c]["about_distinct"] for c in seen} | cardinalities(df, close)
+    return [c for c in columns if c in seen and distinct[c] > half[c]]
 
 
 def near_duplicates(df: DataFrame, keys: Sequence[str] | None = None, t: Thresholds = DEFAULTS) -> DataFrame:
@@ -109,8 +122,11 @@ def near_duplicates(df: DataFrame, keys: Sequence[str] | None = None, t: Thresho
     keys = list(keys) if keys is not None else key_candidates(df, t)
     if not keys:
         return df.sparkSession.createDataFrame([("", 0, 0)], "key_columns string, key_groups bigint, affected_rows bigint")
+    # Two hashes stand for the key, so no text is moved.
+    first, second = row_digest(df, keys)
     return (
-        df.groupBy(*[ref(k) for k in keys])
+        df.select(first.alias("k1"), second.alias("k2"))
+        .groupBy("k1", "k2")
         .agg(F.count(F.lit(1)).alias("rows"))
         .filter("rows > 1")
         .agg(F.count(F.lit(1)).alias("key_groups"), F.coalesce(F.sum("rows"), F.lit(0)).alias("affected_rows"))

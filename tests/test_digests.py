@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 
 from plumbline.config import DEFAULTS
-from plumbline.operators import digests, profile
+from plumbline.operators import anomaly, consistency, digests, duplicates, profile
 from plumbline.plans.dirty_orders import dirty_orders
 from plumbline.sources.tables import load, text_layer
 
@@ -50,3 +50,32 @@ def test_digest_exchange_has_fixed_width(spark, data):
     assert {t for _, t in counts.dtypes} <= {"int", "bigint"}
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_count(1)" in plan and "value" not in plan.split("Exchange")[0]
+
+
+def test_rare_and_frequent_values_are_the_same_by_digests(spark, data):
+    orders = text_layer(load(spark, data, "orders"), scale=2)
+    for check in (anomaly.rare_values, anomaly.frequent_values):
+        assert sorted(map(str, check(orders, ALL_LARGE).collect())) == sorted(map(str, check(orders).collect()))
+
+
+def test_spellings_and_keys_against_plain_python(table):
+    rng = random.Random(9)
+    a = [rng.choice(["Roma", "ROMA", " roma", "Milano", "milano", "Bari", None]) for _ in range(300)]
+    df = table(a=a, b=[f"k{i // 2}" for i in range(300)], c=["x" * 40 + str(i // 3) for i in range(300)], d=["same"] * 300, e=[None] * 300)
+    groups = {}
+    for v in a:
+        if v is not None:
+            groups.setdefault(v.strip().lower(), []).append(v)
+    want = {("a", k, v, vs.count(v)) for k, vs in groups.items() if len(set(vs)) > 1 for v in vs}
+    assert {tuple(r) for r in consistency.case_variant_rows(df).collect()} == want
+    assert duplicates.key_candidates(df) == ["b"]  # c is long, d and e are constant
+    assert duplicates.named_keys(table(x=["1", "2", "3", "3"], y=["1", "1", "1", "2"], z=["1", "2", "2", "1"])) == ["x"]
+    row = duplicates.near_duplicates(table(p=["1", None, None, "1"], q=[None, "1", "1", None]), ["p", "q"]).first()
+    assert tuple(row) == ("p,q", 2, 4)  # nulls count where they stand
+    assert tuple(duplicates.near_duplicates(table(p=["1", None], q=[None, "1"]), ["p", "q"]).first()) == ("p,q", 0, 0)
+
+
+def test_no_text_travels_for_keys(spark, data):
+    df = load(spark, data, "orders")
+    plan = duplicates.near_duplicates(df, ["o_orderstatus", "o_clerk"] if "o_clerk" in df.columns else [df.columns[0], df.columns[2]])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k1#" in plan and plan.count("hashpartitioning") == 1
