@@ -128,7 +128,6 @@ class Thresholds:
     quantile_rows: int = 20_000  # a range of at most this many rows is cut into its distinct values
     text_values: int = 10_000  # columns of about more distinct values are counted by digests, not as text
     domain_slack: int = 10  # a column whose estimated distinct count exceeds cap*slack leaves domain checks
-    pairs_per_pass: int = 48  # column pairs measured in one aggregate
 
 
 DEFAULTS = Thresholds()

@@ -15,6 +15,7 @@ from plumbline.functions.numbers import pct, rounded, share, to_number
 from plumbline.functions.text import drop_separators, fold, is_placeholder, ref, strip
 from plumbline.operators.cells import cells, columns_of, common_first, empty, measure, small_frame
 from plumbline.operators.profile import date_cells
+from plumbline.session import cut
 from plumbline.sources.tables import text_layer
 
 
@@ -195,25 +196,68 @@ def duplicate_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
+def agreement_patterns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(filled, runs, cnt): how many rows have these filled columns and these agreeing ones; stored.
+
+    ``filled`` has a 1 or 0 for each column. ``runs`` lists the columns whose folded cell stands in another column of the
+    row too: 2 * place, plus 1 if it agrees with the column before it in the list. The cells of a row are sorted once, so a
+    row costs as much as it has columns, not pairs; rows of one pattern collapse inside each task."""
+    folded = text_layer(df).select(*[fold(ref(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    places = range(len(columns))
+    filled = F.concat(*[F.when(F.col(f"c{i}").isNull(), "0").otherwise("1") for i in places])
+    held = F.filter(F.array(*[F.struct(F.col(f"c{i}").alias("v"), F.lit(i).alias("i")) for i in places]), lambda x: x["v"].isNotNull())
+    rows = folded.select(filled.alias("filled"), F.sort_array(held).alias("cells"))
+
+    def coded(cell: Column, at: Column) -> Column:
+        before = F.coalesce(F.get("cells", at - 1)["v"] == cell["v"], F.lit(False))
+        after = F.coalesce(F.get("cells", at + 1)["v"] == cell["v"], F.lit(False))
+        return F.when(before | after, cell["i"] * 2 + before.cast("int"))
+
+    runs = F.filter(F.transform("cells", coded), lambda x: x.isNotNull())
+    return cut(rows.select("filled", runs.alias("runs")).groupBy("filled", "runs").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def _agreeing(patterns: DataFrame, n: int) -> dict[tuple[int, int], int]:
+    """Rows in which two columns agree, for pairs that do so at least once."""
+    # Where each run starts in the list; a run ends before the next start.
+    at = F.col("p")
+    by_run = patterns.where(F.size("runs") > 1).select("runs", "cnt", F.posexplode("runs").alias("p", "code")).where(F.col("code") % 2 == 0)
+    rest = F.slice(F.col("runs"), at + 2, F.size("runs"))
+    stop = F.array_position(F.transform(rest, lambda x: x % 2 == 0), F.lit(True)).cast("int")
+    members = F.slice(F.col("runs"), at + 1, F.when(stop > 0, stop).otherwise(F.size("runs") - at))
+    # Copies of a column as a set: most runs of a wide table are few different sets.
+    sets = by_run.select(F.array_sort(F.transform(members, lambda x: F.shiftright(x, 1))).alias("set"), "cnt").groupBy("set").agg(F.sum("cnt").alias("cnt"))
+    pairs = F.flatten(F.transform("set", lambda a: F.transform(F.filter("set", lambda b: b > a), lambda b: a * n + b)))
+    found = sets.select(F.explode(pairs).alias("pair"), "cnt").groupBy("pair").agg(F.sum("cnt").alias("same")).collect()
+    return {divmod(r["pair"], n): r["same"] for r in found}
+
+
 def redundant_pairs(df: DataFrame, t: Thresholds = DEFAULTS, min_rows: int = 10) -> DataFrame:
     """Pairs of columns equal row by row (case and outer blanks ignored) in most rows where both are filled.
 
-    One partial aggregate per ``pairs_per_pass`` pairs, few enough for whole-stage code; nothing is shuffled but
-    the counts.
-    """
+    One pass over the table, whatever the number of columns: it leaves patterns of filled and agreeing columns with
+    their counts. Everything else is read off those: pairs that never agree do not appear, and rows in which both columns
+    are filled are only counted for pairs that may still reach the cut-off."""
     columns = columns_of(df, None)
-    folded = text_layer(df).select(*[fold(ref(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    n = len(columns)
+    schema = "col1 string, col2 string, rows_compared bigint, overlap_pct double"
+    if n < 2:
+        return empty(df, schema)
+    patterns = agreement_patterns(df, columns)
+    same = _agreeing(patterns, n)
+    filled = patterns.groupBy("filled").agg(F.sum("cnt").alias("cnt"))
+    figures = filled.agg(F.sum("cnt").alias("rows"), *[F.sum(F.when(F.substring("filled", i + 1, 1) == "1", F.col("cnt")).otherwise(0)).alias(f"f{i}") for i in range(n)]).first()
+    rows = figures["rows"] or 0
+    # Both are filled in at least so many rows as do not fit beside each other, and in those where they agree.
+    maybe = [(i, j) for (i, j), s in same.items() if s > t.redundant_overlap * max(s, min_rows, figures[f"f{i}"] + figures[f"f{j}"] - rows)]
+    both: dict[tuple[int, int], int] = {}
+    if maybe:
+        codes = F.split(F.lit(",".join(str(i * n + j) for i, j in maybe)), ",").cast("array<int>")
+        present = F.filter(codes, lambda c: (F.substr("filled", F.floor(c / n).cast("int") + 1, F.lit(1)) == "1") & (F.substr("filled", c % n + 1, F.lit(1)) == "1"))
+        counted = filled.select(F.explode(present).alias("pair"), "cnt").groupBy("pair").agg(F.sum("cnt").alias("both")).collect()
+        both = {divmod(r["pair"], n): r["both"] for r in counted}
     hits = []
-    pairs = list(combinations(range(len(columns)), 2))
-    for start in range(0, len(pairs), t.pairs_per_pass):
-        metrics = {}
-        for i, j in pairs[start : start + t.pairs_per_pass]:
-            same = ref(f"c{i}") == ref(f"c{j}")
-            metrics[f"both{i}_{j}"] = F.count(same)
-            metrics[f"same{i}_{j}"] = F.count_if(same)
-        found = measure(folded, metrics, per_pass=len(metrics))
-        for i, j in pairs[start : start + t.pairs_per_pass]:
-            both, same = found[f"both{i}_{j}"], found[f"same{i}_{j}"]
-            if both > min_rows and same / both > t.redundant_overlap:
-                hits.append((columns[i], columns[j], both, round(same / both * 100, 1)))
-    return small_frame(df, hits, "col1 string, col2 string, rows_compared bigint, overlap_pct double")
+    for pair in sorted(both):
+        if both[pair] > min_rows and same[pair] / both[pair] > t.redundant_overlap:
+            hits.append((columns[pair[0]], columns[pair[1]], both[pair], round(same[pair] / both[pair] * 100, 1)))
+    return small_frame(df, hits, schema)
