@@ -414,6 +414,7 @@ ORACLE: dict[str, str] = {
         count_if(value IS NULL OR value IN {_list(NA_STRINGS)}) AS null_count, ';' AS delimiter FROM cells GROUP BY 1""",
     "csv_inferred": """SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS "column", count(*) AS row_count,
         unnest(['int', 'string', 'int', 'double', 'string']) AS dtype FROM customer""",
+    "csv_quoted_breaks": "SELECT doc_id, lang, source, length(text) AS n_chars, md5(text) AS text_md5 FROM documents",
     "findings_json": f"""{_MISS}, p AS (SELECT "column", {pct('null_count', 'row_count')} AS null_pct, null_count / row_count AS share FROM m WHERE null_count > 0)
         SELECT 'missing' AS "check", "column", 'null_pct' AS metric, null_pct AS value, {_SEVERITY.format(r='null_pct')} AS severity FROM p
         UNION ALL SELECT 'sparse', "column", 'missing_pct', round_even(share * 100, 2), CASE WHEN share > 0.95 THEN 'removal candidate' ELSE 'high sparsity' END FROM p WHERE share > 0.5

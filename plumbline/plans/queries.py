@@ -86,6 +86,14 @@ def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def csv_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as CSV, whose texts hold line breaks and quotes, read back in splits."""
+    path = _scratch(spark)
+    sinks.write_csv(load(spark, folder, "documents").select("doc_id", "text", "lang", "source"), path)
+    df = csv.read_csv(spark, path, na_values=())
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 def findings_json(spark: SparkSession, folder: str) -> DataFrame:
     """Completeness findings through the JSON sink and back."""
     path = _scratch(spark)
@@ -510,6 +518,7 @@ def _over_dirty(check: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "csv_inferred": csv_inferred,
+    "csv_quoted_breaks": csv_quoted_breaks,
     "findings_json": findings_json,
     "stage_versions": stage_versions,
     "profile_dirty": profile_dirty,

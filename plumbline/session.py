@@ -43,6 +43,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """Lets Python workers find this package where the driver found it; a cluster that installs it needs no more."""
+    environment = df.sparkSession.sparkContext.environment
+    folder = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if folder not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([folder, *filter(None, known)])
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Same rows, read back from Parquet in the shared folder instead of being recomputed.
 

@@ -12,6 +12,7 @@ from plumbline.config import NA_STRINGS
 from plumbline.functions.numbers import to_number
 from plumbline.functions.text import ref
 from plumbline.operators.cells import measure
+from plumbline.sources import csv_records
 
 DELIMITERS = (",", ";", "\t", "|")
 _HEAD_LINES = 32
@@ -45,23 +46,27 @@ def read_csv(
     sep: str | None = None,
     na_values: Sequence[str] = NA_STRINGS,
     infer_types: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """CSV with a header row. All columns are text unless ``infer_types``; cells in ``na_values`` are null, which
     types are then inferred from: one pass, and a column gets the first type that all its filled cells can be read as.
 
-    Malformed UTF-8 is replaced, a missing path raises. ``multi_line`` allows line breaks inside quotes but
-    makes each file one task, so it is off unless asked for.
+    Malformed UTF-8 is replaced, a missing path raises. Cells may hold line breaks inside quotes, and the file is still
+    read in splits (``csv_records``); whether any do is looked up first, in files that have quotes at all. ``multi_line``
+    set to False skips that and takes every line as a record.
     """
-    df = spark.read.csv(
-        path,
-        header=True,
-        sep=sep or detect_delimiter(spark, path),
-        encoding="UTF-8",
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-    )
+    sep = sep or detect_delimiter(spark, path)
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    plain = spark.read.csv(path, header=True, encoding="UTF-8", **options)
+    df = plain
+    if multi_line is not False:
+        text = csv_records.lines(spark, path)
+        if multi_line or not text.where(F.col("value").contains('"')).isEmpty():
+            states, broken, crossed = csv_records.beginnings(text, sep)
+            if broken:
+                columns = spark.read.csv(path, header=True, encoding="UTF-8", multiLine=True, **options).columns
+                columns[-1] = columns[-1].removesuffix("\r")
+                df = csv_records.parsed(csv_records.records(text, sep, states, crossed), columns, options)
     df = df.select(*[F.when(~ref(c).isin(*na_values), ref(c)).alias(c) if na_values else ref(c) for c in df.columns])
     return inferred(df) if infer_types else df
 

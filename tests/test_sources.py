@@ -1,3 +1,5 @@
+import csv as python_csv
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -80,3 +82,58 @@ def test_text_metrics(table):
     assert (row[0]["dups"], row[0]["missing"], row[0]["score"], row[0]["grade"]) == (7, 7.25, "87.5", "B")  # the sign ends no word
     assert row[0]["kept"].endswith("B+\n kept") and "Fixes" not in row[0]["kept"]
     assert (row[1]["dups"], row[1]["missing"], row[1]["score"], row[1]["grade"]) == (0, None, "50", "")
+
+
+def _with_splits(spark, bytes_, read):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, (bytes_, "1")):
+        spark.conf.set(n, v)
+    try:
+        return read()
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+
+
+HARD = [
+    ["1", "two\nlines", "plain"], ["2", 'say ""hi""\n\n\nthen, "go"', "x"], ["3", "", None], ["4", "\n", "\n,\n"], ["5", ",,,", '"'], ["6", "a" * 300 + "\n" + "b" * 300, "z"],
+    ["7", 'open " in the middle', 'end"'], ["8", "é\u2028ü\n", "\tq "], ["9", '\n"\n""\n', "last"],
+]
+
+
+@pytest.mark.parametrize("split", [23, 333, 100_000])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_breaks_at_every_split_size(spark, tmp_path, split, end):
+    """What Python's csv module wrote comes back, wherever the splits fall."""
+    path = tmp_path / "t"
+    path.mkdir()
+    for k in range(2):
+        with open(path / f"{k}.csv", "w", newline="", encoding="utf-8") as f:
+            writer = python_csv.writer(f, lineterminator=end)
+            writer.writerow(["id", "two\nline name", "c"])
+            writer.writerows([[f"{k}{r[0]}", *r[1:]] for r in HARD])
+    got = _with_splits(spark, str(split), lambda: [tuple(r) for r in csv.read_csv(spark, str(path), ",", na_values=()).collect()])
+    want = [(f"{k}{a}", b or None, c) for k in range(2) for a, b, c in HARD]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert csv.read_csv(spark, str(path), ",").columns == ["id", "two\nline name", "c"]
+
+
+def test_quotes_inside_plain_cells_open_nothing(spark, tmp_path):
+    """Only a quote at the beginning of a cell opens it."""
+    (tmp_path / "t.csv").write_text('a,b\n5" disk,x\n6" disk,"two\nlines"\n\n"",y\n')
+    got = {tuple(r) for r in csv.read_csv(spark, str(tmp_path / "t.csv"), ",").collect()}
+    assert got - {(None, "y"), ("", "y")} == {('5" disk', "x"), ('6" disk', "two\nlines")} and len(got) == 3
+
+
+def test_unclosed_quote_and_empty_files(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,x\n2,"never\nclosed')
+    assert {tuple(r) for r in csv.read_csv(spark, str(tmp_path / "t.csv"), ",").collect()} == {("1", "x"), ("2", "never\nclosed")}
+    (tmp_path / "h.csv").write_text('a,"b\nc"\n')
+    assert csv.read_csv(spark, str(tmp_path / "h.csv"), ",").collect() == []
+
+
+def test_plain_files_are_read_as_before(spark, tmp_path):
+    (tmp_path / "p.csv").write_text('a,b\n1,"x, y"\n2,z\n')
+    plan = csv.read_csv(spark, str(tmp_path / "p.csv"), ",")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" in plan and "MapInArrow" not in plan
