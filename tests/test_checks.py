@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.config import Thresholds
 from plumbline.operators import anomaly, completeness, consistency, duplicates, profile, schema
+from plumbline.operators import quantiles
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.scan import scan
 
@@ -205,6 +206,30 @@ def test_quantiles_by_refinement(spark, buckets, rows):
     assert np.allclose(got, np.quantile(xs, ps), rtol=1e-12)
 
 
+def test_quantiles_when_the_sketch_is_off(spark, monkeypatch):
+    """Brackets that miss the rank are widened; the result never depends on the sketch."""
+    monkeypatch.setattr(quantiles, "_REACH", 0.0)
+    monkeypatch.setattr(quantiles, "_SKETCH", 8)
+    xs = np.random.default_rng(1).normal(0, 1, 5001)
+    df = spark.createDataFrame([(float(x), float(-x)) for x in xs], "x double, y double")
+    got = exact_quantiles(df, {"x": F.col("x"), "y": F.col("y")}, [0.1, 0.5, 0.9])
+    assert np.allclose(got["x"], np.quantile(xs, [0.1, 0.5, 0.9])) and np.allclose(got["y"], np.quantile(-xs, [0.1, 0.5, 0.9]))
+
+
+def test_quantiles_take_as_many_jobs_whatever_the_skew(spark):
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for name, x in (("even", F.col("id").cast("double")), ("skewed", F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.exp(F.col("id") / 100))), ("constant", F.lit(1.0))):
+        df = spark.range(40_000).select(x.alias("x"))
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            got = exact_quantiles(df, {"x": F.col("x")}, [0.25, 0.5, 0.75])["x"]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(tracker.getJobIdsForGroup(name)))
+        assert np.allclose(got, df.agg(F.percentile("x", F.array(*map(F.lit, [0.25, 0.5, 0.75])))).first()[0])
+    assert max(jobs) <= 16
+
+
 def test_quantiles_of_one_value_and_none(spark):
     df = spark.createDataFrame([(1.0, None)], "x double, y double")
     got = exact_quantiles(df, {"x": F.col("x"), "y": F.col("y")}, [0.5])
