@@ -83,7 +83,8 @@ def run(
     folder: str | None = None,
     fmt: str = "parquet",
 ) -> Report:
-    """Run every stage the profile calls for; each checks the table as the stages before it left it.
+    """Run every stage the profile calls for; each checks the table as the stages before it left it. A stage that is
+    repeated because of what another changed checks the table anew, and these findings take the place of its first.
 
     Each stage's table is written below ``folder`` (or checkpointed), so later stages read it instead of repeating
     the earlier ones and a lost executor costs one stage at most. Without ``enrichments`` they are derived from the
@@ -98,7 +99,9 @@ def run(
     if enrichments is None:
         enrichments = propose_enrichments(raw, numeric)
 
-    current, outputs, stage_findings, log = raw, {}, [], []
+    current, outputs, log = raw, {}, []
+    # The findings of a stage are those of its last check: a stage that runs again checks again.
+    stage_findings: dict[str, DataFrame] = {}
     # Rows have no key to bring arrays, maps and structs back by, so the log says that they are left out.
     changes = [("schema", "left_out_nested_column", c, profile.row_count) for c in df.columns if c not in set(raw.columns)]
     done: list[str] = []
@@ -114,8 +117,8 @@ def run(
             reason = "profile"
         if stage is None:
             break
-        if stage in _CHECKS and stage not in done:
-            stage_findings.append(_CHECKS[stage](current, t))
+        if stage in _CHECKS:
+            stage_findings[stage] = _CHECKS[stage](current, t)
         if stage == "schema":
             fixed = fix_schema(current, profile, enrichments, t)
         elif stage == "completeness":
@@ -123,7 +126,7 @@ def run(
         elif stage == "consistency":
             fixed = fix_consistency(current, profile, t)
         elif stage == "remediation":
-            metrics = _metrics(stage_findings, raw)
+            metrics = _metrics(list(stage_findings.values()), raw)
             fixed, _ = apply_suggestions(current, suggestions(metrics), t)
         else:
             fixed = None
@@ -141,8 +144,8 @@ def run(
         )
         last = stage
 
-    metrics = _metrics(stage_findings, raw)
-    long = reduce(DataFrame.unionByName, stage_findings)
+    metrics = _metrics(list(stage_findings.values()), raw)
+    long = reduce(DataFrame.unionByName, stage_findings.values())
     if folder:
         write_findings(long, f"{folder}/findings")
     return Report(

@@ -505,6 +505,22 @@ def pipeline_log(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, folder).log
 
 
+def _copied_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers, every fifth twice: so many duplicates that the completeness stage runs again."""
+    df = load(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment", F.when(F.col("c_custkey") % 4 != 0, F.col("c_acctbal")).alias("c_acctbal"))
+    return df.unionByName(df.where("c_custkey % 5 = 0"))
+
+
+def repeated_stage_log(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.run(_copied_customers(spark, folder)).log.select("step", "stage", "reason", "rows_removed")
+
+
+def repeated_stage_findings(spark: SparkSession, folder: str) -> DataFrame:
+    """Completeness findings of the second check, which sees the table without its duplicates."""
+    rows = pipeline.run(_copied_customers(spark, folder)).findings.where("`check` = 'missing'")
+    return rows.select("column", "metric", "value")
+
+
 def before_after(spark: SparkSession, folder: str) -> DataFrame:
     report = _run(spark, folder)
     score = report.score.first()
@@ -622,4 +638,6 @@ QUERIES: dict[str, Query] = {
     "negative_values_ten": negative_values_ten,
     "pipeline_log": pipeline_log,
     "before_after": before_after,
+    "repeated_stage_log": repeated_stage_log,
+    "repeated_stage_findings": repeated_stage_findings,
 }
