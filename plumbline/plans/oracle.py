@@ -416,12 +416,12 @@ ORACLE: dict[str, str] = {
         unnest(['int', 'string', 'int', 'double', 'string']) AS dtype FROM customer""",
     "repeated_stage_log": """WITH r AS (SELECT count_if(c_custkey % 5 = 0) AS removed, count(*) + count_if(c_custkey % 5 = 0) AS total,
             count_if(c_custkey % 4 = 0) + count_if(c_custkey % 20 = 0) AS missing FROM customer),
-        planned AS (SELECT 1 AS at, 'schema' AS stage, 'profile' AS reason, 0 AS rows_removed
+        planned AS (SELECT 1 AS place, 'schema' AS stage, 'profile' AS reason, 0 AS rows_removed
         UNION ALL SELECT 2, 'completeness', 'profile', 0 FROM r WHERE 1 - missing / (4 * total) < 0.95
         UNION ALL SELECT 3, 'consistency', 'profile', removed FROM r WHERE total >= 10
         UNION ALL SELECT 4, 'completeness', 'rows or types changed', 0 FROM r WHERE removed > 0.1 * total
         UNION ALL SELECT 5, 'anomaly', 'profile', 0 UNION ALL SELECT 6, 'remediation', 'profile', 0)
-        SELECT row_number() OVER (ORDER BY at) AS step, stage, reason, CAST(rows_removed AS BIGINT) AS rows_removed FROM planned""",
+        SELECT row_number() OVER (ORDER BY place) AS step, stage, reason, CAST(rows_removed AS BIGINT) AS rows_removed FROM planned""",
     "repeated_stage_findings": """SELECT 'c_acctbal' AS "column", 'null_pct' AS metric, round_even(count_if(c_custkey % 4 = 0) / count(*) * 100, 2) AS value FROM customer""",
     "csv_quoted_breaks": "SELECT doc_id, lang, source, length(text) AS n_chars, md5(text) AS text_md5 FROM documents",
     "findings_json": f"""{_MISS}, p AS (SELECT "column", {pct('null_count', 'row_count')} AS null_pct, null_count / row_count AS share FROM m WHERE null_count > 0)
