@@ -42,13 +42,19 @@ def semantic_type(t: Thresholds = DEFAULTS) -> Column:
     )
 
 
+def _read(values: DataFrame) -> DataFrame:
+    """``values`` with ``number`` and, for cells that are none, what ``with_dates`` adds: no number looks like a date."""
+    numbered = values.withColumn("number", to_number(F.col("value")).isNotNull())
+    return with_dates(numbered.withColumn("worded", F.when(~F.col("number"), F.col("value"))), "worded")
+
+
 def _cell_figures() -> dict[str, Column]:
-    """What a profile needs of a value, over the columns of ``with_dates``; each of fixed width."""
+    """What a profile needs of a value, over the columns of ``_read``; each of fixed width."""
     value = F.col("value")
     return {
         "filled": value.isNotNull(),
         "boolean": F.lower(value).isin(*BOOLEAN_WORDS),
-        "number": to_number(value).isNotNull(),
+        "number": F.col("number"),
         "dated": F.col("date").isNotNull(),
         "layout": F.array_position(F.array(*[F.lit(n) for n in LAYOUT_NAMES]), F.col("layout")),
         "chars": F.length(value),
@@ -69,10 +75,10 @@ def profile_columns(
     small, large = gated(df, columns, t)
     counts = value_counts(df, small) if small else empty(df, "`column` string, value string, cnt bigint")
     cnt, cell_figures = F.col("cnt"), _cell_figures()
-    marked = with_dates(counts).select("column", "cnt", *[c.alias(n) for n, c in cell_figures.items()])
+    marked = _read(counts).select("column", "cnt", *[c.alias(n) for n, c in cell_figures.items()])
     by_digest = None
     if large:
-        by_digest = cut(digest_counts(df, large, cell_figures, with_dates))
+        by_digest = cut(digest_counts(df, large, cell_figures, _read))
         name = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(large) for x in (i, c)]), F.col("at")).alias("column")
         marked = marked.unionByName(by_digest.select(name, "cnt", *cell_figures))
     # First per column and date layout, at most a dozen groups each, then per column.
