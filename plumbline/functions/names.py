@@ -29,7 +29,7 @@ def is_snake_case(name: str) -> bool:
 
 
 def snake_case_issues(name: str) -> list[str]:
-    """Issue tags of a name that is not snake case; such a name may carry none of the tags (``_x``)."""
+    """Issue tags of a name that is not snake case; one that shows none of the usual faults (``_x``) is tagged as a whole."""
     if is_snake_case(name):
         return []
     tests = (
@@ -39,7 +39,7 @@ def snake_case_issues(name: str) -> list[str]:
         ("contains_hyphen", "-" in name),
         ("special_chars", re.search(r"[^a-zA-Z0-9_ ]", name) is not None),
     )
-    return [issue for issue, hit in tests if hit]
+    return [issue for issue, hit in tests if hit] or ["not_snake_case"]
 
 
 def snake_case(name: str) -> str:

@@ -106,10 +106,18 @@ def numeric_outliers(
     return small_frame(df, rows, OUTLIER_SCHEMA)
 
 
-def largest_outliers(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """(column, examples): the five largest fence outliers of each column, copies kept."""
+def deviations(figures: dict[str, dict], t: Thresholds = DEFAULTS) -> dict[str, tuple[float, float]]:
+    """The values ``z_limit`` standard deviations below and above the mean of each column that varies."""
+    return {
+        c: (f["mean"] - t.z_limit * f["std"], f["mean"] + t.z_limit * f["std"]) for c, f in figures.items() if f["std"]
+    }
+
+
+def largest_outliers(df: DataFrame, t: Thresholds = DEFAULTS, by_deviation: bool = False) -> DataFrame:
+    """(column, examples): the five largest fence outliers of each column, copies kept; or of those more than
+    ``z_limit`` deviations from the mean."""
     figures = numeric_figures(df, t)
-    limits = fences(df, figures, t)
+    limits = deviations(figures, t) if by_deviation else fences(df, figures, t)
     columns = list(limits)
     if not columns:
         return small_frame(df, [], "`column` string, examples array<double>")

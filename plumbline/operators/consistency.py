@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.config import AMOUNT_KEYWORDS, DATE_SHAPES, DATE_SHAPES_ALTERNATE, DEFAULTS, Thresholds
 from plumbline.functions.dates import picture, shape
@@ -22,7 +23,7 @@ from plumbline.operators.cells import (
 )
 from plumbline.operators.digests import spelled_differently
 from plumbline.operators.domains import domain_counts
-from plumbline.operators.scan import Scan, scan
+from plumbline.operators.scan import EXAMPLE_CLASSES, NEGATIVE_EXAMPLES, Scan, example_class, scan
 
 
 # --- formats -----------------------------------------------------------------
@@ -81,6 +82,18 @@ def period_outliers(df: DataFrame, min_share: float = 0.8) -> DataFrame:
     )
 
 
+def date_outliers(df: DataFrame, min_share: float = 0.6) -> DataFrame:
+    """Documented variant: columns with more than 60 % of their cells in one of the date formats, and cells in none."""
+    dated = F.coalesce(F.sum(F.when(F.col("format") != "other", F.col("cells"))), F.lit(0))
+    return (
+        format_distribution(df)
+        .groupBy("column")
+        .agg(F.sum("cells").alias("filled"), dated.alias("dated"))
+        .filter((share(F.col("dated"), F.col("filled")) > min_share) & (F.col("filled") > F.col("dated")))
+        .select("column", "filled", (F.col("filled") - F.col("dated")).alias("not_date"))
+    )
+
+
 def mixed_case_style(df: DataFrame, max_share: float = 0.7) -> DataFrame:
     """Documented variant: text columns where no case style (upper, lower, title) covers more than 70 % of cells."""
     v = F.col("value")
@@ -265,14 +278,15 @@ def period_columns(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None =
 
 
 def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None = None) -> DataFrame:
-    """(period_column, other_column, part, aligned_rows, mismatch_count, pct_mismatch).
+    """(period_column, other_column, part, aligned_rows, mismatch_count, pct_mismatch, examples).
 
     Compares each period code with every column that holds years or months. Values of one row meet in the row
-    itself, so a single partial aggregate measures all pairs.
+    itself, so a single partial aggregate measures all pairs and keeps the examples: pairs of values that disagree,
+    the smallest of each of five classes.
     """
     schema = (
         "period_column string, other_column string, part string, aligned_rows bigint, "
-        "mismatch_count bigint, pct_mismatch double"
+        "mismatch_count bigint, pct_mismatch double, examples array<string>"
     )
     periods, numeric = period_columns(df, t, seen)
     pairs = [(p, o) for p in periods for o in numeric if o != p]
@@ -286,8 +300,12 @@ def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None
         metrics[f"rows{k}"] = F.count(F.when(period.isNotNull(), other))
         metrics[f"years{k}"] = F.count_if(aligned & other.between(1900, 2100))
         metrics[f"months{k}"] = F.count_if(aligned & other.between(1, 12))
-        metrics[f"off_year{k}"] = F.count_if(F.floor(period / 100) != other)
-        metrics[f"off_month{k}"] = F.count_if(F.pmod(period, F.lit(100)) != other)
+        off = {"year": F.floor(period / 100) != other, "month": F.pmod(period, F.lit(100)) != other}
+        seen_both = F.struct(period.alias("p"), other.alias("o"))
+        for part, wrong in off.items():
+            metrics[f"off_{part}{k}"] = F.count_if(wrong)
+            for i in range(EXAMPLE_CLASSES):
+                metrics[f"{part}{k} {i}"] = F.min(F.when(wrong & (example_class(period) == i), seen_both))
     m = measure(read, metrics) if metrics else {}
     found = []
     for k, (p, o) in enumerate(pairs):
@@ -301,21 +319,40 @@ def period_mismatches(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None
         else:
             continue
         if off:
-            found.append((p, o, part, rows, off, round(off / rows * 100, 1)))
+            pairs_seen = sorted(x for i in range(EXAMPLE_CLASSES) if (x := m[f"{part}{k} {i}"]) is not None)
+            found.append((p, o, part, rows, off, round(off / rows * 100, 1), [f"{x.p}: {x.o}" for x in pairs_seen]))
     return small_frame(df, found, schema)
 
 
 # --- signs -------------------------------------------------------------------
 
 
-def negative_values(df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None = None) -> DataFrame:
-    """Numeric columns with negative values; columns named like amounts are HIGH priority."""
-    seen = seen or scan(df, ("filled", "numbers", "negatives", "min"))
+SIGN_FIGURES = ("filled", "numbers", "negatives", "min", *NEGATIVE_EXAMPLES)
+
+
+def negative_values(
+    df: DataFrame, t: Thresholds = DEFAULTS, seen: Scan | None = None, native_only: bool = False
+) -> DataFrame:
+    """Numeric columns with negative values; columns named like amounts are HIGH priority.
+
+    The alternate check looks at numeric-typed columns only (``native_only``), however few numbers they hold. Examples
+    are up to five different negative numbers, found in the same pass.
+    """
+    schema = "`column` string, priority string, negatives bigint, pct_of_rows double, min_value double, examples array<double>"
+    if native_only:
+        native = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+        if not native:
+            return empty(df, schema)
+        seen = scan(df, SIGN_FIGURES, native)
+    seen = seen or scan(df, SIGN_FIGURES)
     rows = []
     for c in seen.columns:
         negatives = seen.of(c, "negatives")
-        if seen.of(c, "numbers") < t.negative_min_values or seen.numeric_ratio(c) < t.numeric_ratio or not negatives:
+        if not negatives:
+            continue
+        if not native_only and (seen.of(c, "numbers") < t.negative_min_values or seen.numeric_ratio(c) < t.numeric_ratio):
             continue
         priority = "HIGH" if any(word in c.lower() for word in AMOUNT_KEYWORDS) else "MODERATE"
-        rows.append((c, priority, negatives, round(negatives / seen.rows * 100, 2), seen.of(c, "min")))
-    return small_frame(df, rows, "`column` string, priority string, negatives bigint, pct_of_rows double, min_value double")
+        examples = sorted(x for f in NEGATIVE_EXAMPLES if (x := seen.of(c, f)) is not None)
+        rows.append((c, priority, negatives, round(negatives / seen.rows * 100, 2), seen.of(c, "min"), examples))
+    return small_frame(df, rows, schema)

@@ -13,10 +13,11 @@ from plumbline.functions.text import ref
 from plumbline.operators.cells import cells, columns_of
 from plumbline.operators.digests import cardinalities, row_digest
 from plumbline.session import cut
+from plumbline.sources.tables import comparable, has_no_order
 
 
 def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[ref(c) for c in df.columns])
+    return F.xxhash64(*[comparable(df, c) for c in df.columns])
 
 
 def _suspects(df: DataFrame) -> DataFrame:
@@ -39,12 +40,12 @@ def _repeating(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def exact_duplicates(df: DataFrame) -> DataFrame:
     """One row: rows, rows that repeat an earlier one, their percentage, and rows left without them.
 
-    Rows are equal if all columns are, nulls included. Only rows whose hash occurs twice are compared in full,
+    Rows are equal if all columns are, nulls included; maps are equal if their entries are. Only rows whose hash occurs twice are compared in full,
     so the result is exact while unique rows never travel; copies collapse inside each task.
     """
     repeated = (
         _repeating(df)[1]
-        .groupBy(*[ref(c) for c in df.columns])
+        .groupBy(*[comparable(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)])
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
     )
@@ -58,6 +59,17 @@ def exact_duplicates(df: DataFrame) -> DataFrame:
     )
 
 
+def _distinct(df: DataFrame) -> DataFrame:
+    """``dropDuplicates`` that also takes maps and variants."""
+    names = df.columns
+    if not any(has_no_order(df, c) for c in names):
+        return df.dropDuplicates()
+    forms = [comparable(df, c).alias(f"k{i}") for i, c in enumerate(names)]
+    both = df.select(*[ref(c).alias(f"c{i}") for i, c in enumerate(names)], *forms)
+    kept = both.dropDuplicates([f"k{i}" for i in range(len(names))])
+    return kept.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
 def drop_duplicate_rows(df: DataFrame, written: bool = False) -> DataFrame:
     """The table without repeated rows; one plan at every size.
 
@@ -65,7 +77,7 @@ def drop_duplicate_rows(df: DataFrame, written: bool = False) -> DataFrame:
     place and only the others are compared in full, copies collapsing inside each task first.
     """
     unique, suspects = _repeating(df if written else cut(df))
-    return unique.unionByName(suspects.dropDuplicates())
+    return unique.unionByName(_distinct(suspects))
 
 
 # A sketch decides where it is further than this factor from a cut-off (six times its standard error); exact counts
@@ -144,10 +156,11 @@ def _differing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     figures = [F.count(F.lit(1)).alias("rows")]
     differ = F.lit(False)
     for i, c in enumerate(others):
-        figures += [F.min(ref(c)).alias(f"low{i}"), F.max(ref(c)).alias(f"high{i}"), F.count(ref(c)).alias(f"filled{i}")]
+        form = comparable(df, c)
+        figures += [F.min(form).alias(f"low{i}"), F.max(form).alias(f"high{i}"), F.count(ref(c)).alias(f"filled{i}")]
         some = (F.col(f"filled{i}") > 0) & (F.col(f"filled{i}") < F.col("rows"))
         differ = differ | some | F.coalesce(F.col(f"low{i}") != F.col(f"high{i}"), F.lit(False))
-    named = [ref(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    named = [comparable(df, k).alias(f"k{i}") for i, k in enumerate(keys)]
     return df.groupBy(*named).agg(*figures).filter(differ).select(*[f"k{i}" for i in range(len(keys))], "rows")
 
 
@@ -161,12 +174,12 @@ def near_duplicate_rows(df: DataFrame, keys: Sequence[str], differing_only: bool
     if differing_only:
         wanted = _differing_keys(df, keys)
     else:
-        named = [ref(k).alias(f"k{i}") for i, k in enumerate(keys)]
+        named = [comparable(df, k).alias(f"k{i}") for i, k in enumerate(keys)]
         wanted = df.groupBy(*named).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     wanted = wanted.drop("rows")
     condition = F.lit(True)
     for i, k in enumerate(keys):
-        condition = condition & ref(k).eqNullSafe(F.col(f"k{i}"))
+        condition = condition & comparable(df, k).eqNullSafe(F.col(f"k{i}"))
     return df.join(wanted, condition, "left_semi")
 
 

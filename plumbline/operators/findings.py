@@ -44,7 +44,7 @@ def schema_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """Types, names and repeated columns."""
     parts = [
         _long("type_contamination", schema.type_contamination(df, t), "bad_count", severity=F.col("severity"), examples=F.col("examples")),
-        _long("date_contamination", schema.date_contamination(df, t), "bad_count", severity=F.col("severity")),
+        _long("date_contamination", schema.date_contamination(df, t), "bad_count", severity=F.col("severity"), examples=F.col("examples")),
         _long("naming", schema.naming_violations(df), "cells", examples=F.array("issue")),
         _long("duplicate_columns", schema.duplicate_columns(df, t), "jaccard", column_b=F.col("column_b")),
     ]
@@ -65,7 +65,7 @@ def completeness_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 
 def consistency_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """Formats, spellings, mappings, periods, signs and duplicates. One scan feeds all checks that pick columns."""
-    seen = scan(df, ("filled", "numbers", "periods", "negatives", "min", "about_distinct", "about_numbers"))
+    seen = scan(df, ("filled", "numbers", "periods", "about_distinct", "about_numbers", *consistency.SIGN_FIGURES))
     counts = cut(domain_counts(df, t.variant_max_distinct, t, seen))
     cased = consistency.case_variants(df, t, counts=counts).groupBy("column").agg(F.sum("variants").alias("variants"))
     mapped = consistency.code_label_consistency(df, t, seen=seen)
@@ -75,8 +75,8 @@ def consistency_findings(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
         _long("whitespace", consistency.whitespace_variants(df, t, counts), "padded_cells"),
         _long("case", cased, "variants"),
         _long("code_label", mapped, "inconsistent", F.col("code_column"), F.col("label_column")),
-        _long("period", periods, "mismatch_count", F.col("period_column"), F.col("other_column"), examples=F.array("part")),
-        _long("negative", consistency.negative_values(df, t, seen), "negatives", severity=F.col("priority")),
+        _long("period", periods, "mismatch_count", F.col("period_column"), F.col("other_column"), examples=F.concat(F.array("part"), F.col("examples"))),
+        _long("negative", consistency.negative_values(df, t, seen), "negatives", severity=F.col("priority"), examples=F.col("examples").cast("array<string>")),
         _long("exact_duplicates", duplicates.exact_duplicates(df).filter("duplicate_rows > 0"), "duplicate_rows", F.lit("ALL")),
         _long("near_duplicates", duplicates.near_duplicates(df, t=t).filter("affected_rows > 0"), "affected_rows", F.lit("ALL"), F.col("key_columns")),
     ]

@@ -61,8 +61,11 @@ def type_contamination(df: DataFrame, t: Thresholds = DEFAULTS, examples: bool =
     return _with_examples(found, odd, t)
 
 
-def date_contamination(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """Mostly date columns with values outside the dominant format (or unreadable ones, by policy)."""
+def date_contamination(df: DataFrame, t: Thresholds = DEFAULTS, examples: bool = True) -> DataFrame:
+    """Mostly date columns with values outside the dominant format (or unreadable ones, by policy).
+
+    Examples are the commonest of these values, placeholders aside.
+    """
     bad = F.col("non_null") - F.col("dates")
     per_layout = (
         with_dates(cells(df))
@@ -76,18 +79,33 @@ def date_contamination(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
             F.count_if(is_placeholder(F.col("text"))).alias("placeholders"),
         )
     )
-    return (
+    found = (
         per_layout.groupBy("column")
         .agg(
             *[F.sum(c).alias(c) for c in ("row_count", "non_null", "numbers", "placeholders")],
+            F.max_by("layout", F.struct("dates", "layout")).alias("dominant"),
             date_cells(t).alias("dates"),
         )
         .filter(share(F.col("dates"), F.col("non_null")) >= t.date_ratio)
         .filter(share(F.col("numbers"), F.col("non_null")) < t.label_numeric_ratio)
         .filter(bad > F.col("placeholders"))  # a placeholder is never a date, so this asks for another bad value
-        .select("column", "row_count", bad.alias("bad_count"), pct(bad, F.col("row_count")).alias("bad_pct"))
+        .select("column", "row_count", bad.alias("bad_count"), pct(bad, F.col("row_count")).alias("bad_pct"), "dominant")
         .withColumn("severity", contamination_severity(F.col("bad_pct")))
     )
+    if not examples:
+        return found.drop("dominant")
+    found = cut(found)  # one row per flagged column
+    dominant = {r["column"]: r["dominant"] for r in found.collect()}
+    found = found.drop("dominant")
+    if not dominant:
+        return found.withColumn("examples", F.lit(None).cast("array<string>"))
+    odd = F.col("date").isNull()
+    if t.date_policy != "any":
+        of_column = F.element_at(F.create_map(*[F.lit(x) for pair in dominant.items() for x in pair]), F.col("column"))
+        odd = odd | (F.col("layout") != of_column)
+    # Not a filter: pushed below the date reading, it would repeat it. The good cells of a task collapse to one null.
+    bad_or_null = F.when(~is_placeholder(F.col("text")) & odd, F.col("value")).alias("value")
+    return _with_examples(found, with_dates(cells(df, list(dominant))).select("column", bad_or_null), t)
 
 
 def stripped_contamination(df: DataFrame, min_ratio: float = 0.7) -> DataFrame:

@@ -305,11 +305,18 @@ remediated AS (SELECT 'remediation' AS stage, 'trim' AS action, "column", CAST(c
   UNION ALL SELECT 'remediation', 'keep_missing', 'ALL', 1 WHERE EXISTS (FROM cells WHERE {missing('value')}))"""
 
 
+# The smallest negative number of each of five classes of whole parts.
+_NEGATIVE_EXAMPLES = f"""low AS (SELECT "column", min(x) AS x FROM (SELECT "column", {num('value')} AS x FROM cells)
+  WHERE x < 0 GROUP BY "column", ((CAST(floor(x) AS BIGINT) % 5) + 5) % 5),
+e AS (SELECT "column", string_agg(CAST(CAST(x AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY x) AS examples FROM low GROUP BY 1)"""
+
+
 def _negatives(ctes: str, least: int = 5) -> str:
     return f"""{ctes}, f AS (SELECT "column", count(*) AS n, count(value) AS filled, count({num('value')}) AS numbers,
-  count_if({num('value')} < 0) AS negatives, min({num('value')}) AS min_value FROM cells GROUP BY 1)
-SELECT "column", CASE WHEN {_KEYWORD} THEN 'HIGH' ELSE 'MODERATE' END AS priority, negatives, {pct('negatives', 'n')} AS pct_of_rows, min_value
-FROM f WHERE numbers >= {least} AND numbers / filled >= 0.9 AND negatives > 0"""
+  count_if({num('value')} < 0) AS negatives, min({num('value')}) AS min_value FROM cells GROUP BY 1),
+{_NEGATIVE_EXAMPLES}
+SELECT "column", CASE WHEN {_KEYWORD} THEN 'HIGH' ELSE 'MODERATE' END AS priority, negatives, {pct('negatives', 'n')} AS pct_of_rows, min_value, examples
+FROM f JOIN e USING ("column") WHERE numbers >= {least} AND numbers / filled >= 0.9 AND negatives > 0"""
 
 
 def _all_columns(columns: Sequence[str] = COLUMNS) -> str:
@@ -326,6 +333,32 @@ _ISO = f"""coalesce(CAST({date_of(strip('"aggregation-time"'))} AS VARCHAR), "ag
 
 # --- scores ------------------------------------------------------------------
 
+# Checks whose rows the scores count, too.
+_TYPE_CONTAMINATION = f"""{WITH}, nums AS (SELECT "column", value, {num('value')} AS x, value IS NOT NULL AND {num('value')} IS NULL AND {strip('value')} NOT IN {_list(PLACEHOLDERS)} AS odd FROM cells),
+        f AS (SELECT "column", count(*) AS row_count, count(value) - count(x) AS bad_count, {pct('count(value) - count(x)', 'count(*)')} AS bad_pct FROM nums GROUP BY 1
+          HAVING count(value) > 0 AND count(x) / count(value) >= 0.9 AND count_if(odd) > 0),
+        e AS (SELECT "column", string_agg(value, '|' ORDER BY c DESC, value) AS examples FROM (SELECT "column", value, count(*) AS c,
+          row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, value) AS rn FROM nums WHERE odd GROUP BY 1, 2) WHERE rn <= 5 GROUP BY 1)
+        SELECT f.*, {_CONTAMINATION} AS severity, examples FROM f JOIN e USING ("column")"""
+_DATE_CONTAMINATION = f"""{WITH}, r AS (SELECT "column", value, {num('value')} AS x, {strip('value')} AS t FROM cells),
+        d AS (SELECT *, {layout('t')} AS lay, {date_of('t')} AS d FROM r),
+        best AS (SELECT "column", max(n) AS dates, arg_max(lay, (n, lay)) AS main FROM (SELECT "column", lay, count(d) AS n FROM d GROUP BY 1, 2) GROUP BY 1),
+        f AS (SELECT "column", count(*) AS row_count, count(value) AS filled, count(x) AS numbers, count_if(t IN {_list(PLACEHOLDERS)}) AS ph FROM d GROUP BY 1),
+        g AS (SELECT "column", row_count, filled - dates AS bad_count, {pct('filled - dates', 'row_count')} AS bad_pct FROM f JOIN best USING ("column")
+          WHERE filled > 0 AND dates / filled >= 0.7 AND numbers / filled < 0.5 AND filled - dates > ph),
+        e AS (SELECT "column", string_agg(value, '|' ORDER BY c DESC, value) AS examples FROM (SELECT "column", value, count(*) AS c,
+          row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, value) AS rn FROM d JOIN best USING ("column")
+          WHERE value IS NOT NULL AND t NOT IN {_list(PLACEHOLDERS)} AND (d IS NULL OR lay <> main) GROUP BY 1, 2) WHERE rn <= 5 GROUP BY 1)
+        SELECT g.*, {_CONTAMINATION} AS severity, examples FROM g LEFT JOIN e USING ("column")"""
+_NAMING_VIOLATIONS = f"""{WITH}, i AS (SELECT "column", count(value) AS cells, [CASE WHEN "column" <> lower("column") THEN 'uppercase' END,
+        CASE WHEN contains("column", ' ') THEN 'space' END, CASE WHEN regexp_matches("column", '^[0-9]') THEN 'digit start' END,
+        CASE WHEN regexp_matches("column", '[%@!#]') THEN 'special character' END, CASE WHEN contains("column", '-') THEN 'hyphen' END] AS l FROM cells GROUP BY 1)
+        SELECT * FROM (SELECT "column", unnest(l) AS issue, cells FROM i) WHERE issue IS NOT NULL"""
+_MIXED_FORMATS = f"""{WITH}, d AS (SELECT "column", {_SHAPE} AS format, count(*) AS cells FROM (SELECT "column", {strip('value')} AS t FROM cells WHERE value IS NOT NULL) GROUP BY 1, 2)
+        SELECT "column", round_even(coalesce(sum(cells) FILTER (format <> 'other'), 0) / sum(cells), 4) AS date_share, count_if(format <> 'other') AS formats,
+        string_agg(format||'='||cells, '|' ORDER BY format||'='||cells) AS distribution FROM d GROUP BY 1
+        HAVING coalesce(sum(cells) FILTER (format <> 'other'), 0) / sum(cells) > 0.5 AND count_if(format <> 'other') > 1"""
+
 _FRAGMENTED = f"""{WITH}, d AS (SELECT "column", CASE WHEN regexp_matches(t, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN 'a' WHEN regexp_matches(t, '^\\d{{2}}/\\d{{2}}/\\d{{4}}$') THEN 'b'
           WHEN regexp_matches(t, '^\\d{{2}}-\\d{{2}}-\\d{{2}}$') THEN 'c' WHEN regexp_matches(t, '^\\d{{4}}/\\d{{2}}/\\d{{2}}$') THEN 'd' WHEN regexp_matches(t, '^\\d{{2}}\\.\\d{{2}}\\.\\d{{4}}$') THEN 'e' END AS f
           FROM (SELECT "column", {strip('value')} AS t FROM cells)),
@@ -337,7 +370,8 @@ _METRICS = f"""{_OUT_DIRTY}, per_out AS ({_outliers('std', 'iqr_outliers > 0 OR
 mc AS (SELECT "column", round_even(count_if({missing('value')}) * 100.0 / count(*), 2) AS p, round_even((1 - count_if({missing('value')}) / count(*)) * 100, 2) AS c FROM cells GROUP BY 1),
 {_CATS.replace('vf AS', 'vfa AS').replace('FROM vf', 'FROM vfa').replace('vf.*', 'vfa.*')},
 metrics AS (SELECT CAST({len(COLUMNS)} AS BIGINT) AS column_count, round_even((SELECT avg(p) FROM mc WHERE p > 0), 4) AS avg_missing_pct,
-  CAST(3 AS BIGINT) AS naming_issues, CAST(4 AS BIGINT) AS type_issues, (SELECT round_even(avg(c), 2) FROM mc) AS completeness_pct, CAST(2 AS BIGINT) AS format_issues,
+  (SELECT count(*) FROM ({_NAMING_VIOLATIONS})) AS naming_issues,
+  (SELECT count(*) FROM ({_TYPE_CONTAMINATION})) + (SELECT count(*) FROM ({_DATE_CONTAMINATION})) AS type_issues, (SELECT round_even(avg(c), 2) FROM mc) AS completeness_pct, (SELECT count(*) FROM ({_MIXED_FORMATS})) AS format_issues,
   (SELECT count(*) FROM dirty) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty)) AS duplicate_rows,
   CAST((SELECT sum(iqr_outliers) FROM per_out) AS BIGINT) AS iqr_outliers, CAST((SELECT sum(least(iqr_outliers / 50, 10)) FROM per_out) AS DOUBLE) AS outlier_penalty,
   (SELECT count(*) FROM cats WHERE cnt / n < 0.005) AS rare_values, true AS cross_column),
@@ -423,11 +457,16 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 5, 'anomaly', 'profile', 0 UNION ALL SELECT 6, 'remediation', 'profile', 0)
         SELECT row_number() OVER (ORDER BY place) AS step, stage, reason, CAST(rows_removed AS BIGINT) AS rows_removed FROM planned""",
     "repeated_stage_findings": """SELECT 'c_acctbal' AS "column", 'null_pct' AS metric, round_even(count_if(c_custkey % 4 = 0) / count(*) * 100, 2) AS value FROM customer""",
+    "csv_malformed": "SELECT CASE WHEN c_custkey % 3 = 0 THEN chr(65533) ELSE '' END || c_name AS c_name, c_custkey FROM customer",
+    "nested_columns": """WITH c AS (SELECT *, concat_ws('|', c_nationkey, c_custkey % 3) AS codes FROM customer)
+        SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, codes, 'nation='||c_nationkey||'|segment='||c_mktsegment AS facts, c_mktsegment AS segment, CAST(c_nationkey AS BIGINT) AS nation
+        FROM (FROM c UNION ALL SELECT * REPLACE (codes||'|-1' AS codes) FROM c WHERE c_custkey % 7 = 0)""",
     "csv_quoted_breaks": "SELECT doc_id, lang, source, length(text) AS n_chars, md5(text) AS text_md5 FROM documents",
     "findings_json": f"""{_MISS}, p AS (SELECT "column", {pct('null_count', 'row_count')} AS null_pct, null_count / row_count AS share FROM m WHERE null_count > 0)
         SELECT 'missing' AS "check", "column", 'null_pct' AS metric, null_pct AS value, {_SEVERITY.format(r='null_pct')} AS severity FROM p
         UNION ALL SELECT 'sparse', "column", 'missing_pct', round_even(share * 100, 2), CASE WHEN share > 0.95 THEN 'removal candidate' ELSE 'high sparsity' END FROM p WHERE share > 0.5
-        UNION ALL SELECT 'completeness', 'ALL', 'overall_completeness_pct', (SELECT round_even(avg(round_even((1 - null_count / row_count) * 100, 2)), 2) FROM m), 'GOOD'
+        UNION ALL SELECT 'completeness', 'ALL', 'overall_completeness_pct', rate, CASE WHEN rate >= 95 THEN 'EXCELLENT' WHEN rate >= 80 THEN 'GOOD' WHEN rate >= 60 THEN 'MODERATE' ELSE 'POOR' END
+          FROM (SELECT round_even(avg(round_even((1 - null_count / row_count) * 100, 2)), 2) AS rate FROM m)
         UNION ALL SELECT 'rows_with_missing', 'ALL', 'rows_with_any_null', CAST(count_if({' OR '.join(missing(_id(c)) for c in COLUMNS)}) AS DOUBLE), NULL FROM dirty""",
     "stage_versions": f"{WITH} {_table(_CLEAR)}",
     "profile_dirty": f"{PROFILE} SELECT * FROM profile",
@@ -466,29 +505,16 @@ ORACLE: dict[str, str] = {
     "fill_mode": f"""{WITH}, a AS (SELECT area_geografica AS v FROM dirty WHERE area_geografica IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
         b AS (SELECT note AS v FROM dirty WHERE note IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
         SELECT "_id", coalesce(area_geografica, (SELECT v FROM a)) AS area_geografica, coalesce(note, (SELECT v FROM b)) AS note FROM dirty""",
-    "type_contamination": f"""{WITH}, nums AS (SELECT "column", value, {num('value')} AS x, value IS NOT NULL AND {num('value')} IS NULL AND {strip('value')} NOT IN {_list(PLACEHOLDERS)} AS odd FROM cells),
-        f AS (SELECT "column", count(*) AS row_count, count(value) - count(x) AS bad_count, {pct('count(value) - count(x)', 'count(*)')} AS bad_pct FROM nums GROUP BY 1
-          HAVING count(value) > 0 AND count(x) / count(value) >= 0.9 AND count_if(odd) > 0),
-        e AS (SELECT "column", string_agg(value, '|' ORDER BY c DESC, value) AS examples FROM (SELECT "column", value, count(*) AS c,
-          row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, value) AS rn FROM nums WHERE odd GROUP BY 1, 2) WHERE rn <= 5 GROUP BY 1)
-        SELECT f.*, {_CONTAMINATION} AS severity, examples FROM f JOIN e USING ("column")""",
-    "date_contamination": f"""{WITH}, r AS (SELECT "column", value, {num('value')} AS x, {strip('value')} AS t FROM cells),
-        d AS (SELECT *, {layout('t')} AS lay, {date_of('t')} AS d FROM r),
-        best AS (SELECT "column", max(n) AS dates FROM (SELECT "column", lay, count(d) AS n FROM d GROUP BY 1, 2) GROUP BY 1),
-        f AS (SELECT "column", count(*) AS row_count, count(value) AS filled, count(x) AS numbers, count_if(t IN {_list(PLACEHOLDERS)}) AS ph FROM d GROUP BY 1),
-        g AS (SELECT "column", row_count, filled - dates AS bad_count, {pct('filled - dates', 'row_count')} AS bad_pct FROM f JOIN best USING ("column")
-          WHERE filled > 0 AND dates / filled >= 0.7 AND numbers / filled < 0.5 AND filled - dates > ph)
-        SELECT *, {_CONTAMINATION} AS severity FROM g""",
+    "type_contamination": _TYPE_CONTAMINATION,
+    "date_contamination": _DATE_CONTAMINATION,
     "stripped_contamination": f"""{WITH}, r AS (SELECT "column", value, {num("regexp_replace(value, '[€$,\\s]', '', 'g')")} AS x FROM cells)
         SELECT "column", count(*) - count(x) AS contaminated_rows, {pct('count(*) - count(x)', 'count(*)')} AS contamination_pct FROM r GROUP BY 1
         HAVING count(value) > 0 AND count(x) / count(value) > 0.7""",
-    "naming_violations": f"""{WITH}, i AS (SELECT "column", count(value) AS cells, [CASE WHEN "column" <> lower("column") THEN 'uppercase' END,
-        CASE WHEN contains("column", ' ') THEN 'space' END, CASE WHEN regexp_matches("column", '^[0-9]') THEN 'digit start' END,
-        CASE WHEN regexp_matches("column", '[%@!#]') THEN 'special character' END, CASE WHEN contains("column", '-') THEN 'hyphen' END] AS l FROM cells GROUP BY 1)
-        SELECT * FROM (SELECT "column", unnest(l) AS issue, cells FROM i) WHERE issue IS NOT NULL""",
+    "naming_violations": _NAMING_VIOLATIONS,
     "snake_case_violations": f"""{WITH}, i AS (SELECT "column", count(value) AS cells, [CASE WHEN regexp_matches("column", '^[0-9]') THEN 'starts_with_digit' END,
         CASE WHEN "column" <> lower("column") THEN 'uppercase' END, CASE WHEN contains("column", ' ') THEN 'contains_space' END,
-        CASE WHEN contains("column", '-') THEN 'contains_hyphen' END, CASE WHEN regexp_matches("column", '[^a-zA-Z0-9_ ]') THEN 'special_chars' END] AS l FROM cells
+        CASE WHEN contains("column", '-') THEN 'contains_hyphen' END, CASE WHEN regexp_matches("column", '[^a-zA-Z0-9_ ]') THEN 'special_chars' END,
+        CASE WHEN NOT regexp_matches("column", '[^a-z0-9_]|^[0-9]') THEN 'not_snake_case' END] AS l FROM cells
         WHERE NOT regexp_matches("column", '^[a-z][a-z0-9_]*$') GROUP BY 1)
         SELECT * FROM (SELECT "column", unnest(l) AS issue, cells FROM i) WHERE issue IS NOT NULL""",
     "duplicate_columns": f"""{WITH}, v AS (SELECT DISTINCT "column", ordinal, value, regexp_replace(lower("column"), '[^a-z0-9]', '', 'g') AS r FROM cells WHERE value IS NOT NULL),
@@ -528,13 +554,12 @@ ORACLE: dict[str, str] = {
           WHEN whole AND pointed > 0 THEN 'coerce_int' END AS fix_action, CASE WHEN NOT ({_YEARLY} AND short > 0 AND long > 0 AND tiny = 0) AND noisy > 0 AND dc <= 6 THEN greatest(dn, dc) END AS decimals FROM g) WHERE fix_action IS NOT NULL""",
     "schema_fix": f"{WITH}, {_V1} SELECT * FROM v1",
     "format_distribution": f"""{WITH} SELECT "column", {_SHAPE} AS format, count(*) AS cells FROM (SELECT "column", {strip('value')} AS t FROM cells WHERE value IS NOT NULL) GROUP BY 1, 2""",
-    "mixed_formats": f"""{WITH}, d AS (SELECT "column", {_SHAPE} AS format, count(*) AS cells FROM (SELECT "column", {strip('value')} AS t FROM cells WHERE value IS NOT NULL) GROUP BY 1, 2)
-        SELECT "column", round_even(coalesce(sum(cells) FILTER (format <> 'other'), 0) / sum(cells), 4) AS date_share, count_if(format <> 'other') AS formats,
-        string_agg(format||'='||cells, '|' ORDER BY format||'='||cells) AS distribution FROM d GROUP BY 1
-        HAVING coalesce(sum(cells) FILTER (format <> 'other'), 0) / sum(cells) > 0.5 AND count_if(format <> 'other') > 1""",
+    "mixed_formats": _MIXED_FORMATS,
     "fragmented_dates": f"{_FRAGMENTED} SELECT * FROM fragmented",
     "period_outliers": f"""{WITH}, f AS (SELECT "column", count(value) AS filled, count_if(regexp_matches({strip('value')}, '^(19|20)\\d{{2}}(0[1-9]|1[0-2])$')) AS codes FROM cells GROUP BY 1)
         SELECT "column", filled, filled - codes AS not_period FROM f WHERE filled > codes AND codes / filled > 0.8""",
+    "date_outliers": f"""{WITH}, d AS (SELECT "column", count(*) AS filled, count_if({_SHAPE} <> 'other') AS dated FROM (SELECT "column", {strip('value')} AS t FROM cells WHERE value IS NOT NULL) GROUP BY 1)
+        SELECT "column", filled, filled - dated AS not_date FROM d WHERE filled > dated AND dated / filled > 0.6""",
     "mixed_case_style": f"""{WITH}, f AS (SELECT "column", count(value) AS filled, count_if(w) AS worded, count_if(w AND value = upper(value)) AS upper_cells, count_if(w AND value = lower(value)) AS lower_cells,
           count_if(w AND value = array_to_string(list_transform(string_split(value, ' '), lambda s: upper(s[1])||lower(s[2:])), ' ')) AS title_cells
           FROM (SELECT *, regexp_matches(value, '[A-Za-z]') AS w FROM cells) GROUP BY 1)
@@ -556,9 +581,13 @@ ORACLE: dict[str, str] = {
         f AS (SELECT period_column, other_column, count(*) AS n, count(o) AS numeric_rows, count_if(p IS NOT NULL AND o IS NOT NULL) AS aligned_rows, count_if(p IS NOT NULL AND o BETWEEN 1900 AND 2100) AS years,
           count_if(p IS NOT NULL AND o BETWEEN 1 AND 12) AS months, count_if(p // 100 <> o) AS off_year, count_if(p % 100 <> o) AS off_month FROM pairs GROUP BY 1, 2),
         g AS (SELECT *, CASE WHEN years / aligned_rows >= 0.9 THEN 'year' WHEN months / aligned_rows >= 0.9 THEN 'month' END AS part FROM f WHERE numeric_rows / n >= 0.9 AND aligned_rows >= 5
-          AND period_column IN (SELECT "column" FROM periods))
+          AND period_column IN (SELECT "column" FROM periods)),
+        off AS (SELECT period_column, other_column, part, min((p, o)) AS pair FROM pairs JOIN (FROM g WHERE part IS NOT NULL) USING (period_column, other_column)
+          WHERE CASE part WHEN 'year' THEN p // 100 ELSE p % 100 END <> o GROUP BY 1, 2, 3, p % 5),
+        e AS (SELECT period_column, other_column, part, string_agg(pair[1]||': '||pair[2], '|' ORDER BY pair) AS examples FROM off GROUP BY 1, 2, 3)
         SELECT period_column, other_column, part, aligned_rows, CASE part WHEN 'year' THEN off_year ELSE off_month END AS mismatch_count,
-          round_even(CASE part WHEN 'year' THEN off_year ELSE off_month END / aligned_rows * 100, 1) AS pct_mismatch FROM g WHERE part IS NOT NULL AND CASE part WHEN 'year' THEN off_year ELSE off_month END > 0""",
+          round_even(CASE part WHEN 'year' THEN off_year ELSE off_month END / aligned_rows * 100, 1) AS pct_mismatch, examples FROM g
+          JOIN e USING (period_column, other_column, part) WHERE part IS NOT NULL AND CASE part WHEN 'year' THEN off_year ELSE off_month END > 0""",
     "negative_values": _negatives(WITH),
     "negative_values_ten": _negatives(WITH, 10),
     "same_names": f"{WITH} SELECT * FROM dirty",
@@ -573,6 +602,9 @@ ORACLE: dict[str, str] = {
     + " UNION ALL SELECT * FROM ("
     + _negatives(f"WITH {_text_of('supplier', ('s_suppkey', 's_name', 's_nationkey', 's_acctbal'), ('s_acctbal',))}, {_cells('src', ('s_suppkey', 's_name', 's_nationkey', 's_acctbal'))}")
     + ")",
+    "negative_native": _negatives(
+        f"WITH {_text_of('customer', ('c_custkey', 'c_nationkey', 'c_acctbal'), ('c_acctbal',))}, {_cells('src', ('c_custkey', 'c_nationkey', 'c_acctbal'))}"
+    ),
     "exact_duplicates": f"""{WITH}, d AS (SELECT (SELECT count(*) FROM dirty) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty)) AS rows_after)
         SELECT total_rows, total_rows - rows_after AS duplicate_rows, {pct('total_rows - rows_after', 'total_rows')} AS duplicate_pct, rows_after FROM d""",
     "duplicate_texts": f"""WITH d AS (SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT text FROM documents)) AS rows_after FROM documents)
@@ -607,6 +639,9 @@ ORACLE: dict[str, str] = {
     "outliers_lineitem": f"WITH {_LINE_XS}, {_fences('xs')} {_outliers('pop', 'iqr_outliers > 0')}",
     "largest_outliers": f"""{_OUT_DIRTY} SELECT "column", string_agg(CAST(CAST(x AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY x DESC) AS examples FROM
         (SELECT "column", x, row_number() OVER (PARTITION BY "column" ORDER BY x DESC) AS rn FROM o WHERE x < low OR x > high) WHERE rn <= 5 GROUP BY 1""",
+    "largest_deviations": f"""{_OUT_DIRTY}, m AS (SELECT "column", avg(x) AS mean, stddev_samp(x) AS std FROM xs GROUP BY 1)
+        SELECT "column", string_agg(CAST(CAST(x AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY x DESC) AS examples FROM
+        (SELECT "column", x, row_number() OVER (PARTITION BY "column" ORDER BY x DESC) AS rn FROM xs JOIN m USING ("column") WHERE abs(x - mean) > 3 * std) WHERE rn <= 5 GROUP BY 1""",
     "outlier_flags": """WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events)
         SELECT event_id, value, CASE WHEN value < a - 1.5*(b-a) OR value > b + 1.5*(b-a) THEN 1 ELSE 0 END AS value_outlier_flag FROM events, q""",
     "rare_categories": f"""{WITH}, {_CATS} SELECT "column", value, cnt, {pct('cnt', 'n', 3)} AS pct FROM cats WHERE cnt / n < 0.005""",

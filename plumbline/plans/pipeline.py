@@ -35,15 +35,15 @@ _CHECKS = {
 MAX_REPEATS = 2
 
 
-def stage_gates(summary: DataFrame) -> DataFrame:
+def stage_gates(summary: DataFrame, nested_columns: int = 0) -> DataFrame:
     """One row: which optional stages a profile summary calls for.
 
     A table complete to 95 % or more needs no completeness stage; consistency needs three columns and ten rows;
-    anomaly needs a numeric or categorical column.
+    anomaly needs a numeric or categorical column. Nested columns, which no profile holds, count among the three.
     """
     return summary.select(
         (F.col("overall_completeness") < 0.95).alias("completeness"),
-        ((F.col("total_columns") >= 3) & (F.col("total_rows") >= 10)).alias("consistency"),
+        ((F.col("total_columns") + nested_columns >= 3) & (F.col("total_rows") >= 10)).alias("consistency"),
         ((F.size("numeric_columns") > 0) | (F.size("categorical_columns") > 0)).alias("anomaly"),
     )
 
@@ -88,13 +88,14 @@ def run(
 
     Each stage's table is written below ``folder`` (or checkpointed), so later stages read it instead of repeating
     the earlier ones and a lost executor costs one stage at most. Without ``enrichments`` they are derived from the
-    values.
+    values. Arrays, maps, structs, variants and binary columns go through unread: their names are checked and
+    mended, and they count when rows are compared.
     """
-    raw = text_layer(df)
+    raw = text_layer(df, nested=True)
     profile_rows = cut(profile_columns(raw, t))
     profile = take_profile(profile_rows, columns_of(raw, None))
     summary = profile_summary(profile_rows, t)
-    gates = stage_gates(summary).first().asDict()
+    gates = stage_gates(summary, len(raw.columns) - len(columns_of(raw, None))).first().asDict()
     numeric = profile.typed("numeric")
     if enrichments is None:
         enrichments = propose_enrichments(raw, numeric)
@@ -102,8 +103,7 @@ def run(
     current, outputs, log = raw, {}, []
     # The findings of a stage are those of its last check: a stage that runs again checks again.
     stage_findings: dict[str, DataFrame] = {}
-    # Rows have no key to bring arrays, maps and structs back by, so the log says that they are left out.
-    changes = [("schema", "left_out_nested_column", c, profile.row_count) for c in df.columns if c not in set(raw.columns)]
+    changes: list[tuple[str, str, str, int]] = []
     done: list[str] = []
     runs: dict[str, int] = {}
     repeats, last, fixed = 0, "", None

@@ -94,6 +94,17 @@ def csv_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
+def csv_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers in a file in which every third name begins with a byte that is no UTF-8."""
+    path = _scratch(spark)
+    customer = load(spark, folder, "customer")
+    broken = F.when(F.col("c_custkey") % 3 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    lines = customer.select(F.concat(broken, F.concat_ws(",", "c_name", "c_custkey").cast("binary")).cast("string").alias("value"))
+    header = customer.select(F.lit("c_name,c_custkey").alias("value")).limit(1)
+    header.unionByName(lines).coalesce(1).write.text(path)
+    return csv.read_csv(spark, path, ",").select("c_name", F.col("c_custkey").cast("int").alias("c_custkey"))
+
+
 def findings_json(spark: SparkSession, folder: str) -> DataFrame:
     """Completeness findings through the JSON sink and back."""
     path = _scratch(spark)
@@ -248,9 +259,29 @@ def code_label_by_name(spark: SparkSession, folder: str) -> DataFrame:
     return consistency.code_label_consistency(df, pairs=consistency.paired_by_name(df.columns))
 
 
+def negative_values(spark: SparkSession, folder: str) -> DataFrame:
+    return consistency.negative_values(dirty_orders(spark, folder)).withColumn("examples", _money_list("examples"))
+
+
 def negative_balances(spark: SparkSession, folder: str) -> DataFrame:
     customer = consistency.negative_values(text_layer(load(spark, folder, "customer"), scale=2))
-    return customer.unionByName(consistency.negative_values(text_layer(load(spark, folder, "supplier"), scale=2)))
+    both = customer.unionByName(consistency.negative_values(text_layer(load(spark, folder, "supplier"), scale=2)))
+    return both.withColumn("examples", _money_list("examples"))
+
+
+def negative_native(spark: SparkSession, folder: str) -> DataFrame:
+    """Numeric-typed columns only: the account number as text is left alone however negative it reads."""
+    account = F.col("c_acctbal")
+    df = load(spark, folder, "customer").withColumn("balance_text", account.cast("decimal(18,2)").cast("string"))
+    return consistency.negative_values(df, native_only=True).withColumn("examples", _money_list("examples"))
+
+
+def date_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return schema.date_contamination(dirty_orders(spark, folder)).withColumn("examples", _joined("examples"))
+
+
+def period_mismatches(spark: SparkSession, folder: str) -> DataFrame:
+    return consistency.period_mismatches(dirty_orders(spark, folder)).withColumn("examples", _joined("examples"))
 
 
 def duplicate_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -324,9 +355,18 @@ def outliers_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return anomaly.numeric_outliers(df, native_only=True, population_std=True, by_iqr_only=True)
 
 
+def _money_list(c: str) -> Column:
+    return _joined(F.transform(c, lambda x: x.cast("decimal(18,2)").cast("string")))
+
+
 def largest_outliers(spark: SparkSession, folder: str) -> DataFrame:
-    found = anomaly.largest_outliers(dirty_orders(spark, folder))
-    return found.withColumn("examples", _joined(F.transform("examples", lambda x: x.cast("decimal(18,2)").cast("string"))))
+    return anomaly.largest_outliers(dirty_orders(spark, folder)).withColumn("examples", _money_list("examples"))
+
+
+def largest_deviations(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest values more than three deviations from the mean."""
+    found = anomaly.largest_outliers(dirty_orders(spark, folder), by_deviation=True)
+    return found.withColumn("examples", _money_list("examples"))
 
 
 def outlier_flags(spark: SparkSession, folder: str) -> DataFrame:
@@ -441,7 +481,8 @@ def valid_enrichments(spark: SparkSession, folder: str) -> DataFrame:
 
 def negative_values_ten(spark: SparkSession, folder: str) -> DataFrame:
     """Documented variant: at least ten numbers."""
-    return consistency.negative_values(dirty_orders(spark, folder), Thresholds(negative_min_values=10))
+    found = consistency.negative_values(dirty_orders(spark, folder), Thresholds(negative_min_values=10))
+    return found.withColumn("examples", _money_list("examples"))
 
 
 def finding_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -511,6 +552,37 @@ def _copied_customers(spark: SparkSession, folder: str) -> DataFrame:
     return df.unionByName(df.where("c_custkey % 5 = 0"))
 
 
+def nested_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The pipeline over customers with an array, a map and a struct. Every fifth customer comes twice, the entries of its
+    map in another order, which is the same row; every seventh twice with another array, which is not."""
+    df = load(spark, folder, "customer")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    entries = F.array(
+        F.struct(F.lit("segment").alias("k"), F.col("c_mktsegment").alias("v")),
+        F.struct(F.lit("nation").alias("k"), nation.cast("string").alias("v")),
+    )
+
+    def rows(part: DataFrame, facts: Column, codes: Column) -> DataFrame:
+        return part.select(
+            "c_custkey", "c_name", codes.alias("Codes"), F.map_from_entries(facts).alias("facts"),
+            F.struct(F.col("c_mktsegment").alias("segment"), nation.alias("nation")).alias("place"),
+        )
+
+    codes = F.array(nation, key % 3)
+    several = [
+        rows(df, entries, codes),
+        rows(df.where(key % 5 == 0), F.reverse(entries), codes),
+        rows(df.where(key % 7 == 0), entries, F.array(nation, key % 3, F.lit(-1))),
+    ]
+    out = pipeline.run(several[0].unionByName(several[1]).unionByName(several[2])).df
+    facts = F.array_sort(F.transform(F.map_entries("facts"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return out.select(
+        F.col("c_custkey").cast("long").alias("c_custkey"), "c_name",
+        _joined(F.transform("codes", lambda x: x.cast("string"))).alias("codes"), _joined(facts).alias("facts"),
+        F.col("place.segment").alias("segment"), F.col("place.nation").cast("long").alias("nation"),
+    )
+
+
 def repeated_stage_log(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.run(_copied_customers(spark, folder)).log.select("step", "stage", "reason", "rows_removed")
 
@@ -535,6 +607,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "csv_inferred": csv_inferred,
     "csv_quoted_breaks": csv_quoted_breaks,
+    "csv_malformed": csv_malformed,
     "findings_json": findings_json,
     "stage_versions": stage_versions,
     "profile_dirty": profile_dirty,
@@ -556,7 +629,7 @@ QUERIES: dict[str, Query] = {
     "fill_unknown": fill_unknown,
     "fill_mode": fill_mode,
     "type_contamination": type_contamination,
-    "date_contamination": _over_dirty(schema.date_contamination),
+    "date_contamination": date_contamination,
     "stripped_contamination": _over_dirty(schema.stripped_contamination),
     "naming_violations": _over_dirty(schema.naming_violations),
     "snake_case_violations": _over_dirty(lambda df: schema.naming_violations(df, snake_case=True)),
@@ -577,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "mixed_formats": mixed_formats,
     "fragmented_dates": _over_dirty(consistency.fragmented_dates),
     "period_outliers": _over_dirty(consistency.period_outliers),
+    "date_outliers": _over_dirty(consistency.date_outliers),
     "mixed_case_style": _over_dirty(consistency.mixed_case_style),
     "whitespace_variants": _over_dirty(consistency.whitespace_variants),
     "case_variants": case_variants,
@@ -584,9 +658,10 @@ QUERIES: dict[str, Query] = {
     "code_label": _over_dirty(consistency.code_label_consistency),
     "code_label_lineitem": code_label_lineitem,
     "code_label_by_name": code_label_by_name,
-    "period_mismatches": _over_dirty(consistency.period_mismatches),
-    "negative_values": _over_dirty(consistency.negative_values),
+    "period_mismatches": period_mismatches,
+    "negative_values": negative_values,
     "negative_balances": negative_balances,
+    "negative_native": negative_native,
     "exact_duplicates": _over_dirty(duplicates.exact_duplicates),
     "duplicate_texts": duplicate_texts,
     "near_duplicates": near_duplicates,
@@ -604,6 +679,7 @@ QUERIES: dict[str, Query] = {
     "outliers_events": outliers_events,
     "outliers_lineitem": outliers_lineitem,
     "largest_outliers": largest_outliers,
+    "largest_deviations": largest_deviations,
     "outlier_flags": outlier_flags,
     "rare_categories": _over_dirty(anomaly.rare_categories),
     "rare_values": _over_dirty(anomaly.rare_values),
@@ -638,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "negative_values_ten": negative_values_ten,
     "pipeline_log": pipeline_log,
     "before_after": before_after,
+    "nested_columns": nested_columns,
     "repeated_stage_log": repeated_stage_log,
     "repeated_stage_findings": repeated_stage_findings,
 }

@@ -17,11 +17,25 @@ def stage_path(base: str, version: int, iteration: int = 0) -> str:
 
 
 def write_stage(df: DataFrame, base: str, version: int, iteration: int = 0, fmt: str = "parquet") -> DataFrame:
-    """Write a stage's table and return it as read back, which also ends its lineage."""
+    """Write a stage's table and return it as read back, which also ends its lineage.
+
+    In CSV, arrays, maps (with text keys) and structs are JSON cells, binary is base64.
+    """
     path = stage_path(base, version, iteration)
     if fmt == "csv":
-        write_csv(df, path)
-        return df.sparkSession.read.csv(path, schema=df.schema, **_csv_options(","))
+        nested = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
+        binary = {f.name for f in df.schema.fields if isinstance(f.dataType, T.BinaryType)}
+        encoded = df.select(
+            *[F.to_json(ref(c)).alias(c) if c in nested else F.base64(ref(c)).alias(c) if c in binary else ref(c) for c in df.columns]
+        )
+        write_csv(encoded, path)
+        read = df.sparkSession.read.csv(path, schema=encoded.schema, **_csv_options(","))
+        return read.select(
+            *[
+                F.from_json(ref(c), nested[c]).alias(c) if c in nested else F.unbase64(ref(c)).alias(c) if c in binary else ref(c)
+                for c in df.columns
+            ]
+        )
     # parquet refuses some characters in names, so columns travel under their position
     names = df.columns
     df.toDF(*[f"c{i}" for i in range(len(names))]).write.mode("overwrite").parquet(path)

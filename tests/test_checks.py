@@ -269,3 +269,30 @@ def test_scan_reads_native_numbers(spark):
     seen = scan(df)
     assert [seen.of(c, "numbers") for c in "ids"] == [1, 2, 1]
     assert seen.of("d", "negatives") == 1 and seen.of("s", "max") == 3.0
+
+
+def test_examples_of_findings(spark, table):
+    dates = ["2024-01-0%d" % (i % 9 + 1) for i in range(40)] + ["01/02/2024"] * 3 + ["soon", "soon", "n.d.", None, "2024-99-99"]
+    row = schema.date_contamination(table(d=dates)).first()
+    assert (row["bad_count"], row["examples"]) == (7, ["01/02/2024", "soon", "2024-99-99"])
+    by_any = schema.date_contamination(table(d=dates), Thresholds(date_policy="any")).first()
+    assert by_any["examples"] == ["soon", "2024-99-99"]
+    periods = table(rata=["202401", "202402", "202403", "202404", "202405", "202406"], anno=["2024"] * 4 + ["2023", "2022"])
+    assert consistency.period_mismatches(periods).first()["examples"] == ["202405: 2023", "202406: 2022"]
+    signs = spark.createDataFrame([(-1.5, "-1"), (-7.0, "-2"), (-1.2, "-3"), (2.0, "4"), (float("nan"), None), (None, "x")], "v double, t string")
+    found = consistency.negative_values(signs, native_only=True).collect()
+    assert [(r["column"], r["negatives"], r["min_value"]) for r in found] == [("v", 3, -7.0)]
+    assert set(found[0]["examples"]) <= {-1.5, -7.0, -1.2} and -7.0 in found[0]["examples"]
+    empty = spark.createDataFrame([], "v double, t string")
+    assert consistency.negative_values(empty, native_only=True).count() == consistency.negative_values(empty.select("t"), native_only=True).count() == 0
+
+
+def test_values_far_from_the_mean(table):
+    df = table(v=[str(i % 10) for i in range(200)] + ["500", "400", "400"], w=["5"] * 203)
+    rows = {r["column"]: r["examples"] for r in anomaly.largest_outliers(df, by_deviation=True).collect()}
+    assert rows == {"v": [500.0, 400.0, 400.0]}
+
+
+def test_mostly_dates(table):
+    df = table(d=["2024-01-01"] * 7 + ["x", "y", None], e=["2024-01-01"] * 6 + ["x"] * 4, f=["2024-01-01"] * 10)
+    assert [tuple(r) for r in consistency.date_outliers(df).collect()] == [("d", 9, 2)]
