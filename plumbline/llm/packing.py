@@ -227,26 +227,36 @@ def places(plan: Counter[Filling]) -> list[tuple[int, int, int, int, int]]:
     return rows
 
 
+_RUN = 1_000  # groups whose sizes are added up by one task
+
+
 def pack(parts: DataFrame, capacity: int = 1024, salt_rows: int = 500) -> DataFrame:
     """``parts`` (doc_id, piece, length and any other columns) with ``sequence_id`` and ``offset``.
 
     Pieces of one length are ranked in salted groups of about ``salt_rows``, so a length that holds a third of all
-    pieces is spread over the cluster. Pieces with equal ids are told apart by their rank; an empty table stays empty.
-    ``parts`` is read twice: pass a stored frame. Columns named sequence_id or offset are replaced."""
-    parts = parts.drop("sequence_id", "offset")
+    pieces is spread over the cluster, whatever their ids: rows are numbered as they are stored, and the salts are drawn
+    from these numbers, so null and repeated ids are spread as well. Pieces with equal ids are told apart by their
+    number; an empty table stays empty. Columns named sequence_id or offset are replaced."""
+    names = [c for c in parts.columns if c not in ("sequence_id", "offset")]
+    parts = stored(parts.select(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id().alias("_row")))
     counted = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     spark = parts.sparkSession
     plan = complete_bins(counted, capacity)
     table = spark.createDataFrame(places(plan), "_length bigint, _from bigint, _to bigint, _sequence bigint, _offset bigint")
     salts = spark.createDataFrame([(n, -(-c // salt_rows)) for n, c in counted.items()], "_of bigint, _salts bigint")
-    salted = parts.join(F.broadcast(salts), F.col("length") == F.col("_of")).withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_salts")))
-    sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
-    before = sizes.select(
-        F.col("length").alias("_len"),
-        F.col("_salt").alias("_salted"),
-        (F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n")).alias("_before"),
+    salted = parts.join(F.broadcast(salts), F.col("length") == F.col("_of")).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.col("_salts")))
+    # Pieces in the groups before: running sums over runs of groups first, then within each run, so that no task holds
+    # all groups of a length.
+    sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")).withColumn("_run", F.floor(F.col("_salt") / _RUN))
+    runs = sizes.groupBy("length", "_run").agg(F.sum("_n").alias("_in_run"))
+    runs = runs.withColumn("_earlier", F.sum("_in_run").over(Window.partitionBy("length").orderBy("_run")) - F.col("_in_run"))
+    within = F.sum("_n").over(Window.partitionBy("length", "_run").orderBy("_salt")) - F.col("_n")
+    before = (
+        sizes.withColumn("_within", within)
+        .join(runs.drop("_in_run"), ["length", "_run"])
+        .select(F.col("length").alias("_len"), F.col("_salt").alias("_salted"), (F.col("_earlier") + F.col("_within")).alias("_before"))
     )
-    in_group = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
+    in_group = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "_row")
     ranked = (
         salted.withColumn("_rank", F.row_number().over(in_group) - 1)
         .join(before, (F.col("length") == F.col("_len")) & (F.col("_salt") == F.col("_salted")))
@@ -254,10 +264,10 @@ def pack(parts: DataFrame, capacity: int = 1024, salt_rows: int = 500) -> DataFr
     )
     # A row for each slot of a filling: a few thousand whatever the corpus, so it may be broadcast.
     placed = ranked.join(F.broadcast(table), (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    return placed.select(*[F.col(f"`{c}`") for c in parts.columns], (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_offset").alias("offset"))
+    return placed.select(*[F.col(f"`{c}`") for c in names], (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_offset").alias("offset"))
 
 
 def packed(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """Every piece with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     parts = pieces(docs, path, capacity, end_id).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(stored(parts), capacity)
+    return pack(parts, capacity)

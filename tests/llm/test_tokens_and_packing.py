@@ -113,3 +113,19 @@ def test_sequences_are_gapless_and_whole(spark):
     digests = packing.packed(docs, vocabulary(), 64).collect()
     assert sorted(r.ids_crc32 for r in digests) == sorted(zlib.crc32(r.ids) for r in out)
     assert packing.packed(docs.limit(0), vocabulary()).collect() == []
+
+
+def test_groups_of_rows_without_ids(spark, monkeypatch):
+    """Rows of one length, without ids or with one: every group has its share, and places stay gapless over many runs."""
+    monkeypatch.setattr(packing, "_RUN", 4)
+    parts = spark.range(900).selectExpr("if(id % 3 = 0, 7L, null) as doc_id", "0 as piece", "if(id % 9 = 0, 20L, 30L) as length", "1 as _x")
+    out = packing.pack(parts, 100, salt_rows=10)
+    assert out.columns == ["doc_id", "piece", "length", "_x", "sequence_id", "offset"]
+    seen = {}
+    for r in out.collect():
+        seen.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in seen.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(places)))
+        assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 100
+    assert sum(len(p) for p in seen.values()) == 900
+    assert len(seen) == sum(packing.complete_bins({20: 100, 30: 800}, 100).values())
