@@ -12,7 +12,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import arrow_map
+from plumbline.llm.common import arrow_map, importable, rows_in
 from plumbline.llm.tokens import PATTERN, encoder, runs_of_space
 
 COUNTS = "doc_id bigint, n_bytes bigint, n_tokens bigint"
@@ -26,37 +26,50 @@ def splitters():
     return regex.compile(PATTERN).findall, regex.compile(_SINGLE_SPACES).findall
 
 
-def frequent_table(docs: DataFrame, path: str, text_col: str = "text", sample_docs: int = 2_000, entries: int = 50_000) -> dict[str, int]:
-    """Pre-tokens that occur more than once in ``sample_docs`` documents, at most ``entries``, with their numbers of
-    tokens. A cache: which documents are taken changes the speed, never a count."""
-    sample = docs.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).limit(sample_docs)
+def frequent_table(docs: DataFrame, path: str, text_col: str = "text", sample_tasks: int = 8, sample_chars: int = 2_000_000, entries: int = 50_000) -> dict[str, int]:
+    """Pre-tokens that occur more than once in some splits, at most ``entries``, with their numbers of tokens. A cache:
+    which splits are read changes the speed, never a count.
 
-    def make():
-        full, fast = splitters()
-
-        def work(batch):
-            seen: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
-                seen.update((full if runs_of_space(text) else fast)(text))
-            yield from ((w, n) for w, n in seen.items() if n > 1)
+    The first splits that hold rows are read, ``sample_tasks`` of them; each task counts about ``sample_chars`` characters
+    (beyond that it stops reading) and hands its ``entries`` commonest pre-tokens to the driver. Nothing is shuffled."""
 
-        return work
+    def run(batches):
+        import pyarrow as pa
 
-    counted = arrow_map(sample, make, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "word").limit(entries).collect()
+        full, fast = splitters()
+        seen: Counter[str] = Counter()
+        chars = 0
+        for part in rows_in(batches, 16):
+            for text in part.column(0).to_pylist():
+                for start in range(0, min(len(text), sample_chars - chars), 100_000):
+                    piece = text[start : start + 100_000]
+                    seen.update((full if runs_of_space(piece) else fast)(piece))
+                chars += len(text)
+                if chars >= sample_chars:
+                    break
+            if chars >= sample_chars:
+                break
+        if seen:
+            top = seen.most_common(entries)
+            yield pa.RecordBatch.from_arrays([pa.array([[w for w, _ in top]]), pa.array([[n for _, n in top]])], names=["words", "counts"])
+
+    texts = importable(docs).select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    total: Counter[str] = Counter()
+    for row in texts.mapInArrow(run, "words array<string>, counts array<bigint>").take(sample_tasks):
+        total.update(dict(zip(row["words"], row["counts"])))
     bpe = encoder(path)
-    return {r["word"]: len(bpe.ids(r["word"])) for r in rows}
+    return {w: len(bpe.ids(w)) for w, n in total.most_common(entries) if n > 1}
 
 
 def token_counts(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", cache_entries: int = 300_000, sample_docs: int = 2_000, entries: int = 50_000
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", cache_entries: int = 300_000, sample_tasks: int = 8, entries: int = 50_000
 ) -> DataFrame:
     """doc_id, n_bytes (UTF-8) and n_tokens of every whole text, without added tokens; special strings inside a text are
     handled as the library does by default.
 
     A null text counts as empty (0 bytes, 0 tokens); null doc_ids and repeated rows are kept; an empty table gives no
     rows; other columns are left out."""
-    table = docs.sparkSession.sparkContext.broadcast(frequent_table(docs, path, text_col, sample_docs, entries))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_table(docs, path, text_col, sample_tasks, entries=entries))
 
     def make():
         bpe = encoder(path)
