@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import arrow_map
+from plumbline.llm.common import arrow_map, stored
 
 MATCHES = "doc_id bigint, item_id bigint, distance int, start bigint, stop bigint"
 
@@ -69,20 +69,21 @@ class Pattern:
 class Matcher:
     """Finds items of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple], rate: float):
+        """``items``: item_id, text and, if more than one, the number of rows that hold them."""
         import ahocorasick
 
         self.items = []
         self.automaton = ahocorasick.Automaton()
         pieces: dict[str, list[tuple[int, int]]] = {}
-        for item_id, text in items:
+        for item_id, text, *times in items:
             text = normal(text)
             if not text:
                 continue
             limit = budget(len(text), rate)
             for offset, piece in cut(text, limit + 1):
                 pieces.setdefault(piece, []).append((len(self.items), offset))
-            self.items.append((item_id, text, limit, Pattern(text), Pattern(text[::-1])))
+            self.items.append((item_id, text, limit, times[0] if times else 1, Pattern(text), Pattern(text[::-1])))
         for piece, where in pieces.items():
             self.automaton.add_word(piece, (len(piece), where))
         self.automaton.make_automaton()
@@ -96,11 +97,11 @@ class Matcher:
             for item, offset in where:
                 windows.setdefault(item, set()).add(last - length + 1 - offset)
         for item, starts in windows.items():
-            item_id, pattern, limit, myers, backward = self.items[item]
+            item_id, pattern, limit, times, myers, backward = self.items[item]
             size = len(pattern)
             exact = [s for s in starts if s >= 0 and text.startswith(pattern, s)]
             if exact:
-                yield item_id, 0, min(exact), min(exact) + size
+                yield from times * [(item_id, 0, min(exact), min(exact) + size)]
                 continue
             best = None
             for a, b in _merged(sorted(starts), limit, size):
@@ -111,7 +112,7 @@ class Matcher:
             if best:
                 distance, stop = best
                 back = backward.best(text[max(0, stop - size - limit) : stop][::-1], limit, whole=True)
-                yield item_id, distance, stop - back[1], stop
+                yield from times * [(item_id, distance, stop - back[1], stop)]
 
 
 def _merged(starts: list[int], limit: int, size: int) -> Iterator[tuple[int, int]]:
@@ -136,21 +137,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, id_col: s
 
     ``rate`` is the number of edits allowed for each character of an item. Items that are null or blank match nothing,
     null and empty texts hold nothing; repeated items and rows are all reported; null ids are kept. An empty table
-    gives no rows. Items are broadcast in blocks of about ``block_chars`` characters, each against all texts, so a
-    benchmark of any size stays within memory."""
+    gives no rows. Items are broadcast in blocks of about ``block_chars`` characters, each against all texts. With several
+    blocks they are worked off in turn: the driver and the executors hold one at a time, and its matches are written before
+    the next one is read."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).where(F.col("text").isNotNull())
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("times"))
     chars = items.agg(F.sum(F.length("text")).alias("n")).head()["n"] or 0
     blocks = max(1, -(-chars // block_chars))
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col)).where(F.col(text_col).isNotNull())
-    found = None
+    if blocks == 1:
+        return arrow_map(texts, _search(_held(items), rate), MATCHES)
+    items, found = stored(items), None
     for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        held = docs.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in part.collect()])
-        one = arrow_map(texts, _search(held, rate), MATCHES)
+        held = _held(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block))
+        one = stored(arrow_map(texts, _search(held, rate), MATCHES))
+        held.destroy()
         found = one if found is None else found.unionByName(one)
     return found
 
 
+def _held(items: DataFrame):
+    """A broadcast of the (item_id, text, times) of one block."""
+    return items.sparkSession.sparkContext.broadcast([tuple(r) for r in items.select("item_id", "text", "times").collect()])
+
+
 def _search(held, rate: float):
     def make():
         matcher = Matcher(held.value, rate)
