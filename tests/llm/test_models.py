@@ -92,7 +92,7 @@ def test_recall_of_the_graph(spark):
     x = rng.normal(size=(700, 16)) * rng.uniform(0.5, 2, size=(700, 1))
     vectors = dict(enumerate(x))
     df = spark.createDataFrame([(i, v.tolist(), i) for i, v in vectors.items()], "vec_id bigint, embedding array<double>, query_id int")
-    out = nn_descent.nearest(df, k=10, degree=16, trees=4, leaf=100, iterations=2, width=10, pool=60, rounds=(16, 24, 24)).collect()
+    out = nn_descent.nearest(df, k=10, degree=16, trees=4, leaf=100, width=10, effort=40).collect()
     expected = exact_nearest(vectors, 20, 10)
     got = {}
     for r in out:
@@ -124,3 +124,28 @@ def test_few_vectors(spark, n):
     df = spark.createDataFrame([(20 * i, [1.0, float(i)]) for i in range(n)], "vec_id bigint, embedding array<double>")
     out = nn_descent.nearest(df).collect()
     assert len(out) == n * (n - 1)
+
+
+def test_effort_follows_the_recall_that_is_measured(spark):
+    """Independent Gaussian vectors and a walk that starts far too narrow: the effort grows until the target is met."""
+    rng = np.random.default_rng(5)
+    vectors = dict(enumerate(rng.normal(size=(1500, 24))))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id bigint, embedding array<double>")
+    expected = exact_nearest(vectors, 20, 10)
+
+    def recall(**kw):
+        got = {}
+        for r in nn_descent.nearest(df, k=10, degree=10, trees=3, leaf=100, rest=0.1, width=6, effort=4, **kw).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        return sum(len(got.get(q, set()) & {i for i, _ in e}) for q, e in expected.items()) / (10 * len(expected))
+
+    assert recall(target=0.0) < 0.9 <= recall(target=0.95)
+
+
+def test_exact_neighbours_of_some_queries(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8))
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node bigint, vec array<double>")
+    truth = nn_descent.exact(nodes, {q: x[q].tolist() for q in (3, 40)}, 5)
+    assert truth == {q: set(np.argsort(-(x @ x[q]))[:5].tolist()) for q in (3, 40)}
+    assert nn_descent.exact(nodes.limit(0), {3: x[3].tolist()}, 5) == {} == nn_descent.exact(nodes, {}, 5)
