@@ -129,13 +129,13 @@ def test_few_vectors(spark, n):
 def test_effort_follows_the_recall_that_is_measured(spark):
     """Independent Gaussian vectors and a walk that starts far too narrow: the effort grows until the target is met."""
     rng = np.random.default_rng(5)
-    vectors = dict(enumerate(rng.normal(size=(1500, 24))))
+    vectors = dict(enumerate(rng.normal(size=(600, 24))))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id bigint, embedding array<double>")
     expected = exact_nearest(vectors, 20, 10)
 
     def recall(**kw):
         got = {}
-        for r in nn_descent.nearest(df, k=10, degree=10, trees=3, leaf=100, rest=0.1, width=6, effort=4, **kw).collect():
+        for r in nn_descent.nearest(df, k=10, degree=10, trees=3, leaf=100, rest=0.5, width=6, effort=8, **kw).collect():
             got.setdefault(r.query_id, set()).add(r.vec_id)
         return sum(len(got.get(q, set()) & {i for i, _ in e}) for q, e in expected.items()) / (10 * len(expected))
 

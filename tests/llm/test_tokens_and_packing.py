@@ -47,6 +47,16 @@ def test_counts(spark):
     assert {r.over_limit for r in token_counts.counted(docs.where("doc_id = 8"), vocabulary()).collect()} == {len(exact(TEXTS[8])) > 512}
 
 
+def test_frequent_table_reads_no_more_than_it_needs(spark):
+    """Tasks stop early; what the table holds are true lengths; counts with such a table are those of the library."""
+    docs = spark.createDataFrame([(i, f"the same words again and again {i} " * 200) for i in range(300)], "doc_id bigint, text string").repartition(3)
+    table = token_counts.frequent_table(docs, vocabulary(), sample_tasks=2, sample_chars=50_000, entries=10)
+    assert 0 < len(table) <= 10 and all(n == len(exact(w)) for w, n in table.items())
+    assert token_counts.frequent_table(docs.limit(0), vocabulary()) == {}
+    out = token_counts.token_counts(docs, vocabulary(), sample_tasks=2).collect()
+    assert len(out) == 300 and all(r.n_tokens == len(exact(f"the same words again and again {r.doc_id} " * 200)) for r in out[:5])
+
+
 def optimum(counts, capacity):
     items = sorted((n for n, c in counts.items() for _ in range(c)), reverse=True)
     best = [len(items)]
