@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.config import DEFAULTS, Thresholds
-from plumbline.functions.dates import layout, period, picture, read_as, with_dates
+from plumbline.functions.dates import layout, period, picture, with_dates, with_read
 from plumbline.functions.numbers import share
 from plumbline.functions.text import fold, ref, strip
 from plumbline.operators.cells import cells, columns_of, measure
@@ -48,7 +48,8 @@ def normalize_dates(df: DataFrame, columns: Sequence[str], keep_unreadable: bool
         steps = steps.withColumns({f"__layout{i}": layout(picture(ref(f"__text{i}"))) for i in range(len(columns))})
     fixed = {}
     for i, c in enumerate(columns):
-        iso = read_as(ref(f"__text{i}"), ref(f"__layout{i}")).cast("string")
+        steps = with_read(steps, f"__text{i}", f"__layout{i}", f"__date{i}")
+        iso = ref(f"__date{i}").cast("string")
         fixed[c] = F.coalesce(iso, ref(c)) if keep_unreadable else iso
     return steps.withColumns(fixed).select(*[ref(c) for c in names]) if columns else df
 

@@ -16,6 +16,7 @@ from plumbline.functions.numbers import expand_year, is_whole, rounded, to_numbe
 from plumbline.functions.text import drop_currency, drop_separators, is_placeholder, null_placeholders, ref, strip
 from plumbline.operators.cells import columns_of, measure, number_of
 from plumbline.operators.changes import Fixed
+from plumbline.operators.counted import counted_cells, total
 from plumbline.operators.profile import TableProfile
 from plumbline.operators.schema import domain_overlap, redundant_pairs, similar_names
 
@@ -201,24 +202,28 @@ def propose_enrichments(df: DataFrame, columns: Sequence[str], max_decimals: int
     are whole but some are written with a point; ``coerce_year`` if the name says year and two-digit values from
     20 up stand beside four-digit years.
     """
-    metrics: dict[str, Column] = {}
-    for c in columns:
-        text = strip(ref(c).cast("string"))
-        x = to_number(text)
-        noisy = x.isNotNull() & text.rlike(_NOISE)
-        decimals = F.when(x.isNotNull(), F.length(F.regexp_extract(text, r"\.(\d+)$", 1)))
-        metrics |= {
-            f"n {c}": F.count(x),
-            f"noisy {c}": F.count_if(noisy),
-            f"noisy decimals {c}": F.max(F.when(noisy, F.length(F.regexp_extract(text, _NOISE, 1)))),
-            f"clean decimals {c}": F.max(F.when(~noisy, decimals)),
-            f"whole {c}": F.bool_and(is_whole(x)),
-            f"pointed {c}": F.count_if(x.isNotNull() & text.contains(".")),
-            f"short years {c}": F.count_if(x.between(20, 99)),
-            f"too short {c}": F.count_if((x >= 0) & (x < 20)),
-            f"long years {c}": F.count_if(x.between(1900, 2100)),
-        }
-    m = measure(df, metrics) if columns else {}
+    text, x, noisy = F.col("text"), F.col("x"), F.col("noisy")
+    numbers = (
+        counted_cells(df, columns)
+        .select("column", "cnt", strip(F.col("value")).alias("text"))
+        .withColumn("x", to_number(text))
+        .where(x.isNotNull())
+        .withColumn("noisy", text.rlike(_NOISE))
+    )
+    rows = numbers.groupBy("column").agg(
+        F.sum("cnt").alias("n"),
+        total(noisy).alias("noisy"),
+        F.max(F.when(noisy, F.length(F.regexp_extract(text, _NOISE, 1)))).alias("noisy decimals"),
+        F.max(F.when(~noisy, F.length(F.regexp_extract(text, r"\.(\d+)$", 1)))).alias("clean decimals"),
+        F.bool_and(is_whole(x)).alias("whole"),
+        total(text.contains(".")).alias("pointed"),
+        total(x.between(20, 99)).alias("short years"),
+        total((x >= 0) & (x < 20)).alias("too short"),
+        total(x.between(1900, 2100)).alias("long years"),
+    )
+    # One row per column; a column without numbers has none.
+    figures = {r["column"]: r.asDict() for r in rows.collect()}
+    m = {f"{k} {c}": figures[c][k] if c in figures else None for c in columns for k in rows.columns[1:]}
     out: dict[str, dict[str, Any]] = {}
     for c in columns:
         words = set(names.snake_case(c).split("_")) | {c.lower()}
