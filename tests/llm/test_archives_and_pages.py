@@ -129,3 +129,12 @@ def test_hosts_that_mix_templates(spark):
 def test_what_marks_something_apart(html, text):
     assert html_wrapper.extract(html, None)[0] == text
     assert html_wrapper.extract(f"<nav>n</nav>{html}", None)[0] == text
+
+
+def test_texts_do_not_depend_on_the_number_of_shapes(spark):
+    pages = [f"<p>{i}</p>" for i in range(4)] + ["<article></article><p>outside</p>", "<div><article><p>inside</p></article></div>"]
+    rows = [(i, "http://h/", html) for i, html in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    few, many = ({r.page_id: r.text for r in html_wrapper.main_text(df, shapes=n).collect()} for n in (1, 32))
+    assert few == many
+    assert few[4] == "" and few[5] == "inside" and few[0] == "0"
