@@ -20,6 +20,7 @@ class Fixed:
     log: list[tuple[str, str, str, int]] = field(default_factory=list)
     types_changed: int = 0
     rows_removed: int = 0
+    stored: bool = False  # ``df`` is read from a table that the fix has written
 
     def note(self, action: str, column: str, affected: int) -> None:
         if affected:

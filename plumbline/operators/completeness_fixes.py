@@ -12,6 +12,7 @@ from plumbline.config import DEFAULTS, Thresholds
 from plumbline.functions.text import is_placeholder, null_placeholders, ref
 from plumbline.operators.cells import columns_of, measure
 from plumbline.operators.changes import Fixed
+from plumbline.operators.counted import of_columns, total, weighted
 from plumbline.operators.quantiles import exact_quantiles
 
 
@@ -25,18 +26,24 @@ def clear_placeholders(df: DataFrame) -> DataFrame:
     return df.select(*[null_placeholders(ref(c)).alias(c) if c in text else ref(c) for c in df.columns])
 
 
-def fix_completeness(df: DataFrame, t: Thresholds = DEFAULTS, inclusive: bool = False) -> Fixed:
+def fix_completeness(df: DataFrame, t: Thresholds = DEFAULTS, inclusive: bool = False, counted: DataFrame | None = None) -> Fixed:
     """Placeholders to null, then drop columns over 95 % missing (from 95 % on if ``inclusive``).
 
-    Other nulls are kept: nothing is imputed, their number is reported.
+    Other nulls are kept: nothing is imputed, their number is reported. ``counted`` are the ``counted_cells`` of the table.
     """
     text = _text(df)
+    # NaN is a missing cell as text, but no null: such columns are read as they are.
+    read = text if counted is not None else set()
     metrics = {"rows": F.count(F.lit(1))}
     for c in columns_of(df, None):
+        if c in read:
+            continue
         metrics[f"null {c}"] = F.count_if(ref(c).isNull())
         if c in text:
             metrics[f"placeholder {c}"] = F.count_if(is_placeholder(ref(c)))
     m = measure(df, metrics)
+    figures = weighted(of_columns(counted, sorted(read)), {"null": total(F.col("value").isNull()), "placeholder": total(is_placeholder(F.col("value")))}) if read else {}
+    m |= {f"{k} {c}": figures[c][k] if c in figures else 0 for c in read for k in ("null", "placeholder")}
     fixed = Fixed(clear_placeholders(df), "completeness")
     kept_nulls = 0
     for c in columns_of(df, None):

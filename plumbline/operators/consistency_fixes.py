@@ -13,10 +13,12 @@ from plumbline.functions.numbers import share
 from plumbline.functions.text import fold, ref, strip
 from plumbline.operators.cells import cells, columns_of, measure
 from plumbline.operators.changes import Fixed
+from plumbline.operators.counted import of_columns
 from plumbline.operators.consistency import case_variant_rows, fragmented_dates
 from plumbline.operators.digests import spelled_differently
 from plumbline.operators.duplicates import drop_duplicate_rows
 from plumbline.operators.profile import TableProfile, date_cells
+from plumbline.operators.scan import counted_columns
 from plumbline.session import cut
 
 
@@ -65,14 +67,21 @@ def normalize_periods(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(period(strip(ref(c))), ref(c)) for c in columns})
 
 
-def canonical_forms(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def canonical_forms(df: DataFrame, columns: Sequence[str], counted: DataFrame | None = None) -> DataFrame:
     """(column, folded, canonical): commonest spelling of every group of trimmed values that differ by case.
 
     Of equally common spellings the smallest wins. Groups with one spelling have no entry, and their text is not moved.
+    ``counted`` are the ``counted_cells`` of the table; of their counted columns only values are moved.
     """
-    trimmed = df.select(*[strip(ref(c)).alias(c) for c in columns])
+    by_value = [c for c in columns if c in counted_columns(counted)]
+    rest = [c for c in columns if c not in set(by_value)]
+    spelled = spelled_differently(df.select(*[strip(ref(c)).alias(c) for c in rest]), rest, F.lower) if rest or not by_value else None
+    if by_value:
+        values = of_columns(counted, by_value).where(F.col("value").isNotNull())
+        trimmed = values.groupBy("column", strip(F.col("value")).alias("value")).agg(F.sum("cnt").alias("cnt"))
+        spelled = trimmed if spelled is None else trimmed.unionByName(spelled)
     return (
-        spelled_differently(trimmed, columns, F.lower)
+        spelled
         .groupBy("column", F.lower("value").alias("folded"))
         .agg(
             F.count(F.lit(1)).alias("spellings"),
@@ -83,17 +92,17 @@ def canonical_forms(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def canonical_case(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def canonical_case(df: DataFrame, columns: Sequence[str], counted: DataFrame | None = None) -> DataFrame:
     """Trim the columns and give every value its commonest spelling.
 
     The spelling table holds only values written in several ways. It is written, so the optimiser knows its bytes and
     broadcasts it if small; otherwise each column is joined by shuffle, where its one row per key lets adaptive
-    execution split hot values.
+    execution split hot values. ``counted`` are the ``counted_cells`` of these columns.
     """
     columns = list(columns)
     if not columns:
         return df
-    forms = cut(canonical_forms(df, columns))
+    forms = cut(canonical_forms(df, columns, counted))
     varied = {r["column"] for r in forms.select("column").distinct().collect()}
     names = list(df.columns)
     out = df.withColumns({c: strip(ref(c)) for c in columns})
@@ -115,8 +124,11 @@ def lower_variants(df: DataFrame) -> DataFrame:
     return df.withColumns({r["column"]: fold(ref(r["column"])) for r in varied}) if varied else df
 
 
-def fix_consistency(df: DataFrame, profile: TableProfile | None = None, t: Thresholds = DEFAULTS) -> Fixed:
-    """Dates to ISO, spellings unified in categorical and text columns, duplicate rows dropped."""
+def fix_consistency(
+    df: DataFrame, profile: TableProfile | None = None, t: Thresholds = DEFAULTS, counted: DataFrame | None = None
+) -> Fixed:
+    """Dates to ISO, spellings unified in categorical and text columns, duplicate rows dropped. ``counted`` are the
+    ``counted_cells`` of the table."""
     fixed = Fixed(df, "consistency")
     text = {n for n, k in df.dtypes if k == "string"}
     dates = [c for c in date_columns(df, profile, t) if c in text]
@@ -131,7 +143,7 @@ def fix_consistency(df: DataFrame, profile: TableProfile | None = None, t: Thres
     ]
     # Old and new values side by side, so that one pass counts what changes.
     kept = df.withColumns({f"__was {c}": ref(c) for c in dates + worded}) if dates or worded else df
-    out = cut(canonical_case(normalize_dates(kept, dates), worded))
+    out = cut(canonical_case(normalize_dates(kept, dates), worded, counted))
     metrics = {"rows": F.count(F.lit(1))}
     metrics |= {c: F.count_if(~ref(c).eqNullSafe(ref(f"__was {c}"))) for c in dates + worded}
     m = measure(out, metrics)
@@ -139,7 +151,7 @@ def fix_consistency(df: DataFrame, profile: TableProfile | None = None, t: Thres
         fixed.note("normalize_date", c, m[c])
     for c in worded:
         fixed.note("standardize_text", c, m[c])
-    fixed.df = cut(drop_duplicate_rows(out.select(*[ref(c) for c in df.columns]), written=True))
+    fixed.df, fixed.stored = cut(drop_duplicate_rows(out.select(*[ref(c) for c in df.columns]), written=True)), True
     fixed.rows_removed = m["rows"] - fixed.df.count()
     fixed.note("drop_duplicate_rows", "ALL", fixed.rows_removed)
     return fixed

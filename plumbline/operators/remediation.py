@@ -12,6 +12,7 @@ from plumbline.functions.text import ref, strip
 from plumbline.operators.anomaly import rare_categories
 from plumbline.operators.cells import measure, number_of
 from plumbline.operators.changes import Fixed
+from plumbline.operators.counted import of_columns, total, weighted
 from plumbline.operators.duplicates import drop_duplicate_rows
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.schema_fixes import rename_snake_case
@@ -25,25 +26,33 @@ def trim_text(df: DataFrame) -> DataFrame:
     return df.select(*[strip(ref(c)).alias(c) if c in text else ref(c) for c in df.columns])
 
 
-def apply_suggestions(df: DataFrame, suggested: DataFrame, t: Thresholds = DEFAULTS) -> tuple[Fixed, DataFrame]:
-    """Apply suggestions marked ``auto_apply`` in order; the others come back as the list to review."""
+def apply_suggestions(
+    df: DataFrame, suggested: DataFrame, t: Thresholds = DEFAULTS, counted: DataFrame | None = None
+) -> tuple[Fixed, DataFrame]:
+    """Apply suggestions marked ``auto_apply`` in order; the others come back as the list to review. ``counted`` are the
+    ``counted_cells`` of the table."""
     fixed = Fixed(df, "remediation")
     for row in sorted(suggested.filter("auto_apply").collect(), key=lambda r: r["place"]):  # at most one per rule
         action = row["action"]
         if action == TRIM:
             text = [n for n, k in fixed.df.dtypes if k == "string"]
-            m = measure(fixed.df, {c: F.count_if(ref(c) != strip(ref(c))) for c in text})
+            if counted is not None and fixed.df is df:
+                value = F.col("value")
+                read = weighted(of_columns(counted, text), {"padded": total(value != strip(value))})
+                m = {c: read[c]["padded"] if c in read else 0 for c in text}
+            else:
+                m = measure(fixed.df, {c: F.count_if(ref(c) != strip(ref(c))) for c in text})
             for c in text:
                 fixed.note("trim", c, m[c])
-            fixed.df = trim_text(fixed.df)
+            fixed.df, fixed.stored = trim_text(fixed.df), False
         elif action == SNAKE_CASE:
             before = fixed.df.columns
-            fixed.df = rename_snake_case(fixed.df)
+            fixed.df = rename_snake_case(fixed.df)  # as stored as it was
             for old, new in zip(before, fixed.df.columns):
                 fixed.note("rename_column", old, int(old != new))
         elif action == DEDUPLICATE:
             before = measure(fixed.df, {"n": F.count(F.lit(1))})["n"]
-            fixed.df = cut(drop_duplicate_rows(fixed.df))
+            fixed.df, fixed.stored = cut(drop_duplicate_rows(fixed.df)), True
             fixed.rows_removed = before - fixed.df.count()
             fixed.note("drop_duplicate_rows", "ALL", fixed.rows_removed)
         elif action == PRESERVE:

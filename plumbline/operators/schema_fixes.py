@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +16,7 @@ from plumbline.functions.numbers import expand_year, is_whole, rounded, to_numbe
 from plumbline.functions.text import drop_currency, drop_separators, is_placeholder, null_placeholders, ref, strip
 from plumbline.operators.cells import columns_of, measure, number_of
 from plumbline.operators.changes import Fixed
-from plumbline.operators.counted import counted_cells, total
+from plumbline.operators.counted import counted_cells, of_columns, total, weighted
 from plumbline.operators.profile import TableProfile
 from plumbline.operators.schema import domain_overlap, redundant_pairs, similar_names
 
@@ -38,11 +38,11 @@ def same_name_columns(columns: Sequence[str]) -> list[str]:
     return out
 
 
-def overlapping_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> list[str]:
+def overlapping_columns(df: DataFrame, t: Thresholds = DEFAULTS, counted: DataFrame | None = None) -> list[str]:
     """Columns that repeat a kept one: similar name, and correlated numbers or coinciding values.
 
     Only pairs with similar names are measured, in one aggregate; pairs of text columns add one value overlap.
-    The walk over the columns then works on those figures.
+    The walk over the columns then works on those figures. ``counted`` are the ``counted_cells`` of the table.
     """
     columns = columns_of(df, None)
     pairs = similar_names(columns, 4)
@@ -66,7 +66,7 @@ def overlapping_columns(df: DataFrame, t: Thresholds = DEFAULTS) -> list[str]:
 
     numeric = {p: k for k, p in enumerate(pairs) if both("filled", p, 5) and both("numbers", p, 11)}
     worded = [p for p in pairs if both("filled", p, 5) and p not in numeric]
-    overlap = {(r["column"], r["column_b"]): r["jaccard"] for r in domain_overlap(df, worded).collect()}
+    overlap = {(r["column"], r["column_b"]): r["jaccard"] for r in domain_overlap(df, worded, counted).collect()}
 
     def repeats(kept: str, c: str) -> bool:
         pair = (kept, c)
@@ -110,14 +110,16 @@ def currency_number(c: Column) -> Column:
     return to_number(drop_currency(c))
 
 
-def with_numbers(df: DataFrame, numbers: Mapping[str, Column]) -> DataFrame:
+def with_numbers(df: DataFrame, numbers: Mapping[str, Column], whole: Mapping[str, bool | None] | None = None) -> DataFrame:
     """Replace columns by numbers: 64-bit integers where every value of the column is whole, else doubles.
 
-    Whether all values are whole is one aggregate over the replaced columns.
+    Whether all values are whole is one aggregate over the replaced columns; ``whole`` tells it of some.
     """
     if not numbers:
         return df
-    m = measure(df, {c: F.bool_and(is_whole(x)) for c, x in numbers.items()})
+    known = whole or {}
+    rest = {c: F.bool_and(is_whole(x)) for c, x in numbers.items() if c not in known}
+    m = dict(known) | (measure(df, rest) if rest else {})
     return df.withColumns({c: x.try_cast("long") if m[c] else x for c, x in numbers.items()})
 
 
@@ -195,16 +197,18 @@ def valid_enrichments(rows: Iterable[Mapping[str, Any]] | DataFrame) -> dict[str
     }
 
 
-def propose_enrichments(df: DataFrame, columns: Sequence[str], max_decimals: int = 6) -> dict[str, dict[str, Any]]:
+def propose_enrichments(
+    df: DataFrame, columns: Sequence[str], max_decimals: int = 6, counted: DataFrame | None = None
+) -> dict[str, dict[str, Any]]:
     """Fix actions that the values of numeric text columns call for.
 
     ``round_Ndp`` if some values carry float noise and no clean value needs many decimals; ``coerce_int`` if all
     are whole but some are written with a point; ``coerce_year`` if the name says year and two-digit values from
-    20 up stand beside four-digit years.
+    20 up stand beside four-digit years. ``counted`` are the ``counted_cells`` of the table.
     """
     text, x, noisy = F.col("text"), F.col("x"), F.col("noisy")
     numbers = (
-        counted_cells(df, columns)
+        (counted_cells(df, columns) if counted is None else of_columns(counted, columns))
         .select("column", "cnt", strip(F.col("value")).alias("text"))
         .withColumn("x", to_number(text))
         .where(x.isNotNull())
@@ -242,6 +246,43 @@ def propose_enrichments(df: DataFrame, columns: Sequence[str], max_decimals: int
     return out
 
 
+def _read_number(column_is_numeric: Column) -> Column:
+    """Number of a counted text cell: without currency marks in numeric columns."""
+    return F.when(column_is_numeric, currency_number(F.col("value"))).otherwise(to_number(F.col("value")))
+
+
+def _fix_figures(cells: DataFrame, numeric: set[str]) -> dict[str, int]:
+    """What ``fix_schema`` counts of text columns, as ``figure column``: one pass over counted cells."""
+    value, x, plain = F.col("value"), F.col("x"), F.col("plain")
+    read = cells.withColumns({"plain": to_number(value), "x": _read_number(F.col("column").isin(sorted(numeric)))})
+    figures = weighted(
+        read,
+        {
+            "gained": total(plain.isNull() & x.isNotNull()),
+            "lost": total(value.isNotNull() & x.isNull()),
+            "numbers": total(x.isNotNull()),
+            "short": total((x >= 0) & (x < 100)),
+            "placeholders": total(is_placeholder(strip(value))),
+        },
+    )
+    return {f"{k} {c}": n for c, of_column in figures.items() for k, n in of_column.items()}
+
+
+def _whole_columns(
+    counted: DataFrame | None, columns: Sequence[str], numeric: set[str], remade: Mapping[str, Callable[[Column], Column]]
+) -> dict[str, bool | None]:
+    """Whether all numbers of text columns are whole once they are remade; None where there are none."""
+    if not columns:
+        return {}
+    x = F.col("x")
+    out = F.when(~F.col("column").isin(list(remade)), x) if remade else x
+    for c, make in remade.items():
+        out = out.when(F.col("column") == c, make(x))
+    read = of_columns(counted, columns).withColumn("x", _read_number(F.col("column").isin(sorted(numeric))))
+    found = weighted(read.withColumn("out", out), {"whole": F.bool_and(is_whole(F.col("out")))})
+    return {c: found[c]["whole"] if c in found else None for c in columns}
+
+
 # --- the stage ---------------------------------------------------------------
 
 
@@ -251,17 +292,19 @@ def fix_schema(
     enrichments: Enrichments | None = None,
     t: Thresholds = DEFAULTS,
     count_all_numeric: bool = False,
+    counted: DataFrame | None = None,
 ) -> Fixed:
     """All schema fixes in order: repeated columns, numbers, placeholders, years and decimals, hyphens.
 
     ``types_changed`` counts columns in which a cell really changed; ``count_all_numeric`` counts every numeric
-    column instead.
+    column instead. What a fix does to a text cell depends on its value alone, so all figures of text columns come from
+    ``counted``, the ``counted_cells`` of the table.
     """
     fixed = Fixed(df, "schema")
     for c in same_name_columns(df.columns):
         fixed.df = fixed.df.drop(ref(c))
         fixed.note("drop_same_name_column", c, 1)
-    for c in overlapping_columns(fixed.df, t):
+    for c in overlapping_columns(fixed.df, t, counted):
         fixed.df = fixed.df.drop(ref(c))
         fixed.note("drop_overlapping_column", c, 1)
 
@@ -277,21 +320,33 @@ def fix_schema(
             texts[c] = null_placeholders(ref(c), trimmed=True)
 
     # One pass tells how many cells the numeric parse gains, loses and finds as placeholders.
+    texted = {f.name for f in source.schema.fields if isinstance(f.dataType, T.StringType)}
+    by_value = [c for c in source.columns if c in texted and (c in numbers or c in texts or c in enrichments)]
+    if by_value and counted is None:
+        counted = counted_cells(source, by_value, t)
+    m = _fix_figures(of_columns(counted, by_value), set(numbers)) if by_value else {}
     metrics: dict[str, Column] = {}
     for c, x in numbers.items():
+        if c in texted:
+            continue
         plain = number_of(source, c)
         metrics[f"gained {c}"] = F.count_if(plain.isNull() & x.isNotNull())
         metrics[f"lost {c}"] = F.count_if(ref(c).isNotNull() & x.isNull())
         metrics[f"numbers {c}"] = F.count(x)
         metrics[f"short {c}"] = F.count_if((x >= 0) & (x < 100))
     for c in texts:
+        if c in texted:
+            continue
         metrics[f"placeholders {c}"] = F.count_if(is_placeholder(strip(ref(c))))
     for c, e in enrichments.items():
-        if c in source.columns and c not in numbers:
+        if c in source.columns and c not in numbers and c not in texted:
             x = number_of(source, c)
             metrics[f"numbers {c}"] = F.count(x)
             metrics[f"short {c}"] = F.count_if((x >= 0) & (x < 100))
-    m = measure(source, metrics) if metrics else {}
+    m |= measure(source, metrics) if metrics else {}
+    for c in by_value:
+        for figure in ("gained", "lost", "numbers", "short", "placeholders"):
+            m.setdefault(f"{figure} {c}", 0)
     changed = set()
     for c in numbers:
         fixed.note("strip_currency", c, m[f"gained {c}"])
@@ -302,16 +357,19 @@ def fix_schema(
         fixed.note("placeholder_to_null", c, m[f"placeholders {c}"])
 
     doubles = dict(numbers)
+    remade: dict[str, Callable[[Column], Column]] = {}  # what becomes of the number of a cell
     for c, e in enrichments.items():
         if c not in source.columns:
             continue
         x = doubles.get(c, number_of(source, c))
         action = e["fix_action"]
         if action == "coerce_year" and m[f"numbers {c}"] >= 5 and m[f"short {c}"]:
-            doubles[c] = expand_year(F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x)).cast("double"))
+            remade[c] = lambda x: expand_year(F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x)).cast("double"))
+            doubles[c] = remade[c](x)
             fixed.note("expand_year", c, m[f"short {c}"])
         elif action == "round_Ndp" and m[f"numbers {c}"]:
-            doubles[c] = rounded(x, int(e["params"].get("decimals", 2)))
+            remade[c] = lambda x, digits=int(e["params"].get("decimals", 2)): rounded(x, digits)
+            doubles[c] = remade[c](x)
             fixed.note("round_decimals", c, m[f"numbers {c}"])
         elif action == "coerce_int" and m[f"numbers {c}"]:
             doubles.setdefault(c, x)
@@ -320,15 +378,16 @@ def fix_schema(
         changed.add(c)
 
     out = source.withColumns(texts) if texts else source
+    whole = _whole_columns(counted, [c for c in doubles if c in texted], set(numbers), remade)
     # ``coerce_int`` on a column that is not numeric throughout leaves it as it is.
     tentative = [c for c in doubles if c not in numbers and enrichments[c]["fix_action"] == "coerce_int"]
     if tentative:
-        whole = measure(source, {c: F.bool_and(is_whole(doubles[c])) for c in tentative})
+        whole |= measure(source, {c: F.bool_and(is_whole(doubles[c])) for c in tentative if c not in whole})
         for c in tentative:
             if not whole[c]:
                 del doubles[c]
                 changed.discard(c)
-    out = with_numbers(out, doubles)
+    out = with_numbers(out, doubles, whole)
     renamed = names.renames(out.columns, lambda c: c.replace("-", "_"))
     for old, new in renamed.items():
         fixed.note("rename_column", old, int(old != new))
