@@ -2,16 +2,21 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from plumbline.config import Thresholds
 from plumbline.functions.dates import with_dates
 from plumbline.operators import consistency, schema
+from plumbline.operators.anomaly import numeric_outliers
 from plumbline.operators.cells import cells
 from plumbline.operators.counted import counted_cells
 from plumbline.operators.findings import schema_findings
 from plumbline.operators.profile import profile_columns
+from plumbline.operators.quantiles import counted_quantiles, exact_quantiles
 from plumbline.operators.scan import scan
+from plumbline.plans import pipeline
+from plumbline.session import cut
 
 
 def _rows(df):
@@ -59,3 +64,42 @@ def test_reading_dates_is_small_enough_to_be_compiled(spark, table, capsys):
             spark.conf.set(k, v)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000
+
+
+def test_moments_and_quartiles_of_counted_columns_equal_those_of_cells(spark):
+    """Weighted by their counts, far from zero and for a constant column too."""
+    numbers = [1e9 + x for x in (1, 2, 2, 2, 5, 5, 7, 8, 90, 90, 3, 3)]
+    df = spark.createDataFrame([(str(x), 0.1, x) for x in numbers] + [(None, 0.1, None), ("n.d.", 0.1, float("nan"))], "a string, b double, c double")
+    counted = counted_cells(df)
+    figures = ("filled", "numbers", "min", "max", "mean", "std", "std_population")
+    plain, by_value = scan(df, figures), scan(df, figures, counted=counted)
+    assert by_value.values == {c: pytest.approx(v, rel=1e-9) for c, v in plain.values.items()}
+    assert by_value.of("b", "std") == 0.0
+    assert _rows(numeric_outliers(df, counted=counted)) == _rows(numeric_outliers(df))
+    quartiles = exact_quantiles(df, {"a": F.col("a").try_cast("double")}, (0.0, 0.25, 0.5, 1.0))
+    assert counted_quantiles(counted, ["a"], (0.0, 0.25, 0.5, 1.0)) == quartiles
+
+
+def test_pipeline_counts_the_cells_of_an_unchanged_table_once(table, monkeypatch):
+    """Profile, checks and fixes share the counted cells, and a table that a fix has written is not written again."""
+    df = table(a=["1", "2", "x", "2"] * 5, b=["u", "U", "u", None] * 5, c=["2024-01-02"] * 20)
+    taken, written = [], []
+    monkeypatch.setattr(pipeline, "counted_cells", lambda *a, **k: taken.append(1) or counted_cells(*a, **k))
+    monkeypatch.setattr(pipeline, "cut", lambda x: written.append(1) or cut(x))
+    report = pipeline.run(df)
+    stored = sum(r["stage"] in ("schema", "completeness") for r in report.log.collect())
+    assert len(written) <= 1 + stored + 1  # the profile, stages that do not write their table, the remediation at most
+    assert len(taken) == 1 + sum(r["stage"] in ("schema", "completeness", "consistency") for r in report.log.collect())
+
+
+def test_methods_that_the_jvm_would_interpret_are_split(spark):
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        cut(spark.range(1).toDF("i"))
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "9000")
+        cut(spark.range(1).toDF("i"))
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "9000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
