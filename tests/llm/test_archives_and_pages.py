@@ -1,6 +1,10 @@
 import base64
 import gzip
 import hashlib
+import itertools
+import json
+import random
+import re
 
 import pytest
 
@@ -138,3 +142,44 @@ def test_texts_do_not_depend_on_the_number_of_shapes(spark):
     few, many = ({r.page_id: r.text for r in html_wrapper.main_text(df, shapes=n).collect()} for n in (1, 32))
     assert few == many
     assert few[4] == "" and few[5] == "inside" and few[0] == "0"
+
+
+def test_every_page_takes_part_in_the_wrapper_of_its_host(spark):
+    """More shapes than a round aligns, over 32 of them, and one stream of over 4,000 symbols: all are read by the wrapper."""
+    rng = random.Random(1)
+    block = {"p": "<p>%d</p>", "h2": "<h2>%d</h2>", "pre": "<pre>%d</pre>", "li": "<ul><li>%d</ul>", "div": "<div>%d</div>"}
+    pages = ["".join(block[rng.choice(list(block))] % n for n in range(rng.randint(1, 9))) for _ in range(60)]
+    pages.append("".join(block[rng.choice(list(block))] % n for n in range(2000)))
+    assert len({json.dumps(html_wrapper.fold([s for s, _ in html_wrapper.tokens(p)])) for p in pages}) > 50
+    assert len([s for s, _ in html_wrapper.tokens(pages[-1])]) > 4000
+    rows = [(i, "http://h/" if i % 9 else None, html) for i, html in enumerate(pages)] + [(90, "http://other/", "<p>a"), (91, "http://h/", None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for shapes in (4, 32):
+        got = {r.page_id: r for r in html_wrapper.main_text(df, shapes=shapes).collect()}
+        assert all(got[i].by_host for i in range(len(pages))) and got[91].text == "" and len(got) == len(rows)
+        assert all(got[i].text == html_wrapper.extract(html, None)[0] for i, html in enumerate(pages))
+
+
+@pytest.mark.parametrize("most", [0, 20, 1_000_000])
+def test_an_aligned_wrapper_accepts_what_it_comes_from(most, monkeypatch):
+    monkeypatch.setattr(html_wrapper._blocks, "__defaults__", (most, 40))
+    rng = random.Random(most)
+    for _ in range(60):
+        streams = [[rng.choice("abcd") for _ in range(rng.randint(1, 14))] for _ in range(rng.randint(2, 6))]
+        wrapper = html_wrapper.fold(streams[0])
+        for page in map(html_wrapper.fold, streams[1:]):
+            before, wrapper = wrapper, html_wrapper.align(wrapper, page)
+            known = html_wrapper.Wrapper(wrapper)
+            assert known.covers(before) and known.covers(page)
+        assert all(known.read([(s, "") for s in stream]) is not None for stream in streams)
+        assert not known.covers([["e", False]]) and known.read([("e", "")]) is None
+
+
+def test_wrapper_of_optional_and_repeated_items():
+    items = [["a", False], [[["b", True], ["c", True]], False], [[["d", False], [[["e", False]], True]], True]]
+    known = html_wrapper.Wrapper(items)
+    expression = re.compile("a(b?c?)+(de*)*".replace("(de*)*", "((de+)|d)*"))
+    for n in range(6):
+        for stream in itertools.product("abcde", repeat=n):
+            assert (known.read([(s, "") for s in stream]) is not None) == bool(expression.fullmatch("".join(stream)))
+    assert known.covers([["a", False], [[["d", False], ["e", False]], False]]) and not known.covers([["a", True]])
