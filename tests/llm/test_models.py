@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +151,70 @@ def test_exact_neighbours_of_some_queries(spark):
     truth = nn_descent.exact(nodes, {q: x[q].tolist() for q in (3, 40)}, 5)
     assert truth == {q: set(np.argsort(-(x @ x[q]))[:5].tolist()) for q in (3, 40)}
     assert nn_descent.exact(nodes.limit(0), {3: x[3].tolist()}, 5) == {} == nn_descent.exact(nodes, {}, 5)
+
+
+def lists_of(rows):
+    return [(n, np.array(ids, "<i8").tobytes(), np.array(sims, "<f4").tobytes()) for n, ids, sims in rows]
+
+
+def test_batches_of_whole_groups_and_merged_lists(spark):
+    """Groups that straddle Spark's batches reach the function whole, and each list is that of its node."""
+    rng = random.Random(2)
+    rows = [(n, ids := rng.sample(range(60), rng.randint(0, 9)), [rng.choice([0.5, 0.25, -1.0, rng.random()]) for _ in ids]) for n in [-4, 0, 3, 4, 5, 2**60] for _ in range(rng.randint(1, 30))]
+    rows.append((9, [7, 7, 8], [0.5, 0.75, 0.75]))
+    df = spark.createDataFrame(lists_of(rows), "node bigint, ids binary, sims binary")
+
+    def make():
+        def work(batch, starts):
+            nodes = batch.column("node").to_pylist()
+            groups = [nodes[a:b] for a, b in zip(starts, starts[1:])]
+            assert all(len(set(g)) == 1 for g in groups) and len({g[0] for g in groups}) == len(groups)
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in groups]), pa.array([len(g) for g in groups])], names=["node", "n"])
+
+        return work
+
+    expected = {}
+    for n, ids, sims in rows:
+        for i, s in zip(ids, np.array(sims, "<f4").tolist()):
+            expected.setdefault(n, {})[i] = max(s, expected.get(n, {}).get(i, -9.0))
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    try:
+        for most in ("1", "7", "10000"):
+            spark.conf.set(limit, most)
+            sizes = [tuple(r) for r in nn_descent.by_group(df.select("node"), "node", make, "node bigint, n bigint").collect()]
+            assert sorted(sizes) == sorted(Counter(r[0] for r in rows).items())
+            got = {r.node: (np.frombuffer(r.ids, "<i8").tolist(), np.frombuffer(r.sims, "<f4").tolist()) for r in nn_descent.merged(df, 5).collect()}
+            assert got.keys() == {r[0] for r in rows}
+            for n, (ids, sims) in got.items():
+                best = sorted(expected.get(n, {}).items(), key=lambda x: (-x[1], x[0]))[:5]
+                assert ids == [i for i, _ in best] and sims == [s for _, s in best]
+    finally:
+        spark.conf.set(limit, before)
+    assert nn_descent.merged(df.limit(0), 5).collect() == []
+
+
+def test_an_iteration_compares_the_neighbours_of_each_node(spark):
+    """Against a plain version: neighbours both ways of each centre are offered to each other, the best of the offers stay."""
+    rng = np.random.default_rng(8)
+    n, k, offers = 40, 4, 3
+    q = rng.integers(-3, 4, size=(n, 5)).astype(np.int8)
+    sims = q.astype(float) @ q.T.astype(float)
+    graph = {i: sorted(rng.choice([j for j in range(n) if j != i], k if i % 5 else 2, replace=False).tolist(), key=lambda j: (-sims[i, j], j)) for i in range(n)}
+    around = {c: set(graph[c]) | {i for i in range(n) if c in graph[i]} for c in range(n)}
+    expected, changed = {}, 0
+    for i in range(n):
+        least = sims[i, graph[i][-1]] if len(graph[i]) == k else -np.inf
+        new = set(graph[i])
+        for c in range(n):
+            if i in around[c]:
+                new |= set(sorted((j for j in around[c] if j != i and sims[i, j] > least), key=lambda j: (-sims[i, j], j))[:offers])
+        expected[i] = sorted(new, key=lambda j: (-sims[i, j], j))[:k]
+        changed += len(set(expected[i]) - set(graph[i]))
+    base = spark.createDataFrame([(i, q[i].tobytes(), 1.0) for i in range(n)], "node bigint, q8 binary, unit double")
+    df = spark.createDataFrame(lists_of([(i, x, sims[i, x]) for i, x in graph.items()]), "node bigint, ids binary, sims binary")
+    out = nn_descent.descend(df, base, k, n, n, offers).collect()
+    assert {r.node: np.frombuffer(r.ids, "<i8").tolist() for r in out} == expected
+    assert sum(r.changed for r in out) == changed > 0
+    edges = sorted(map(tuple, nn_descent.edges_of(df, 3).collect()))
+    assert edges == sorted((i, j, sims[i, j]) for i, x in graph.items() for j in x[:3])
